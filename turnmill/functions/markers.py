@@ -11,6 +11,7 @@ not depend on row order or partitioning, and a retried task draws the same ones.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, functions as F
@@ -52,33 +53,27 @@ def replace_markers(
             *(v for pool in pools.values() for v in pool)], names)
     pattern = marker_pattern(names)
 
-    choices = {name: (value,) for name, value in static.items()} | pools
-    choice_map = F.create_map(*[
-        part for name, values in choices.items()
-        for part in (F.lit(name), F.array(*[F.lit(v) for v in values]))
-    ]) if choices else None
-    number_map = F.create_map(*[
-        part for name, (prefix, low, high) in numbers.items()
-        for part in (
-            F.lit(name),
-            F.struct(
-                F.lit(prefix).alias("prefix"),
-                F.lit(low).cast("long").alias("low"),
-                F.lit(high - low + 1).cast("long").alias("span"),
-            ),
-        )
-    ]) if numbers else None
+    # One constant map from name to how its value is made; a value is either picked
+    # from choices or a number behind a prefix.
+    specs = {name: {"choices": [value]} for name, value in static.items()}
+    specs |= {name: {"choices": list(pool)} for name, pool in pools.items()}
+    specs |= {
+        name: {"prefix": prefix, "low": low, "span": high - low + 1}
+        for name, (prefix, low, high) in numbers.items()
+    }
+    spec_map = F.from_json(
+        F.lit(json.dumps(specs)),
+        "map<string, struct<choices: array<string>, prefix: string, low: long, span: long>>",
+    )
 
     def value(name: Column, position: Column) -> Column:
         n = draw(str(seed), row_id, column, name, position)
-        options = []
-        if choice_map is not None:
-            pool = F.try_element_at(choice_map, name)
-            options.append(F.element_at(pool, (n % F.size(pool) + 1).cast("int")))
-        if number_map is not None:
-            spec = F.try_element_at(number_map, name)
-            options.append(F.concat(spec["prefix"], (spec["low"] + n % spec["span"]).cast("string")))
-        return F.coalesce(*options)
+        spec = F.element_at(spec_map, name)
+        pool = spec["choices"]
+        return F.coalesce(
+            F.element_at(pool, (n % F.size(pool) + 1).cast("int")),
+            F.concat(spec["prefix"], (spec["low"] + n % spec["span"]).cast("string")),
+        )
 
     # An empty name in front pairs the text before the first marker with no value.
     parts = F.arrays_zip(

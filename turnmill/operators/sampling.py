@@ -36,7 +36,7 @@ def dedup(df: DataFrame, seed: int = 42, column: str = "instruction",
     first = Window.partitionBy("_key").orderBy("_order", row_id)
     return (
         df.withColumn("_key", F.unhex(F.sha2(dedup_key(column), 256)))
-        .withColumn("_order", order_hash(seed, row_id))
+        .withColumn("_order", F.unhex(order_hash(seed, row_id)))
         .withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") == 1)
         .drop("_key", "_order", "_rank")
@@ -47,56 +47,79 @@ def dedup(df: DataFrame, seed: int = 42, column: str = "instruction",
 # Exact split
 # ---------------------------------------------------------------------------
 
-_DIGITS = 4  # hex digits resolved per pass: at most 65,536 counts
-_SMALL = 50_000  # rows of one bucket that may be listed
+_DIGITS = 3  # hex digits resolved per pass: at most 4,096 counts per group
+_SMALL = 20_000  # rows of one bucket that may be listed
 
 
-def _nth_keys(keys: DataFrame, ranks: list[int]) -> list[tuple[str, str]]:
-    """The (hash, row_id) pairs at the given 1-based ranks.
+def _locate(keys: DataFrame, ranks_of) -> tuple[dict, dict]:
+    """Find rows by their 1-based rank in (hash, row_id) order, inside groups.
 
-    Each pass counts rows by the next hash digits inside the bucket that holds the
-    rank; counts are combined on the map side and the driver sees at most 65,536 of
-    them. Hash values are uniform, so two passes reach single rows at any size.
+    ``keys`` holds (g, h, row_id). ``ranks_of`` gets the group sizes and returns the
+    (group, rank) pairs wanted. Returns the sizes and a map from each pair to its
+    (hash, row_id).
+
+    Each pass counts rows by the next hash digits inside the bucket that holds a rank;
+    counts are combined on the map side, and the driver sees at most 4,096 per group.
+    Hash values are uniform, so a bucket is 4,096 times smaller after every pass, until
+    its rows can be listed.
     """
+    def bucket(digits: int) -> Column:
+        return F.substring("h", 1, digits)
+
+    def within(digits: int, buckets) -> DataFrame:
+        return keys.where(F.concat("g", F.lit("/"), bucket(digits)).isin(
+            sorted(f"{g}/{b}" for g, b in buckets)
+        ))
+
+    def ordered_counts(rows) -> dict:
+        counts: dict = {}
+        for r in sorted(rows):
+            counts.setdefault(r[0], []).append(tuple(r[1:]))
+        return counts
+
+    depth = _DIGITS
+    counted = F.count(F.lit(1)).alias("n")
+    counts = ordered_counts(keys.groupBy("g", bucket(depth).alias("b")).agg(counted).collect())
+    sizes = {g: sum(n for _, n in buckets) for g, buckets in counts.items()}
+    wanted = {pair: (pair[1], "") for pair in ranks_of(sizes)}  # rank inside, bucket
     found = {}
-    todo = [(rank, "", rank) for rank in sorted(set(ranks))]  # rank, prefix, rank inside
-    depth = 0
-    while todo:
-        depth += _DIGITS
-        prefixes = sorted({prefix for _, prefix, _ in todo})
-        scope = keys.where(F.substring("h", 1, depth - _DIGITS).isin(prefixes)) if depth > _DIGITS else keys
-        counts = {
-            r["b"]: r["n"]
-            for r in scope.groupBy(F.substring("h", 1, depth).alias("b"))
-            .agg(F.count(F.lit(1)).alias("n")).collect()
-        }
-        ordered = sorted(counts)
-        deeper = []
-        for rank, prefix, inside in todo:
-            for bucket in ordered:
-                if not bucket.startswith(prefix):
-                    continue
-                if inside <= counts[bucket]:
-                    deeper.append((rank, bucket, inside))
-                    break
-                inside -= counts[bucket]
-        listed = [t for t in deeper if counts[t[1]] <= _SMALL or depth >= 32]
-        if listed:
-            buckets = sorted({bucket for _, bucket, _ in listed})
-            rows = (
-                keys.where(F.substring("h", 1, depth).isin(buckets))
-                .groupBy("h", "row_id").agg(F.count(F.lit(1)).alias("n"))
-                .orderBy("h", "row_id").collect()
+    while wanted:
+        small = {}
+        for pair, (inside, prefix) in wanted.items():
+            for name, n in counts[pair[0]]:
+                if name.startswith(prefix):
+                    if inside <= n:
+                        wanted[pair] = (inside, name)
+                        if n <= _SMALL or depth >= 32:
+                            small[pair] = (inside, name)
+                        break
+                    inside -= n
+        if small:
+            rows = ordered_counts(
+                within(depth, {(pair[0], name) for pair, (_, name) in small.items()})
+                .groupBy("g", "h", "row_id").agg(counted).collect()
             )
-            for rank, bucket, inside in listed:
-                for row in rows:
-                    if row["h"].startswith(bucket):
-                        inside -= row["n"]
+            for pair, (inside, name) in small.items():
+                for h, row_id, n in rows[pair[0]]:
+                    if h.startswith(name):
+                        inside -= n
                         if inside <= 0:
-                            found[rank] = (row["h"], row["row_id"])
+                            found[pair] = (h, row_id)
                             break
-        todo = [t for t in deeper if t not in listed]
-    return [found[rank] for rank in ranks]
+                del wanted[pair]
+        if wanted:
+            scope = within(depth, {(pair[0], name) for pair, (_, name) in wanted.items()})
+            depth += _DIGITS
+            counts = ordered_counts(
+                scope.groupBy("g", bucket(depth).alias("b")).agg(counted).collect()
+            )
+    return sizes, found
+
+
+def _upto(bound: tuple, order: str, row_id: str) -> Column:
+    h, key = bound
+    at = F.col(order)
+    return (at < h) | ((at == h) & (F.col(row_id) <= F.lit(key)))
 
 
 def split_counts(n: int, params: config.CurateParams | None = None) -> tuple[int, int]:
@@ -117,23 +140,19 @@ def split_exact(df: DataFrame, params: config.CurateParams | None = None,
     """
     p = params or config.CurateParams()
     order = order_hash(p.split_seed, row_id)
-    keys = df.select(order.alias("h"), F.col(row_id).alias("row_id"))
-    n = keys.count()
-    holdout, test = split_counts(n, p)
-    out = df.withColumn("split_order", order)
-    if not n:
-        return out.withColumn("split", F.lit(None).cast("string"))
-    ranks = [rank for rank in (test, holdout) if rank]
-    bounds = dict(zip(ranks, _nth_keys(keys, ranks)))
+    keys = df.select(F.lit("all").alias("g"), order.alias("h"), F.col(row_id).alias("row_id"))
+
+    def ranks_of(sizes: dict) -> list:
+        holdout, test = split_counts(sizes.get("all", 0), p)
+        return [("all", rank) for rank in {holdout, test} if rank]
+
+    sizes, bounds = _locate(keys, ranks_of)
+    holdout, test = split_counts(sizes.get("all", 0), p)
 
     def upto(rank: int) -> Column:
-        if not rank:
-            return F.lit(False)
-        h, key = bounds[rank]
-        at = F.col("split_order")
-        return (at < h) | ((at == h) & (F.col(row_id) <= F.lit(key)))
+        return _upto(bounds["all", rank], "split_order", row_id) if rank else F.lit(False)
 
-    return out.withColumn(
+    return df.withColumn("split_order", order).withColumn(
         "split",
         F.when(upto(test), "test").when(upto(holdout), "validation").otherwise("train"),
     )
@@ -167,19 +186,17 @@ def first_of_splits(df: DataFrame, caps: dict[str, int], row_id: str = "row_id")
     The last row to keep is looked up by counting, and the rest is a filter: no task
     gathers candidates from all others.
     """
-    keys = df.select("split", F.col("split_order").alias("h"), F.col(row_id).alias("row_id"))
-    sizes = {
-        r["split"]: r["n"]
-        for r in keys.where(F.col("split").isin(list(caps)))
-        .groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
+    keys = df.where(F.col("split").isin(list(caps))).select(
+        F.col("split").alias("g"), F.col("split_order").alias("h"), F.col(row_id).alias("row_id")
+    )
+    sizes, bounds = _locate(keys, lambda sizes: [
+        (split, caps[split]) for split in sizes if 0 < caps[split] < sizes[split]
+    ])
     kept = F.lit(False)
     for split, cap in caps.items():
         inside = F.col("split") == split
-        if 0 < cap < sizes.get(split, 0):
-            (h, key), = _nth_keys(keys.where(inside), [cap])
-            at = F.col("split_order")
-            inside = inside & ((at < h) | ((at == h) & (F.col(row_id) <= F.lit(key))))
+        if (split, cap) in bounds:
+            inside = inside & _upto(bounds[split, cap], "split_order", row_id)
         if cap > 0:
             kept = kept | inside
     return df.where(kept)

@@ -14,23 +14,19 @@ def curated(raw: DataFrame, params: config.CurateParams | None = None) -> DataFr
     """Clean rows that survive dedup and the quality rules, lazily: one shuffle.
 
     Dedup comes first: the row it keeps may then fail the quality rules, and its whole
-    key is gone. A row that fails still takes part, but without its texts, so
-    that what is shuffled is only what can survive.
+    key is gone. A row that fails still takes part, but with its key and order alone,
+    so that texts are shuffled only where they can survive.
     """
     p = params or config.CurateParams()
     cleaned = cleaning.clean_rows(cleaning.drop_blank(raw), p)
-    marked = cleaned.withColumn("_passes", cleaning.reject_reason(p).isNull())
-    keyed = marked.withColumn("_text", sampling.dedup_key())
-    return (
-        sampling.dedup(_without_failing_texts(keyed), p.seed, "_text")
-        .where("_passes").drop("_passes", "_text")
-    )
-
-
-def _without_failing_texts(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        c: F.when(F.col("_passes"), F.col(c)) for c in ("instruction", "response")
+    judged = cleaned.withColumns({
+        "_passes": cleaning.reject_reason(p).isNull(),
+        "_text": F.col("instruction"),
     })
+    payload = [c for c in raw.columns if c != "row_id"]
+    lightened = judged.withColumns({c: F.when(F.col("_passes"), F.col(c)) for c in payload})
+    kept = sampling.dedup(lightened, p.seed, "_text").where("_passes")
+    return kept.select(*raw.columns)
 
 
 def split_rows(raw: DataFrame, params: config.CurateParams | None = None) -> DataFrame:

@@ -18,6 +18,16 @@ def read_rows(spark: SparkSession, path: str, fmt: str = "parquet",
     return (reader.schema(schema) if schema else reader).format(fmt).load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan in at least as many parts as there are cores.
+
+    Only an input of few files is shuffled, so that costly expressions over it use the
+    whole cluster; a large one stays as it was read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def write_splits(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write rows with a ``split`` column, one folder per split."""
     df.write.mode(mode).partitionBy("split").parquet(path)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from turnmill.sources.rows import spread
+
 TAIL = " order {{Order Number}} or {{Order Number}} , pay {{Currency Symbol}}5  at {{Odd Field}} ! {{}} "
 TAIL_MARKERS = (
     "Tracking Number", "Invoice Number", "Account Number", "Refund Amount",
@@ -12,7 +14,7 @@ TAIL_MARKERS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from turnmill import config
 from turnmill.functions.overlap import BLEU_PATTERNS, BLEU_RULES
-from turnmill.functions.text import WHITESPACE, WHITESPACE_RUN
+from turnmill.functions.text import WHITESPACE
 from workload.fixtures import TAIL, TAIL_MARKERS
 
 SYSTEM = config.SYSTEM_PROMPT
+WHITESPACE_RUN = f"[{WHITESPACE}]+"
 
 
 def q(text: str) -> str:
@@ -219,6 +220,48 @@ LCS = """, lcs_steps as (
   rouge_l as (select row_id, model, """ + f_score("hits", "len(a)", "len(r)") + """ as rougeL
     from tokens join lcs using (row_id, model))"""
 
+# The same by lines: for every reference line the positions on a longest common
+# subsequence with each answer line, traced back from the ends; their union over the
+# answer lines; every word counted at most as often as either side holds it.
+LINES = f""", answer_lines as (
+    select row_id, model, lj, {rouge_tokens('line')} as a from (
+      select row_id, model, unnest(string_split(answer, chr(10))) as line,
+             generate_subscripts(string_split(answer, chr(10)), 1) as lj from answers)),
+  reference_lines as (
+    select row_id, model, li, {rouge_tokens('line')} as r from (
+      select row_id, model, unnest(string_split(reference, chr(10))) as line,
+             generate_subscripts(string_split(reference, chr(10)), 1) as li from answers)),
+  line_pairs as (select * from reference_lines join answer_lines using (row_id, model)
+                 where list_has_any(r, a)),
+  line_steps as (
+    select row_id, model, li, lj, r, a, 0 as i, []::int[] as ends from line_pairs
+    union all
+    select row_id, model, li, lj, r, a, i + 1, case when len(pos) = 0 then ends else
+           list_filter(list_transform(range(1, len(ends) + 2), lambda k:
+             least(ends[k], list_min(list_filter(pos, lambda j: j > coalesce(ends[k - 1], 0))))),
+             lambda v: v is not null)::int[] end
+    from (select *, list_filter(range(1, len(a) + 1), lambda j: a[j] = r[i + 1]) as pos
+          from line_steps where i < len(r))),
+  line_tables as (select row_id, model, li, lj, list(ends order by i) as t from line_steps group by all),
+  trace as (
+    select row_id, model, li, lj, r, a, t, len(r)::bigint as i, len(a)::bigint as j, null::bigint as hit
+    from line_pairs join line_tables using (row_id, model, li, lj)
+    union all
+    select row_id, model, li, lj, r, a, t,
+           case when same or up then i - 1 else i end, case when same then j - 1 when up then j else j - 1 end,
+           case when same then i end
+    from (select *, r[i] = a[j] as same,
+                 len(list_filter(t[i], lambda e: e <= j)) = len(list_filter(t[i + 1], lambda e: e <= j)) as up
+          from trace where i > 0 and j > 0)),
+  traced as (select row_id, model, word, count(*) as c from (
+    select distinct row_id, model, li, hit, r[hit] as word from trace where hit is not null) group by all),
+  answer_words as (select row_id, model, word, count(*) as c from (
+    select row_id, model, unnest(a) as word from tokens) group by all),
+  line_hits as (select row_id, model, sum(least(t.c, w.c))::bigint as hits
+                from traced t join answer_words w using (row_id, model, word) group by all),
+  rouge_lsum as (select row_id, model, """ + f_score("hits", "len(a)", "len(r)") + """ as rougeLsum
+    from tokens left join line_hits using (row_id, model))"""
+
 BLEU_ROWS = """, bleu_rows as (
   select t.row_id, t.model, len(ba) as answer_size, len(br) as reference_size,
          """ + ", ".join(
@@ -239,6 +282,7 @@ CORPUS = {
     "rouge1": ("rouge", "avg(rouge1)"),
     "rouge2": ("rouge", "avg(rouge2)"),
     "rougeL": ("rouge_l", "avg(rougeL)"),
+    "rougeLsum": ("rouge_lsum", "avg(rougeLsum)"),
     "bleu": ("bleu_rows", "case when least("
              + ", ".join(f"sum(m{n})" for n in (1, 2, 3, 4)) + ") > 0 then exp(("
              + " + ".join(f"ln(sum(m{n})::double / sum(greatest(answer_size - {n - 1}, 0)))"
@@ -258,10 +302,12 @@ def metric_ctes(metrics) -> str:
     """CTEs ending in ``metrics`` (model, metric, value)."""
     sources = {CORPUS[m][0] for m in metrics}
     sql = ANSWERS
-    if sources & {"rouge", "rouge_l", "bleu_rows"}:
+    if sources & {"rouge", "rouge_l", "rouge_lsum", "bleu_rows"}:
         sql = ROUGE_SCORES
     if "rouge_l" in sources:
         sql += LCS
+    if "rouge_lsum" in sources:
+        sql += LINES
     if "bleu_rows" in sources:
         sql += BLEU_N + BLEU_ROWS
     if "plain_rows" in sources:
@@ -505,14 +551,17 @@ ORACLES["a8_overlap_proxy"] = metrics_sql("approx_perplexity")
 ORACLES["a9_rouge1"] = metrics_sql("rouge1")
 ORACLES["a10_rouge2"] = metrics_sql("rouge2")
 ORACLES["a11_rougeL"] = metrics_sql("rougeL")
+ORACLES["a12_rougeLsum"] = metrics_sql("rougeLsum")
 ORACLES["a13_bleu"] = metrics_sql("bleu")
 ORACLES["a14_semantic"] = metrics_sql("bertscore_f1")
 ORACLES["a15_latency"] = metrics_sql("avg_generation_time_sec")
-ORACLES["row_scores"] = f"""with recursive {ROUGE_SCORES}{LCS}{BLEU_N}{BLEU_ROWS}{JVM_ROWS}
+ORACLES["row_scores"] = f"""with recursive {ROUGE_SCORES}{LCS}{LINES}{BLEU_N}{BLEU_ROWS}{JVM_ROWS}
   select row_id, model, exact, answer_words, reference_words, round(shared_words, 6) as shared_words,
          round(rouge1, 6) as rouge1, round(rouge2, 6) as rouge2, round(rougeL, 6) as rougeL,
+         round(rougeLsum, 6) as rougeLsum,
          m1, m2, m3, m4, answer_size, reference_size
   from plain_rows join rouge using (row_id, model) join rouge_l using (row_id, model)
+  join rouge_lsum using (row_id, model)
   join bleu_rows using (row_id, model)"""
 
 INTENTS = ROUGE_SCORES + """, by_intent as (
@@ -597,6 +646,10 @@ ORACLES["r7_bars"] = compared(config.COMPARISON_KEYS, f"""
   select position, metric, model, coalesce(case model when 'baseline' then base else tuned end, 0) as value
   from {fixed_rows([(k,) for k in config.COMPARISON_KEYS], 'metric')} left join improvement using (metric),
        (values ('baseline'), ('fine_tuned')) m(model)""")
+ORACLES["r8_rouge_series"] = compared(config.ROUGE_KEYS, f"""
+  select position, metric, model, coalesce(case model when 'baseline' then base else tuned end, 0) as value
+  from {fixed_rows([(k,) for k in config.ROUGE_KEYS], 'metric')} left join improvement using (metric),
+       (values ('baseline'), ('fine_tuned')) m(model)""")
 ORACLES["r9_heat_scale"] = compared(config.IMPROVEMENT_KEYS, f""", d as (
   select position, metric, coalesce(delta, 0) as delta
   from {fixed_rows([(k,) for k in config.IMPROVEMENT_KEYS], 'metric')} left join improvement using (metric))

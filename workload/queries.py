@@ -15,9 +15,6 @@ from turnmill.sources import rows as row_files
 from turnmill.sources import trainlog as log_files
 from workload import fixtures as fx
 
-# Every metric that a SQL check exists for; line-wise ROUGE needs traced alignments.
-SQL_METRICS = tuple(m for m in scoring.ALL_METRICS if m != "rougeLsum")
-
 REGISTRY: dict = {}
 
 
@@ -345,7 +342,7 @@ def a20_steps(spark, sf):
 # --- scores -----------------------------------------------------------------
 
 
-def _metrics(spark, sf, metrics=SQL_METRICS):
+def _metrics(spark, sf, metrics=scoring.ALL_METRICS):
     return scoring.metric_set(fx.predictions(spark, sf), metrics)
 
 
@@ -402,10 +399,10 @@ def a15_latency(spark, sf):
 @query
 def row_scores(spark, sf):
     """Scores of every single answer, the table that corpus values are summed from."""
-    rows = scoring.row_scores(scoring.stack_answers(fx.predictions(spark, sf), keep=("row_id",)), SQL_METRICS)
+    rows = scoring.row_scores(scoring.stack_answers(fx.predictions(spark, sf), keep=("row_id",)), scoring.ALL_METRICS)
     return rows.select(
         "row_id", "model", "exact", "answer_words", "reference_words",
-        *[F.round(c, 6).alias(c) for c in ("shared_words", "rouge1", "rouge2", "rougeL")],
+        *[F.round(c, 6).alias(c) for c in ("shared_words", *config.ROUGE_KEYS)],
         "m1", "m2", "m3", "m4", "answer_size", "reference_size",
     )
 
@@ -460,11 +457,6 @@ def r1_metric_set(spark, sf):
     return _metrics(spark, sf)
 
 
-@query
-def r1_metric_set_full(spark, sf):
-    return _metrics(spark, sf, scoring.ALL_METRICS)
-
-
 @query
 def r2_improvement(spark, sf):
     return compare.improvement(_metrics(spark, sf))
@@ -474,15 +466,15 @@ def r2_improvement(spark, sf):
 def r3_result(spark, sf):
     """The result document, flattened."""
     wide = scoring.corpus_metrics(
-        scoring.row_scores(scoring.stack_answers(fx.predictions(spark, sf), keep=()), SQL_METRICS),
-        SQL_METRICS,
+        scoring.row_scores(scoring.stack_answers(fx.predictions(spark, sf), keep=()), scoring.ALL_METRICS),
+        scoring.ALL_METRICS,
     )
     wide = stage(wide, "corpus")
     samples = wide.agg(F.max("eval_samples").alias("eval_samples"))
-    document = compare.document(scoring.metric_rows(wide, SQL_METRICS), samples)
+    document = compare.document(scoring.metric_rows(wide, scoring.ALL_METRICS), samples)
     return document.select("eval_samples", *[
         F.col(f"{part}.{m}").alias(f"{part}_{m}")
-        for part in ("base_model", "fine_tuned", "improvement") for m in SQL_METRICS
+        for part in ("base_model", "fine_tuned", "improvement") for m in scoring.ALL_METRICS
     ])
 
 
