@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from turnmill.functions.text import normalize, words
@@ -76,92 +79,148 @@ def shared_word_share(answer: Column, reference: Column) -> Column:
 # ---------------------------------------------------------------------------
 
 
-def _ngrams(tokens: list[str], n: int) -> Counter:
-    return Counter(tokens if n == 1 else zip(*(tokens[k:] for k in range(n))))
+_CHUNK_BYTES = 4 << 20  # text of one vectorised step; bounds its memory
 
 
-def _shared(a: Counter, b: Counter) -> int:
-    if len(b) < len(a):
-        a, b = b, a
-    return sum(min(count, b[gram]) for gram, count in a.items() if gram in b)
+def _chunks(answers: pa.Array, references: pa.Array):
+    """Slices of both columns with about equal bytes."""
+    rows = len(answers)
+    step = max(1, rows * _CHUNK_BYTES // max(1, answers.nbytes + references.nbytes))
+    for start in range(0, rows, step):
+        yield answers.slice(start, step), references.slice(start, step)
 
 
-def _f_score(hits: int, answer_size: int, reference_size: int) -> float:
-    if not hits:
-        return 0.0
-    precision, recall = hits / answer_size, hits / reference_size
-    return 2 * precision * recall / (precision + recall)
+def _word_rows(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """All words of a column, one after another, and the row each is from."""
+    lists = pc.utf8_split_whitespace(texts)
+    words = lists.flatten()
+    filled = pc.not_equal(words, "")
+    rows = pc.list_parent_indices(lists).filter(filled)
+    return rows.to_numpy(), words.filter(filled)
 
 
-def _gaps(a: list[str], b: list[str]) -> list[int]:
-    """Longest-common-subsequence table of ``a`` and ``b``, one bit row per word of
-    ``a``: a zero at position j says the length grows at word j of ``b``.
+def _shared_ngrams(answers: pa.Array, references: pa.Array, longest: int):
+    """Shared n-grams per row for n = 1 to ``longest``, each counted at most as often as
+    in the text that has it less often; and the word counts of both texts.
 
-    One row costs a few operations on integers of len(b) bits, so that long texts
-    need no cap.
+    All rows of a chunk are counted together: words become numbers that differ between
+    rows, and an n-gram the number of the pair (its first n-1 words, its last word).
     """
-    where: dict[str, int] = {}
-    for j, word in enumerate(b):
-        where[word] = where.get(word, 0) | 1 << j
-    full = (1 << len(b)) - 1
-    row, rows = full, []
+    parts = []
+    for a_texts, r_texts in _chunks(answers, references):
+        n_rows = len(a_texts)
+        (a_rows, a_words), (r_rows, r_words) = _word_rows(a_texts), _word_rows(r_texts)
+        rows = np.concatenate([a_rows, r_rows])
+        words = pa.concat_arrays([a_words, r_words]).dictionary_encode()
+        is_answer = np.arange(len(rows)) < len(a_rows)
+        codes = words.indices.to_numpy().astype(np.int64)
+        single, _ = pd.factorize(rows * (len(words.dictionary) + 1) + codes)
+        grams, at = single, np.arange(len(rows))  # n-gram and position of its last word
+        hits = []
+        for n in range(1, longest + 1):
+            if n > 1:
+                follows = at + 1 < len(rows)
+                grams, at = grams[follows], at[follows] + 1
+                same = (rows[at - 1] == rows[at]) & (is_answer[at - 1] == is_answer[at])
+                grams, at = grams[same], at[same]
+                grams, _ = pd.factorize(grams * (len(single) + 1) + single[at])
+            top = int(grams.max(initial=-1)) + 1
+            mine = is_answer[at]
+            least = np.minimum(
+                np.bincount(grams[mine], minlength=top), np.bincount(grams[~mine], minlength=top)
+            )
+            row_of = np.zeros(top, np.int64)
+            row_of[grams] = rows[at]
+            hits.append(np.bincount(row_of, least, minlength=n_rows).astype(np.int64))
+        sizes = [np.bincount(r, minlength=n_rows) for r in (a_rows, r_rows)]
+        parts.append(np.stack([*hits, *sizes]))
+    out = np.concatenate(parts, axis=1) if parts else np.zeros((longest + 2, 0), np.int64)
+    return out[:longest], out[longest], out[longest + 1]
+
+
+def _f_scores(hits: np.ndarray, answer_sizes: np.ndarray, reference_sizes: np.ndarray):
+    """Harmonic mean of precision and recall; 0 where nothing is shared."""
+    some = np.maximum(hits, 1)
+    precision, recall = (some / np.maximum(sizes, 1) for sizes in (answer_sizes, reference_sizes))
+    return np.where(hits > 0, 2 * precision * recall / (precision + recall), 0.0)
+
+
+# The table of longest common subsequences is kept as integers: the row of one word
+# has a zero bit at every position of the other text where the length grows. A row
+# then costs a few integer operations, so that long texts need no cap.
+
+
+def _places(words: list[str]) -> dict[str, int]:
+    """Positions of every word, as bits."""
+    places: dict[str, int] = {}
+    for j, word in enumerate(words):
+        places[word] = places.get(word, 0) | 1 << j
+    return places
+
+
+def _lcs_hits(answer: str, reference: str) -> int:
+    """Length of the longest common subsequence of words."""
+    a, b = answer.split(), reference.split()
+    if len(a) < len(b):
+        a, b = b, a
+    places = _places(b)
+    row = full = (1 << len(b)) - 1
     for word in a:
-        match = row & where.get(word, 0)
+        match = row & places.get(word, 0)
+        if match:
+            row = ((row + match) | (row - match)) & full
+    return len(b) - row.bit_count()
+
+
+def _lcs_positions(words: list[str], positions: list[int], size: int, places: dict) -> list[int]:
+    """Of ``positions`` in ``words``, those on one longest common subsequence with a
+    line of ``size`` words: traced from the ends, an unused word of ``words`` is passed
+    over before one of the line."""
+    row = full = (1 << size) - 1
+    rows = [row]
+    for i in positions:
+        match = row & places[words[i]]
         row = ((row + match) | (row - match)) & full
         rows.append(row)
-    return rows
-
-
-def _lcs_length(a: list[str], b: list[str]) -> int:
-    if len(a) < len(b):
-        a, b = b, a
-    return len(b) - _gaps(a, b)[-1].bit_count() if b else 0
-
-
-def _lcs_positions(reference: list[str], line: list[str]) -> set[int]:
-    """Positions in ``reference`` on one longest common subsequence, traced from the
-    ends; on a tie the reference word is passed over first."""
-    rows = [(1 << len(line)) - 1, *_gaps(reference, line)]
-    i, j, hits = len(reference), len(line), set()
-    while i and j:
-        if reference[i - 1] == line[j - 1]:
-            hits.add(i - 1)
-            i, j = i - 1, j - 1
+    hits, end = [], full  # bits of the line's words still open
+    for k in range(len(positions), 0, -1):
+        place = places[words[positions[k - 1]]] & end
+        last = place.bit_length()
+        if last != end.bit_length() and (
+            (rows[k] & end).bit_count() == (rows[k - 1] & end).bit_count()
+        ):
             continue
-        low = (1 << j) - 1
-        if (rows[i] & low).bit_count() == (rows[i - 1] & low).bit_count():
-            i -= 1
-        else:
-            j -= 1
+        hits.append(positions[k - 1])
+        end = (1 << (last - 1)) - 1
+        if not end:
+            break
     return hits
 
 
-def _line_hits(answer: list[list[str]], reference: list[list[str]]) -> int:
+def _line_hits(answer: str, reference: str) -> int:
     """For each reference line the union of its subsequences with all answer lines,
     every word counted at most as often as it occurs on either side."""
-    by_word: dict[str, list[int]] = {}
-    for k, line in enumerate(answer):
-        for word in set(line):
-            by_word.setdefault(word, []).append(k)
-    left_answer = Counter(word for line in answer for word in line)
-    left_reference = Counter(word for line in reference for word in line)
-    hits = 0
-    for line in reference:
-        near = {k for word in set(line) for k in by_word.get(word, ())}
+    answer_lines = [line.split() for line in answer.split("\n")]
+    indexed = [(len(line), _places(line)) for line in answer_lines]
+    near: dict[str, list[int]] = {}
+    for k, (_, places) in enumerate(indexed):
+        for word in places:
+            near.setdefault(word, []).append(k)
+    found: Counter = Counter()
+    for text in reference.split("\n"):
+        line = text.split()
+        by_line: dict[int, list[int]] = {}
+        for i, word in enumerate(line):
+            for k in near.get(word, ()):
+                by_line.setdefault(k, []).append(i)
         union: set[int] = set()
-        for k in near:
-            union |= _lcs_positions(line, answer[k])
-        for i in sorted(union):
-            word = line[i]
-            if left_answer[word] > 0 and left_reference[word] > 0:
-                left_answer[word] -= 1
-                left_reference[word] -= 1
-                hits += 1
-    return hits
-
-
-def _texts(column: pa.Array) -> list[str]:
-    return [text or "" for text in column.to_pylist()]
+        # Lines with most words in common first; one that can add nothing is skipped.
+        for k, positions in sorted(by_line.items(), key=lambda item: -len(item[1])):
+            if not union.issuperset(positions):
+                union.update(_lcs_positions(line, positions, *indexed[k]))
+        found.update(line[i] for i in union)
+    left = Counter(word for line in answer_lines for word in line)
+    return sum(min(count, left[word]) for word, count in found.items())
 
 
 def rouge_scores(keys: tuple[str, ...]):
@@ -171,28 +230,19 @@ def rouge_scores(keys: tuple[str, ...]):
     """
 
     def score(answers: pa.Array, references: pa.Array) -> pa.Array:
-        columns: dict[str, list[float]] = {key: [] for key in keys}
-        seen, r_grams = None, {}
-        for answer, reference in zip(_texts(answers), _texts(references)):
-            a = answer.split()
-            if reference != seen:  # answers of several models follow one another
-                seen, r, r_grams = reference, reference.split(), {}
-            for key in keys:
-                if key in ("rouge1", "rouge2"):
-                    n = int(key[-1])
-                    if n not in r_grams:
-                        r_grams[n] = _ngrams(r, n)
-                    sizes = len(a) - n + 1, len(r) - n + 1
-                    hits = _shared(_ngrams(a, n), r_grams[n])
-                elif key == "rougeL":
-                    sizes, hits = (len(a), len(r)), _lcs_length(a, r)
-                else:
-                    lines = [[ln.split() for ln in t.split("\n")] for t in (answer, reference)]
-                    sizes, hits = (len(a), len(r)), _line_hits(*lines)
-                columns[key].append(_f_score(hits, *sizes))
-        return pa.StructArray.from_arrays(
-            [pa.array(columns[key], pa.float64()) for key in keys], names=list(keys)
-        )
+        n_grams = [int(key[-1]) for key in keys if key in ("rouge1", "rouge2")]
+        shared, a_sizes, r_sizes = _shared_ngrams(answers, references, max(n_grams, default=0))
+        columns = []
+        for key in keys:
+            if key in ("rouge1", "rouge2"):
+                n = int(key[-1])
+                hits, less = shared[n - 1], n - 1
+            else:
+                count = _lcs_hits if key == "rougeL" else _line_hits
+                pairs = zip(answers.to_pylist(), references.to_pylist())
+                hits, less = np.array([count(a, r) for a, r in pairs], np.int64), 0
+            columns.append(pa.array(_f_scores(hits, a_sizes - less, r_sizes - less)))
+        return pa.StructArray.from_arrays(columns, names=list(keys))
 
     return F.arrow_udf(score, ", ".join(f"{key} double" for key in keys))
 
@@ -204,20 +254,10 @@ def bleu_counts():
     """
 
     def count(answers: pa.Array, references: pa.Array) -> pa.Array:
-        rows: list[list[int]] = []
-        seen, r_grams, r_size = None, [], 0
-        for answer, reference in zip(_texts(answers), _texts(references)):
-            a = answer.split()
-            if reference != seen:
-                r = reference.split()
-                seen, r_size, r_grams = reference, len(r), [_ngrams(r, n) for n in ORDERS]
-            hits = [_shared(_ngrams(a, n), r_grams[n - 1]) for n in ORDERS]
-            rows.append([*hits, len(a), r_size])
+        shared, a_sizes, r_sizes = _shared_ngrams(answers, references, max(ORDERS))
         names = [*(f"m{n}" for n in ORDERS), "answer_size", "reference_size"]
-        columns = zip(*rows) if rows else [[] for _ in names]
-        return pa.StructArray.from_arrays(
-            [pa.array(list(c), pa.int64()) for c in columns], names=names
-        )
+        columns = [pa.array(c, pa.int64()) for c in (*shared, a_sizes, r_sizes)]
+        return pa.StructArray.from_arrays(columns, names=names)
 
     schema = ", ".join(f"m{n} long" for n in ORDERS) + ", answer_size long, reference_size long"
     return F.arrow_udf(count, schema)
