@@ -117,10 +117,11 @@ def improvement_series(metrics: DataFrame, keys=config.IMPROVEMENT_KEYS) -> Data
         F.col("position").cast("long").alias("position"), "metric",
         F.coalesce("delta", F.lit(0.0)).alias("delta"),
     )
-    scale = deltas.agg(F.greatest(
-        F.abs(F.min("delta")), F.abs(F.max("delta")), F.lit(0.01)
-    ).alias("scale"))
-    return deltas.withColumn("scale", scale.scalar())
+    every_key = Window.partitionBy()  # a handful of rows
+    scale = F.greatest(
+        F.abs(F.min("delta").over(every_key)), F.abs(F.max("delta").over(every_key)), F.lit(0.01)
+    )
+    return deltas.withColumn("scale", scale)
 
 
 def guide(metrics: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from turnmill import config
 from turnmill.functions import overlap
@@ -187,15 +187,22 @@ def length_histogram(predictions: DataFrame, bins: int = config.HISTOGRAM_BINS,
                      series=SERIES) -> DataFrame:
     """Word-length histogram of all series over shared equal bins from 0 to the largest
     length plus 5; bins without texts are listed with 0."""
-    counts = length_counts(predictions, series)
-    upper = counts.agg((F.max("words") + 5).alias("upper"))
-    placed = counts.withColumn("upper", upper.scalar()).select(
-        "series", (F.expr(f"words * {bins} div upper") + 1).alias("bin"), "n",
-    ).groupBy("series", "bin").agg(F.sum("n").alias("n"))
-    spine = upper.select(
-        "upper", F.explode(F.array(*[F.lit(s) for s in series])).alias("series")
-    ).select("upper", "series", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(bins).cast("long"))).alias("bin"))
-    return spine.join(placed, ["series", "bin"], "left").select(
+    # Windows over everything see tables of bounded size only: one row per series and
+    # distinct length, and one per series and bin.
+    everything = Window.partitionBy()
+    placed = (
+        length_counts(predictions, series)
+        .withColumn("upper", F.max("words").over(everything) + 5)
+        .groupBy("series", (F.expr(f"words * {bins} div upper") + 1).alias("bin"))
+        .agg(F.sum("n").alias("n"), F.max("upper").alias("upper"))
+    )
+    spine = predictions.sparkSession.range(1, bins + 1).select(
+        F.col("id").alias("bin"), F.explode(F.array(*[F.lit(s) for s in series])).alias("series")
+    )
+    listed = spine.join(F.broadcast(placed), ["series", "bin"], "left").withColumn(
+        "upper", F.max("upper").over(everything)
+    )
+    return listed.select(
         "series",
         "bin",
         ((F.col("bin") - 1) * F.col("upper") / bins).alias("low"),

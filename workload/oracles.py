@@ -7,7 +7,7 @@ common table expressions.
 from __future__ import annotations
 
 from turnmill import config
-from turnmill.functions.overlap import BLEU_PATTERNS, BLEU_RULES
+from turnmill.functions.overlap import BLEU_RULES
 from turnmill.functions.text import WHITESPACE
 from workload.fixtures import TAIL, TAIL_MARKERS
 
@@ -148,6 +148,14 @@ ANSWERS = PREDICTIONS + """, answers as (
   select row_id, intent, 'fine_tuned', fine_tuned, reference,
          fine_tuned_sec, fine_tuned_semantic_f1 from predictions)"""
 
+# The published patterns of the mteval-13a tokeniser.
+BLEU_PATTERNS = (
+    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "),
+    (r"([^0-9])([\.,])", r"\1 \2 "),
+    (r"([\.,])([^0-9])", r" \1 \2"),
+    (r"([0-9])(-)", r"\1 \2 "),
+)
+
 # --- scores -----------------------------------------------------------------
 
 
@@ -156,7 +164,7 @@ def bleu_tokens(x: str) -> str:
         x = f"replace({x}, {q(old)}, {q(new)})"
     x = f"concat(' ', {x}, ' ')"
     for pattern, replacement in BLEU_PATTERNS:
-        x = f"regexp_replace({x}, {q(pattern)}, {q(replacement.replace('$', chr(92)))}, 'g')"
+        x = f"regexp_replace({x}, {q(pattern)}, {q(replacement)}, 'g')"
     return words(x)
 
 

@@ -505,8 +505,7 @@ def r8_rouge_series(spark, sf):
 
 @query
 def r9_heat_scale(spark, sf):
-    metrics = stage(_metrics(spark, sf, config.IMPROVEMENT_KEYS), "metrics")
-    return compare.improvement_series(metrics)
+    return compare.improvement_series(_metrics(spark, sf, config.IMPROVEMENT_KEYS))
 
 
 @query
