@@ -70,6 +70,7 @@ def test_log_and_state(spark, tmp_path):
     state = log_files.read_state(spark, str(state_path))
     assert sorted(map(str, state.collect())) == sorted(map(str, log.where("train_loss is null").collect()))
     curve = [tuple(r) for r in trainlog.loss_curve(log).collect()]
+    assert trainlog.loss_curve(log.where("loss is null")).count() == 0
     assert [(s, n) for s, n, _ in curve] == [("train", 10), ("train", 20), ("train", 310), ("validation", 313)]
 
 

@@ -19,9 +19,11 @@ def with_kind(log: DataFrame) -> DataFrame:
 
 
 def loss_curve(log: DataFrame) -> DataFrame:
-    """(series, step, loss) of training and validation, in step order."""
+    """(series, step, loss) of training and validation, in step order; nothing if the log
+    holds no training record."""
+    any_training = log.agg((F.count("loss") > 0).alias("any")).scalar()
     return (
-        with_kind(log).where(F.col("kind") != "summary")
+        with_kind(log).where((F.col("kind") != "summary") & any_training)
         .select(
             F.when(F.col("kind") == "train", "train").otherwise("validation").alias("series"),
             "step",

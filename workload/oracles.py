@@ -347,7 +347,7 @@ def compared(metrics, select: str) -> str:
 
 def fixed_rows(rows, names) -> str:
     """A fixed table with a position column."""
-    values = ", ".join("(" + ", ".join([str(i), *(
+    values = ", ".join("(" + ", ".join([f"{i}::bigint", *(
         q(v) if isinstance(v, str) else str(v).lower() for v in row
     )]) + ")" for i, row in enumerate(rows, 1))
     return f"(values {values}) l(position, {names})"
@@ -417,11 +417,11 @@ ORACLES["c11_words"] = (
     "from documents"
 )
 ORACLES["c12_messages"] = (
-    f"with {PAIRS} select row_id, 3 as n, 'system,user,assistant' as roles, {q(SYSTEM)} as system, "
+    f"with {PAIRS} select row_id, 3::bigint as n, 'system,user,assistant' as roles, {q(SYSTEM)} as system, "
     f"{strip('instruction')} as user, {strip('response')} as assistant from pairs"
 )
 ORACLES["c13_chat_columns"] = (
-    f"with {PAIRS} select 'messages' as columns, 3 as n, {strip('instruction')} as user from pairs"
+    f"with {PAIRS} select 'messages' as columns, 3::bigint as n, {strip('instruction')} as user from pairs"
 )
 ORACLES["c14_default"] = (
     f"with {DIRTY} select row_id, nullif(intent, 'intent_3') as intent, '' as category from dirty"
