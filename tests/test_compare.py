@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from turnmill import config
 from turnmill.operators import compare

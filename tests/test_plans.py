@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from turnmill.plans import evaluate as evaluation
 from turnmill.operators import sampling, scoring

@@ -94,18 +94,22 @@ def _locate(keys: DataFrame, ranks_of) -> tuple[dict, dict]:
                             small[pair] = (inside, name)
                         break
                     inside -= n
+            else:
+                raise RuntimeError("rows changed between counting passes")
         if small:
             rows = ordered_counts(
                 within(depth, {(pair[0], name) for pair, (_, name) in small.items()})
                 .groupBy("g", "h", "row_id").agg(counted).collect()
             )
             for pair, (inside, name) in small.items():
-                for h, row_id, n in rows[pair[0]]:
+                for h, row_id, n in rows.get(pair[0], []):
                     if h.startswith(name):
                         inside -= n
                         if inside <= 0:
                             found[pair] = (h, row_id)
                             break
+                else:
+                    raise RuntimeError("rows changed between counting passes")
                 del wanted[pair]
         if wanted:
             scope = within(depth, {(pair[0], name) for pair, (_, name) in wanted.items()})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnmill import config
-from turnmill.functions import chat, markers, overlap, text
+from turnmill.functions import chat, markers, text
 from turnmill.operators import cleaning, compare, health, sampling, scoring, trainlog
 from turnmill.plans import curate as curate_plan
 from turnmill.scratch import scratch_path, stage
