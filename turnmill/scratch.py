@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_dirs: dict[str, str] = {}
 
 
@@ -21,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         return named
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError(f"set {_SETTING} to a folder all executors share")
     app = context.applicationId
     if app not in _local_dirs:
@@ -34,6 +36,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/turnmill-{uuid.uuid4().hex}/{name}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession):
+    """Shuffle files of what runs inside go when it is done, not at some later
+    garbage collection."""
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 
@@ -42,5 +59,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(*staged: DataFrame) -> None:
+    """Delete staged tables that no later step reads."""
+    for df in staged:
+        spark = df.sparkSession
+        jvm, root = spark._jvm, shared_dir(spark).removeprefix("file://").rstrip("/")
+        folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+        for folder in folders:
+            if root in folder and "/turnmill-" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
