@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from turnmill.llm import quality
+from turnmill.llm import jaccard, quality
 
 REGISTRY = {
+    "op1_jaccard": jaccard.op1_jaccard,
     "op8_quality": quality.op8_quality,
 }
 
 ORACLES = {
+    "op1_jaccard": jaccard.OP1_SQL,
     "op8_quality": quality.OP8_SQL,
 }
