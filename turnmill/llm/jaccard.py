@@ -314,11 +314,11 @@ s as (
   from (select doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) as i from w where len(w) > 0)),
 n as (select doc_id, count(*) as n from s group by doc_id),
 c as (
-  select a.doc_id as x, b.doc_id as y, count(*) as both
+  select a.doc_id as x, b.doc_id as y, count(*) as cnt
   from s a join s b on a.gram = b.gram and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
 l as (
   select x, y from c join n nx on nx.doc_id = x join n ny on ny.doc_id = y
-  where 100 * both >= 80 * (nx.n + ny.n - both)),
+  where 100 * cnt >= 80 * (nx.n + ny.n - cnt)),
 reach as (
   select doc_id, doc_id as other from w
   union
