@@ -121,43 +121,28 @@ RULES = (*BASE_RULES, Rule("symbols", _symbols), Rule("duplicate_lines", _duplic
          Rule("word_length", _word_length))
 
 
-def _time_rules(rules, rounds: int = 3):
-    def run(batches):
-        for batch in batches:
-            for part in kernels.slices(batch):
-                for i, rule in enumerate(rules):
-                    seconds = []
-                    for _ in range(rounds):
-                        t = kernels.texts(part)
-                        begun = time.perf_counter()
-                        rejected = int(rule.rejects(t).sum())
-                        seconds.append(time.perf_counter() - begun)
-                    yield pa.RecordBatch.from_pydict({
-                        "rule": [i], "seconds": [min(seconds)], "rejected": [rejected],
-                        "texts": [part.num_rows],
-                    }, schema=pa.schema([("rule", pa.int32()), ("seconds", pa.float64()),
-                                         ("rejected", pa.int64()), ("texts", pa.int64())]))
-    return run
-
-
-def estimate(docs: DataFrame, rules=RULES, sample_rows: int = 512) -> list[dict]:
+def estimate(docs: DataFrame, rules=RULES, sample_rows: int = 256, rounds: int = 3) -> list[dict]:
     """Cost in seconds and share rejected of each rule, on at most ``sample_rows`` texts.
 
-    The sample sets nothing but the order of the rules.
+    The sample sets nothing but the order of the rules. Spark reads only as many parts
+    of the input as it takes to find these rows.
     """
-    sample = docs.select("text").limit(sample_rows)
-    rows = (
-        sample.mapInArrow(_time_rules(rules), "rule int, seconds double, rejected long, texts long")
-        .groupBy("rule").agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected"),
-                             F.sum("texts").alias("texts"))
-        .collect()
-    )
-    found = {r["rule"]: r for r in rows}
-    return [{
-        "rule": rule,
-        "cost": found[i]["seconds"] / found[i]["texts"] if i in found else 0.0,
-        "rejects": found[i]["rejected"] / found[i]["texts"] if i in found else 0.0,
-    } for i, rule in enumerate(rules)]
+    sample = docs.select("text").limit(sample_rows).toArrow()
+    out = []
+    for rule in rules:
+        cost, rejected = 0.0, 0
+        for batch in sample.to_batches():
+            for part in kernels.slices(batch):
+                seconds = []
+                for _ in range(rounds):
+                    t = kernels.texts(part)
+                    begun = time.perf_counter()
+                    found = int(rule.rejects(t).sum())
+                    seconds.append(time.perf_counter() - begun)
+                cost, rejected = cost + min(seconds), rejected + found
+        n = max(sample.num_rows, 1)
+        out.append({"rule": rule, "cost": cost / n, "rejects": rejected / n})
+    return out
 
 
 def ordered(estimates: list[dict]) -> list[Rule]:
@@ -186,7 +171,7 @@ def survivors(part: pa.RecordBatch, rules) -> np.ndarray:
     return out
 
 
-def keep_clean(docs: DataFrame, rules=RULES, sample_rows: int = 512) -> DataFrame:
+def keep_clean(docs: DataFrame, rules=RULES, sample_rows: int = 256) -> DataFrame:
     """The rows that pass all rules, every column as it was."""
     plan = ordered(estimate(docs, rules, sample_rows))
 
@@ -201,7 +186,7 @@ def keep_clean(docs: DataFrame, rules=RULES, sample_rows: int = 512) -> DataFram
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def judged(docs: DataFrame, rules=RULES, sample_rows: int = 512) -> DataFrame:
+def judged(docs: DataFrame, rules=RULES, sample_rows: int = 256) -> DataFrame:
     """(doc_id, the five counts, kept): the cascade's verdict beside what it measures."""
     plan = ordered(estimate(docs, rules, sample_rows))
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from turnmill.llm import jaccard, quality
+from turnmill.llm import jaccard, quality, repeats
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
     "op8_quality": quality.op8_quality,
+    "op10_suffix": repeats.op10_suffix,
 }
 
 ORACLES = {
