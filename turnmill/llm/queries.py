@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from turnmill.llm import jaccard, quality, repeats
+from turnmill.llm import jaccard, lm, quality, repeats
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
     "op8_quality": quality.op8_quality,
+    "op9_lm": lm.op9_lm,
     "op10_suffix": repeats.op10_suffix,
 }
 
