@@ -19,8 +19,9 @@ those whose folded sketches differ too much are dropped, the rest are verified o
 sets themselves. Every block first proposes a single partner, its hub, to each of its
 classes, a few times over with other hubs; what the hubs have joined needs no comparing
 any more, so that a group of thousands of near copies costs its size and not its square.
-Pairs that still share a block across components are then all verified, which makes the
-result exact.
+Pairs that still share a block across components are then compared by their sketches,
+chunk against chunk inside the block's bucket, and those near enough verified, which makes
+the result exact. Only pairs near enough ever leave a task.
 
 Size classes are ``[2^j, 2^(j+1))``. A set in the lowest quarter of its class may link
 with one of the class below, and is sketched with that class's blocks as well.
@@ -49,6 +50,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE = 5
 HUB_ROUNDS = 2
 BITS = 1024
+CHUNK = 512
 _U = np.uint64
 _SALT = _U(0xA24BAED4963EE407)
 
@@ -121,35 +123,37 @@ def _sketch(batches):
                 ["doc_id", "n_shingles", "ka", "kb"])
 
 
+def levels_of(n: int) -> list[int]:
+    """Size classes whose blocks a set of ``n`` shingles is cut into: its own, and the one
+    below if it may link with a set there."""
+    level = n.bit_length() - 1
+    return [level, level - 1] if level and 4 * n <= 5 << level else [level]
+
+
 def _signatures(batches):
-    """Rows (class key, level, block signature) of every class's first row."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("m", pa.int32()), ("sig", pa.int64())])
+    """Rows (owner, sig): a class's blocks. ``owner`` is twice the class id, plus one for
+    the sketch of the size class below."""
     for batch in batches:
         for part in kernels.slices(batch):
             t = kernels.texts(part, lower=True)
             grams, at = shingle_sets(t)
             a, b = set_keys(grams, at)
-            want_a = part.column(2).to_numpy().view(_U)
-            want_b = part.column(3).to_numpy().view(_U)
+            good = ((a == part.column(2).to_numpy().view(_U))
+                    & (b == part.column(3).to_numpy().view(_U)) & (np.diff(at) > 0))
             ids = part.column(0).to_numpy()
-            out = []
-            for i in np.flatnonzero((a == want_a) & (b == want_b) & (np.diff(at) > 0)):
+            owners, sizes, sigs = [], [], []
+            for i in np.flatnonzero(good):
                 own = grams[at[i]: at[i + 1]]
-                n = len(own)
-                level = n.bit_length() - 1
-                for j in ([level, level - 1] if level and 4 * n <= 5 << level else [level]):
+                for below, j in enumerate(levels_of(len(own))):
                     m = blocks_of(j)
                     place = kernels.mix(np.arange(m, dtype=_U) + _U(m << 34))
-                    sig = kernels.mix(block_words(own, m) ^ place)
-                    out.append((ids[i], n, m, sig))
-            if out:
-                sizes = [len(o[3]) for o in out]
+                    owners.append(2 * ids[i] + below)
+                    sizes.append(m)
+                    sigs.append(kernels.mix(block_words(own, m) ^ place))
+            if sigs:
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat([o[0] for o in out], sizes)),
-                    pa.array(np.repeat([o[1] for o in out], sizes)),
-                    pa.array(np.repeat([o[2] for o in out], sizes).astype(np.int32)),
-                    pa.array(kernels.signed(np.concatenate([o[3] for o in out]))),
-                ], schema=schema)
+                    pa.array(np.repeat(owners, sizes)), pa.array(kernels.signed(np.concatenate(sigs))),
+                ], ["owner", "sig"])
 
 
 def _candidate_sets(batches):
@@ -181,18 +185,89 @@ def _verify(batches):
             [batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y) that link, after the sketches' bound has thinned them."""
+def _near_in_buckets(batches):
+    """Pairs of one bucket, from different components, that their sketches allow to link.
+
+    Rows come sorted by bucket; the members of one are compared a block of sketches at a
+    time. A bucket is at most two chunks of ``CHUNK`` members.
+    """
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def pairs(ids, groups, sizes, bits):
+        x, y = [], []
+        for i in range(len(ids) - 1):
+            rest = slice(i + 1, None)
+            apart = np.bitwise_count(bits[rest] ^ bits[i]).sum(1, dtype=np.int64)
+            good = ((groups[rest] != groups[i]) & (9 * apart <= sizes[rest] + sizes[i])
+                    & (5 * np.minimum(sizes[rest], sizes[i]) >= 4 * np.maximum(sizes[rest], sizes[i])))
+            found = np.flatnonzero(good) + i + 1
+            x.append(np.minimum(ids[i], ids[found]))
+            y.append(np.maximum(ids[i], ids[found]))
+        return (np.concatenate(x), np.concatenate(y)) if x else (np.zeros(0, np.int64),) * 2
+
+    held = None
+    for batch in batches:
+        held = batch if held is None else pa.concat_batches([held, batch])
+        keys = [held.column(i).to_numpy() for i in range(3)]
+        new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], 0)) + 1
+        if not len(new):
+            continue
+        yield from _blocks_out(held, np.append(0, new), pairs, schema)
+        held = held.slice(int(new[-1]))
+    if held is not None and held.num_rows:
+        yield from _blocks_out(held, np.array([0, held.num_rows]), pairs, schema)
+
+
+def _blocks_out(batch, bounds, pairs, schema):
+    ids, groups, sizes = (batch.column(i).to_numpy() for i in (3, 4, 5))
+    bits = batch.column(6).flatten().to_numpy().reshape(-1, BITS // 64)
+    out = [pairs(ids[a:b], groups[a:b], sizes[a:b], bits[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    x, y = (np.concatenate(v) for v in zip(*out))
+    if len(x):
+        both = np.unique(np.stack([x, y]), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], schema=schema)
+
+
+def _left_apart(member: DataFrame, sets: DataFrame) -> DataFrame:
+    """Candidate pairs (x, y) across the components that a bucket still holds.
+
+    A frequent bucket is cut into chunks, and every pair of chunks is a piece of work of
+    its own: no task holds more than two chunks, and none but the pairs near enough
+    leave it.
+    """
+    size = member.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("size"), F.min("g").alias("low"), F.max("g").alias("high"))
+    split = size.where("low <> high").select("sig", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"))
+    chunk = F.pmod(F.hash("id"), F.col("chunks"))
+    spread = (
+        member.join(split, "sig").withColumn("chunk", chunk)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("sig", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"), "id", "g")
+    )
+    bits = sets.select("id", F.size("grams").cast("long").alias("n"), "bits")
+    return (
+        spread.join(bits, "id").repartition("sig", "a", "b").sortWithinPartitions("sig", "a", "b")
+        .select("sig", "a", "b", "id", "g", "n", "bits")
+        .mapInArrow(_near_in_buckets, "x long, y long").distinct()
+    )
+
+
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (x, y) that their sketches allow to link."""
     bits = sets.select("id", "bits", F.size("grams").alias("n"))
     distance = F.aggregate(F.zip_with("bx", "by", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
                            F.lit(0), lambda s, n: s + n)
-    near = (
+    return (
         pairs.join(bits.select(F.col("id").alias("x"), F.col("bits").alias("bx"), F.col("n").alias("nx")), "x")
         .join(bits.select(F.col("id").alias("y"), F.col("bits").alias("by"), F.col("n").alias("ny")), "y")
         .where((9 * distance <= F.col("nx") + F.col("ny"))
                & (5 * F.least("nx", "ny") >= 4 * F.greatest("nx", "ny")))
         .select("x", "y")
     )
+
+
+def _linked(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (x, y) whose sets link."""
     full = (
         near.join(sets.select(F.col("id").alias("x"), F.col("grams").alias("gx")), "x")
         .join(sets.select(F.col("id").alias("y"), F.col("grams").alias("gy")), "y")
@@ -238,21 +313,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # One class per distinct set; its first id names it.
     classes = (
         rows.where("n_shingles > 0 and doc_id is not null").groupBy("ka", "kb")
-        .agg(F.min("doc_id").alias("id"))
+        .agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n_shingles"))
     )
     classes = stage(classes, "classes")
     named = classes.select(F.col("id").alias("doc_id"), "ka", "kb")
     firsts = texts.join(named, "doc_id").select("doc_id", "text", "ka", "kb")
-    signatures = firsts.mapInArrow(_signatures, "id long, n long, m int, sig long")
+    signatures = firsts.mapInArrow(_signatures, "owner long, sig long")
     counted = signatures.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("sig")))
     shared = stage(counted.where("df > 1"), "shared")
-    reach = F.floor(F.col("n") / 4)
-    held = shared.groupBy("id", "m", "n").agg(
-        F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("blocks"))
-    unique = F.col("m") - F.size("blocks")
-    prefix = held.where(unique <= reach).select(
-        "id", F.explode(F.slice("blocks", F.lit(1), (reach + 1 - unique).cast("int"))).alias("b"))
+    n, below = F.col("n_shingles"), F.col("owner") % 2
+    level = F.length(F.bin("n_shingles")) - 1 - F.abs(below).cast("int")
+    m = F.floor(F.pow(F.lit(2.0), level) * 6 / 10).cast("long") + 2
+    held = (
+        shared.groupBy("owner").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("blocks"))
+        .withColumn("id", F.floor((F.col("owner") - F.pmod("owner", F.lit(2))) / 2))
+        .join(classes.select("id", "n_shingles"), "id")
+        .withColumns({"reach": F.floor(n / 4), "unique": m - F.size("blocks")})
+    )
+    prefix = held.where("unique <= reach").select(
+        "id", F.explode(F.slice("blocks", F.lit(1), F.expr("cast(reach + 1 - unique as int)"))).alias("b"))
     buckets = stage(prefix.select("id", F.col("b.sig").alias("sig")), "buckets")
+    drop(shared)
     wanted = buckets.select(F.col("id").alias("doc_id")).distinct().join(named, "doc_id")
     sets = stage(
         texts.join(wanted, "doc_id").select("doc_id", "text", "ka", "kb")
@@ -268,18 +349,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.min_by("id", order).alias("hub"), F.min_by("g", order).alias("hub_g"))
         pairs = member.join(hubs, "sig").where("g <> hub_g").select(
             F.least("id", "hub").alias("x"), F.greatest("id", "hub").alias("y")).distinct()
-        found = stage(_linked(pairs, sets), "links")
+        found = stage(_linked(_near(pairs, sets), sets), "links")
         links = found if links is None else links.union(found)
         groups = stage(components(links), "groups")
         member = buckets.join(groups, "id", "left").select(
             "id", "sig", F.coalesce("component", "id").alias("g"))
     member = stage(member, "members")
-    other = member.select("sig", F.col("id").alias("y"), F.col("g").alias("h"))
-    rest = (
-        member.join(other, "sig").where("g <> h and id < y")
-        .select(F.col("id").alias("x"), "y").distinct()
-    )
-    found = stage(_linked(rest, sets), "links")
+    found = stage(_linked(_left_apart(member, sets), sets), "links")
     groups = stage(components(links.union(found)), "groups")
     named = classes.join(groups, "id", "left").select(
         "ka", "kb", F.coalesce("component", "id").alias("component_id"))
