@@ -123,6 +123,18 @@ class Texts:
         value = (self.sums[ends] - self.sums[starts]) * down[starts]
         return mix(value + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93))
 
+    def run_hash(self, n: int) -> np.ndarray:
+        """Hashes of all runs of ``n`` bytes."""
+        if len(self.data) < n:
+            return np.zeros(0, _U)
+        _, down = powers(len(self.data))
+        value = self.sums[n:] - self.sums[:-n]
+        value *= down[: len(value)]
+        value ^= value >> _U(29)
+        value *= _U(0xBF58476D1CE4E5B9)
+        value ^= value >> _U(32)
+        return value
+
     @cached_property
     def word_hash(self) -> np.ndarray:
         return self.span_hash(*self.words[:2])

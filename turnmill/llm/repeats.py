@@ -14,12 +14,13 @@ reused for the others of its bucket.
    The bucket of an anchor is its q-gram. A bucket with one member is final: no string
    with this anchor stands anywhere else.
 2. *Refinement.* A larger bucket is refined by the identifier of all that its strings can
-   reach, from ``length - Q`` bytes before the anchor to ``length`` bytes behind it,
-   combined from the q-gram identifiers there. In a refined bucket the first member stands
-   for all: every string of the others stands earlier. If a bucket does not fall apart at
-   all, it is final.
-3. *Last refinement.* Firsts of buckets that did fall apart are refined once more by the
-   identifiers of each single string at the offsets around the anchor.
+   reach, from ``length - Q`` bytes before the anchor to ``length`` bytes behind it. In a
+   refined bucket the first member stands for all: every string of the others stands
+   earlier. If a bucket does not fall apart at all, it is final.
+3. *Recursion.* Firsts of buckets that fell apart are cut into pieces of ``BLOCK`` strings
+   at neighbouring offsets. Their bucket is the identifier of the bytes that all strings of
+   the piece share, at the offsets around the anchor, and it is refined by what they reach
+   together, as in step 2. What falls apart again is cut into single strings.
 
 Inside one document a string that stands earlier in it is found in the same pass that
 makes the anchors; tables hold one row per document and bucket. Identifiers are 64-bit
@@ -51,21 +52,31 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LENGTH = 100
 Q = 32
+SLICE = 256 << 10  # bytes of text handled at once: arrays that stay in the cache
+BLOCK = 8
 _U = np.uint64
 
 
 def _last_least(values: np.ndarray, width: int) -> np.ndarray:
-    """Index of the smallest value in each run of ``width``, the last of equals."""
-    index = np.arange(len(values))
-    done = 1
-    while done < width:
-        step = min(done, width - done)
-        left, right = values[:-step], values[step:]
-        later = right <= left
-        values = np.where(later, right, left)
-        index = np.where(later, index[step:], index[:-step])
-        done += step
-    return index
+    """Index of the smallest value in each run of ``width``, the last of equals.
+
+    Smallest values from the left and from the right inside blocks of ``width``: a run
+    is the end of one block and the beginning of the next.
+    """
+    n = len(values)
+    full = np.full(-(-n // width) * width, np.iinfo(values.dtype).max, values.dtype)
+    full[:n] = values
+    place = np.arange(len(full), dtype=np.int64)
+    block, at = full.reshape(-1, width), place.reshape(-1, width)
+    left = np.minimum.accumulate(block, 1)
+    left_at = np.maximum.accumulate(np.where(block == left, at, 0), 1).reshape(-1)
+    right = np.minimum.accumulate(block[:, ::-1], 1)[:, ::-1]
+    fresh = np.ones(block.shape, bool)
+    fresh[:, :-1] = block[:, :-1] < right[:, 1:]
+    right_at = np.minimum.accumulate(np.where(fresh, at, len(full))[:, ::-1], 1)[:, ::-1].reshape(-1)
+    ends = slice(width - 1, n)
+    runs = slice(0, n - width + 1)
+    return np.where(left.reshape(-1)[ends] <= right.reshape(-1)[runs], left_at[ends], right_at[runs])
 
 
 class Strings:
@@ -86,8 +97,7 @@ class Strings:
         self.h = self.c = np.zeros(0, _U)
         if not total:
             return
-        grams = np.arange(size - Q + 1)
-        grams = t.span_hash(grams, grams + Q)
+        grams = t.run_hash(Q)
         chosen = _last_least(grams, LENGTH - Q + 1)[self.start]
         new = np.ones(total, bool)
         new[1:] = chosen[1:] != chosen[:-1]
@@ -95,26 +105,51 @@ class Strings:
         self.first = np.flatnonzero(new)
         self.anchor, self.of = chosen[self.first], self.row[self.first]
         self.h = grams[self.anchor]
-        low = np.maximum(self.anchor - (LENGTH - Q), t.at[self.of])
-        high = np.minimum(self.anchor + LENGTH, t.at[self.of + 1])
-        left = kernels.mix((self.anchor - low).astype(_U) + _U(7))
-        #: The refined bucket: all that its strings can reach.
-        self.c = kernels.mix(t.span_hash(low, high) ^ left)
-
-    @property
-    def place(self) -> np.ndarray:
-        """Place of each anchor inside its text."""
-        return self.anchor - self.t.at[self.of]
-
-    def strings_of(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Strings of the given anchors, and the anchor of each."""
-        sizes = np.append(self.first[1:], len(self.start))[anchors] - self.first[anchors]
-        offset = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        return np.repeat(self.first[anchors], sizes) + offset, np.repeat(anchors, sizes)
+        self.c = self.reach(self.anchor - (LENGTH - Q), self.anchor + LENGTH, self.anchor, self.of)
+
+    def reach(self, low, high, anchor, of) -> np.ndarray:
+        """Identifier of spans, cut at the ends of their texts, with the anchor's place."""
+        low, high = np.maximum(low, self.t.at[of]), np.minimum(high, self.t.at[of + 1])
+        return kernels.mix(self.t.span_hash(low, high) ^ kernels.mix((anchor - low).astype(_U) + _U(7)))
+
+    def of_string(self, strings: np.ndarray) -> np.ndarray:
+        """Number of the anchor of each string."""
+        return np.searchsorted(self.first, strings, "right") - 1
+
+    def strings_of(self, anchors: np.ndarray) -> np.ndarray:
+        """Strings of the given anchors."""
+        return _ranges(self.first[anchors], np.append(self.first[1:], len(self.start))[anchors])
 
     def ids(self, strings: np.ndarray) -> np.ndarray:
         return self.t.span_hash(self.start[strings], self.start[strings] + LENGTH)
 
+    def pieces(self, level: int, inside: np.ndarray | None = None):
+        """Pieces of a level, of the given strings or of all: the strings of an anchor
+        (0), those of a block of offsets (1), single ones (2). Gives the first string, the
+        end, the bucket and the refined bucket of each."""
+        if level == 0:
+            return self.first, np.append(self.first[1:], len(self.start)), self.h, self.c
+        if level == 2:
+            ids = self.ids(inside)
+            return inside, inside + 1, ids, ids
+        of = self.of_string(inside)
+        block = (self.anchor[of] - self.start[inside]) // BLOCK
+        new = np.ones(len(inside), bool)
+        new[1:] = (of[1:] != of[:-1]) | (block[1:] != block[:-1])
+        first = inside[new]
+        of, block, end = of[new], block[new], np.append(np.flatnonzero(new)[1:], len(inside))
+        count = end - np.flatnonzero(new)
+        near = self.anchor[of] - block * BLOCK
+        far = near - np.minimum(BLOCK - 1, LENGTH - Q - block * BLOCK)
+        shared = kernels.mix(self.t.span_hash(near, far + LENGTH) ^ kernels.mix(block.astype(_U) + _U(11)))
+        return first, first + count, shared, self.reach(far, near + LENGTH, self.anchor[of], self.row[first])
+
+
+def _ranges(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers from each first to its end."""
+    sizes = end - first
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
 
 def first_places(*keys: np.ndarray) -> np.ndarray:
     """Indexes of the first occurrence of each combination of keys."""
@@ -135,51 +170,53 @@ def _listed(column: pa.Array, at: np.ndarray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64) + np.repeat(at[:-1], sizes)
 
 
-def _anchors(batches):
-    for batch in batches:
-        for part in kernels.slices(batch):
-            s = Strings(kernels.texts(part))
-            first = first_places(s.c, s.h, s.of)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(kernels.signed(s.h[first])), pa.array(kernels.signed(s.c[first])),
-                part.column(0).take(pa.array(s.of[first])), pa.array(s.place[first].astype(np.int32)),
-            ], ["h", "c", "doc_id", "place"])
-
-
-def _strings(batches):
-    """Single strings of the anchors that the last refinement takes."""
-    for batch in batches:
-        for part in kernels.slices(batch):
-            t = kernels.texts(part)
-            s = Strings(t)
-            strings, of = s.strings_of(np.flatnonzero(np.isin(s.anchor, _listed(part.column(2), t.at))))
-            w, h, row = s.ids(strings), s.h[of], s.row[strings]
-            first = first_places(w, h, row)
-            place = (s.start[strings] - t.at[row])[first]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(kernels.signed(h[first])), pa.array(kernels.signed(w[first])),
-                part.column(0).take(pa.array(row[first])), pa.array(place.astype(np.int32)),
-            ], ["h", "w", "doc_id", "start"])
-
-
-def covered(t: kernels.Texts, known: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Which bytes go. ``known``: places of anchors all of whose strings stand in earlier
-    documents; ``starts``: where single strings start that do."""
+def _pieces(level: int):
+    """Rows (k, c, doc_id, start): pieces of a level, those of what is open above it."""
+    def run(batches):
+        for batch in batches:
+            for part in kernels.slices(batch, limit=SLICE):
+                t = kernels.texts(part)
+                s = Strings(t)
+                inside = None
+                for above in range(level):
+                    first, end, _, _ = s.pieces(above, inside)
+                    some = np.isin(s.start[first], _listed(part.column(2 + above), t.at))
+                    inside = _ranges(first[some], end[some])
+                first, _, k, c = s.pieces(level, inside)
+                row = s.row[first]
+                only = first_places(c, k, row)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(kernels.signed(k[only])), pa.array(kernels.signed(c[only])),
+                    part.column(0).take(pa.array(row[only])),
+                    pa.array((s.start[first] - t.at[row])[only].astype(np.int32)),
+                ], ["k", "c", "doc_id", "start"])
+    return run
+
+
+def covered(t: kernels.Texts, known: list[np.ndarray]) -> np.ndarray:
+    """Which bytes go. ``known``: by level, where pieces start all of whose strings stand
+    in earlier documents."""
     s = Strings(t)
-    again = np.isin(s.start, starts)
-    # What holds for the first anchor of a refined bucket in a text holds for the others,
-    # and all their strings stand earlier in the text.
-    whole = np.ones(len(s.h), bool)
-    whole[first_places(s.c, s.h, s.of)] = False
-    whole[np.isin(s.anchor, known)] = True
-    again[s.strings_of(np.flatnonzero(whole))[0]] = True
+    again = np.zeros(len(s.start), bool)
+    for level, starts in enumerate(known):
+        first, end, k, c = s.pieces(level, np.arange(len(s.start)) if level < 2 else np.flatnonzero(
+            np.isin(s.start, starts)))
+        gone = np.isin(s.start[first], starts)
+        if level == 0:
+            # What holds for the first anchor of a refined bucket in a text holds for the
+            # others, and all their strings stand earlier in the text.
+            later = np.ones(len(first), bool)
+            later[first_places(c, k, s.row[first])] = False
+            gone |= later
+        again[_ranges(first[gone], end[gone])] = True
     # Anchors whose bucket the text holds more than once: compare their strings.
     order = np.lexsort((s.h, s.of))
     same = (s.h[order][1:] == s.h[order][:-1]) & (s.of[order][1:] == s.of[order][:-1])
     twice = np.zeros(len(s.h), bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
-    strings, of = s.strings_of(np.flatnonzero(twice))
+    strings = s.strings_of(np.flatnonzero(twice))
+    of = s.of_string(strings)
     later = np.ones(len(strings), bool)
     later[first_places(s.ids(strings), s.h[of], s.row[strings])] = False
     again[strings[later]] = True
@@ -190,55 +227,62 @@ def covered(t: kernels.Texts, known: np.ndarray, starts: np.ndarray) -> np.ndarr
     return np.cumsum(step[:-1]) > 0
 
 
+LEVELS = ("known0", "known1", "known2")
+
+
+def _refined(rows: DataFrame, level: int) -> DataFrame:
+    """(doc_id, start, later, apart) of the pieces in buckets of more than one: whether
+    all strings of a piece stand earlier, and whether its bucket fell apart."""
+    large = rows.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high")
+    ).where("n > 1").select("k", (F.col("low") != F.col("high")).alias("apart"))
+    members = stage(rows.join(large, "k"), f"members{level}")
+    firsts = members.groupBy("k", "c").agg(F.min("doc_id").alias("first"))
+    told = stage(members.join(firsts, ["k", "c"]).where("apart or doc_id > first").select(
+        "doc_id", "start", "apart", (F.col("doc_id") > F.col("first")).alias("later")), f"told{level}")
+    drop(members)
+    return told
+
+
 def found(docs: DataFrame) -> DataFrame:
-    """(doc_id, known, starts): what of each document stands in earlier ones. Documents
-    without any such string have no row."""
+    """(doc_id, known0, known1, known2): pieces of each document that stand in earlier
+    ones, by level. Documents without any have no row."""
     texts = docs.where("doc_id is not null and octet_length(text) >= 100").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text")
-    anchors = texts.mapInArrow(_anchors, "h long, c long, doc_id long, place int")
-    large = anchors.groupBy("h").agg(
-        F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high")
-    ).where("n > 1").select("h", (F.col("low") != F.col("high")).alias("apart"))
-    members = stage(anchors.join(large, "h"), "members")
-    firsts = members.groupBy("h", "c", "apart").agg(F.min("doc_id").alias("first"))
-    told = stage(members.join(firsts, ["h", "c", "apart"]).select(
-        "doc_id", "place", "apart", (F.col("doc_id") > F.col("first")).alias("later")), "told")
-    drop(members)
-    known = told.where("later").groupBy("doc_id").agg(F.collect_list("place").alias("known"))
-    open_ = told.where("apart and not later").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    strings = stage(
-        texts.join(open_, "doc_id").select("doc_id", "text", "places")
-        .mapInArrow(_strings, "h long, w long, doc_id long, start int"), "strings")
-    earliest = strings.groupBy("h", "w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    single = strings.join(earliest.where("first < last"), ["h", "w"]).where("doc_id > first").groupBy(
-        "doc_id").agg(F.collect_list("start").alias("starts"))
-    empty = F.array().cast("array<int>")
-    return known.join(single, "doc_id", "full").select(
-        "doc_id", F.coalesce("known", empty).alias("known"), F.coalesce("starts", empty).alias("starts"))
+    known, opened, with_open = None, [], texts
+    for level, name in enumerate(LEVELS):
+        rows = with_open.mapInArrow(_pieces(level), "k long, c long, doc_id long, start int")
+        told = _refined(rows, level)
+        own = told.where("later").groupBy("doc_id").agg(F.collect_list("start").alias(name))
+        known = own if known is None else known.join(own, "doc_id", "full")
+        opened.append(told.where("apart and not later").groupBy("doc_id").agg(
+            F.collect_list("start").alias(f"open{level}")))
+        with_open = texts
+        for more in opened[::-1]:
+            with_open = with_open.join(more, "doc_id")
+        with_open = with_open.select("doc_id", "text", *[f"open{i}" for i in range(level + 1)])
+    return known
 
 
 def _cut(batches, emit):
     for batch in batches:
-        for part in kernels.slices(batch):
+        for part in kernels.slices(batch, limit=SLICE):
             t = kernels.texts(part)
-            lists = [_listed(part.column(part.schema.get_field_index(n)), t.at) for n in ("known", "starts")]
-            gone = covered(t, *lists)
-            if part.column(part.schema.get_field_index("known")).null_count:
-                whole = part.column(part.schema.get_field_index("known")).is_null().to_numpy(zero_copy_only=False)
+            lists = [part.column(part.schema.get_field_index(n)) for n in LEVELS]
+            gone = covered(t, [_listed(x, t.at) for x in lists])
+            if lists[0].null_count:
+                whole = lists[0].is_null().to_numpy(zero_copy_only=False)
                 gone &= ~np.repeat(whole, np.diff(t.at))
             yield emit(part, t, gone)
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """Rows with ``known`` and ``starts``; both are empty where only the text itself can
+    """Rows with the lists of ``found``; they are empty where only the text itself can
     repeat something, and null where the row is to stay whole."""
-    pair = found(docs)
     empty = F.array().cast("array<int>")
-    looked_at = F.col("doc_id").isNotNull()
-    return docs.join(pair, "doc_id", "left").select(
+    return docs.join(found(docs), "doc_id", "left").select(
         *[docs[c] for c in docs.columns],
-        F.when(looked_at, F.coalesce("known", empty)).alias("known"),
-        F.when(looked_at, F.coalesce("starts", empty)).alias("starts"))
+        *[F.when(F.col("doc_id").isNotNull(), F.coalesce(n, empty)).alias(n) for n in LEVELS])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
