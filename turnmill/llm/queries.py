@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from turnmill.llm import jaccard, lm, quality, repeats
+from turnmill.llm import jaccard, lm, quality, repeats, toxicity
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op8_quality": quality.op8_quality,
     "op9_lm": lm.op9_lm,
     "op10_suffix": repeats.op10_suffix,
