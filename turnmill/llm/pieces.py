@@ -45,7 +45,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 SHORT = 32  # code points; longer pieces of text are searched with the moving window
-SLICE = 512 << 10
+SLICE = 2 << 20
+PAIRS = 1 << 20  # slots for pairs whose test is remembered
 _U = np.uint64
 _MERGED, _UNIGRAM = 2, 1
 _NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
@@ -117,14 +118,21 @@ class Model:
         data, at = code_points(texts)
         sums = _sums(data)
         hashes = _spans(sums, at[:-1], at[1:])
-        order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], ids[order]
         self.lengths = np.unique(np.diff(at))
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[hashes >> _U(44)] = True
+        # Two tables by different bits of the hash; what both have taken goes to a third.
+        self.slots = []
+        while len(hashes):
+            shift = _U(44 - 20 * (len(self.slots) % 3))
+            slot = (hashes >> shift & _U((1 << 20) - 1)).astype(np.int64)
+            table = np.zeros(1 << 20, _U)
+            owner = np.full(1 << 20, -1, np.int64)
+            table[slot], owner[slot] = hashes, ids
+            self.slots.append((shift, table, owner))
+            left = table[slot] != hashes
+            hashes, ids = hashes[left], ids[left]
         self.score = np.array([*self.scores, self.worst])
-        self.pair_keys = np.zeros(0, np.int64)
-        self.pair_fits = np.zeros(0, bool)
+        self.pair_keys = np.full(PAIRS, -1, np.int64)
+        self.pair_fits = np.zeros(PAIRS, bool)
         surface = [b"" if k not in (_NORMAL, _BYTE) else bytes([int(p[3:5], 16)]) if k == _BYTE
                    else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, self.kinds)]
         surface[self.unknown] = " ⁇ ".encode()
@@ -175,21 +183,27 @@ class Model:
         return self.unchanged[key]
 
     def fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """``fits`` of many pairs; a sorted table holds those seen before."""
+        """``fits`` of many pairs; a table holds those seen before."""
         left = np.where(left >= self.size, -1, left)
         key = left * self.size + right
-        at = np.searchsorted(self.pair_keys, key)
-        at = np.minimum(at, max(len(self.pair_keys) - 1, 0))
-        seen = self.pair_keys[at] == key if len(self.pair_keys) else np.zeros(len(key), bool)
-        if not seen.all():
-            fresh = np.unique(key[~seen])
-            got = np.array([self.fits(int(k) // self.size, int(k) % self.size) for k in fresh], bool)
-            keys = np.concatenate([self.pair_keys, fresh]) if len(self.pair_keys) < 1 << 21 else fresh
-            good = np.concatenate([self.pair_fits, got]) if len(keys) > len(fresh) else got
-            order = np.argsort(keys, kind="stable")
-            self.pair_keys, self.pair_fits = keys[order], good[order]
-            return self.fit(left, right)
-        return self.pair_fits[at]
+        slot = (kernels.mix(key.view(_U)) >> _U(44)).astype(np.int64) & (PAIRS - 1)
+        out = self.pair_fits[slot]
+        new = np.flatnonzero(self.pair_keys[slot] != key)
+        if len(new):
+            fresh, where, number = np.unique(key[new], return_index=True, return_inverse=True)
+            got = np.array([self.fits(int(a), int(b)) for a, b in zip(left[new[where]], right[new[where]])], bool)
+            out[new] = got[number]
+            self.pair_keys[slot[new]], self.pair_fits[slot[new]] = key[new], got[number]
+        return out
+
+    def lookup(self, hashes: np.ndarray) -> np.ndarray:
+        """Ids of pieces by hash, -1 where there is none."""
+        out = np.full(len(hashes), -1, np.int64)
+        for shift, table, owner in self.slots:
+            slot = (hashes >> shift & _U((1 << 20) - 1)).astype(np.int64)
+            same = (table[slot] == hashes) & (out < 0)
+            out[same] = owner[slot[same]]
+        return out
 
     def streamed(self, points: np.ndarray) -> list[int]:
         """Ids of one piece of text by the moving window."""
@@ -263,10 +277,9 @@ class Model:
             for length in self.lengths[self.lengths <= end]:
                 start = end - length
                 h = kernels.mix((sums[end, :live] - sums[start, :live]) * down[start] + _U(length))
-                at = np.flatnonzero(self.maybe[h >> _U(44)] & reached[start, :live])
-                found = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
-                good = self.hashes[found] == h[at]
-                at, ids = at[good], self.ids[found[good]]
+                at = np.flatnonzero(reached[start, :live])
+                ids = self.lookup(h[at])
+                at, ids = at[ids >= 0], ids[ids >= 0]
                 if length == 1:
                     single[at] = True
                 self._offer(at, ids, start, end, piece, back, score, reached)

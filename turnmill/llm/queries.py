@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from turnmill.llm import jaccard, lm, quality, repeats, toxicity
+from turnmill.llm import jaccard, lm, pieces, quality, repeats, toxicity, warc
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
+    "op4_warc": warc.op4_warc,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_pieces": pieces.op6_pieces,
     "op8_quality": quality.op8_quality,
     "op9_lm": lm.op9_lm,
     "op10_suffix": repeats.op10_suffix,
@@ -14,5 +16,6 @@ REGISTRY = {
 
 ORACLES = {
     "op1_jaccard": jaccard.OP1_SQL,
+    "op4_warc": warc.OP4_SQL,
     "op8_quality": quality.OP8_SQL,
 }
