@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from turnmill.llm import jaccard, lm, pieces, quality, repeats, toxicity, warc
+from turnmill.llm import jaccard, lm, neighbours, pieces, quality, repeats, toxicity, warc
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
+    "op2_neighbours": neighbours.op2_neighbours,
     "op4_warc": warc.op4_warc,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_pieces": pieces.op6_pieces,
