@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from turnmill.llm import jaccard, lm, neighbours, pieces, quality, repeats, toxicity, warc
+from turnmill.llm import jaccard, lm, neighbours, pieces, quality, repeats, toxicity, urls, warc
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
     "op2_neighbours": neighbours.op2_neighbours,
+    "op3_urls": urls.op3_urls,
     "op4_warc": warc.op4_warc,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_pieces": pieces.op6_pieces,
@@ -17,6 +18,7 @@ REGISTRY = {
 
 ORACLES = {
     "op1_jaccard": jaccard.OP1_SQL,
+    "op3_urls": urls.OP3_SQL,
     "op4_warc": warc.OP4_SQL,
     "op8_quality": quality.OP8_SQL,
 }
