@@ -2,10 +2,11 @@
 
 A document is its set of distinct word shingles. Sets of equal size class share a
 number of blocks ``m``; every shingle flips bits of one block, chosen by its hash. A
-block is kept as the XOR of its shingles' 64-bit hashes, and the whole sketch once more
-folded to 1,024 bits, one bit per shingle. A shingle that only one of two sets holds
-changes one block and one bit at most, so both the number of unequal blocks and the
-Hamming distance of the folded sketches are lower bounds of the symmetric difference.
+block is kept as the XOR of its shingles' 64-bit hashes, and the whole sketch once more as
+single bits, one flipped per shingle, four to eight bits for each. A shingle that only one
+of two sets holds changes one block and one bit at most, so both the number of unequal
+blocks and the Hamming distance of the bits are lower bounds of the symmetric difference.
+Bits fold to half their number by XOR, so that sketches of unequal sizes compare.
 
 Two sets of sizes a and b link at similarity 0.8 only if they differ in at most
 ``(a + b) / 9`` shingles, and then in at most ``d = a / 4`` blocks. Hence (pigeonhole):
@@ -15,7 +16,7 @@ Two sets of sizes a and b link at similarity 0.8 only if they differ in at most
   share an equal block.
 
 Equal sets are one class from the start. Classes that share such a block are candidates:
-those whose folded sketches differ too much are dropped, the rest are verified on the
+those whose bits differ too much are dropped, the rest are verified on the
 sets themselves. Every block first proposes a single partner, its hub, to each of its
 classes, a few times over with other hubs; what the hubs have joined needs no comparing
 any more, so that a group of thousands of near copies costs its size and not its square.
@@ -49,7 +50,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE = 5
 HUB_ROUNDS = 2
-BITS = 1024
 CHUNK = 512
 _U = np.uint64
 _SALT = _U(0xA24BAED4963EE407)
@@ -105,12 +105,29 @@ def block_words(grams: np.ndarray, m: int) -> np.ndarray:
     return words
 
 
-def folded(grams: np.ndarray) -> np.ndarray:
-    """The sketch as 1,024 bits in 16 words: the parity of the shingles at each."""
-    odd = np.bincount((grams & _U(BITS - 1)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1
+def parities(grams: np.ndarray) -> np.ndarray:
+    """The sketch as bits: the parity of the shingles at each place. It has four to eight
+    bits for every shingle, in words of 64."""
+    size = max(256, 4 << len(grams).bit_length())
+    odd = np.bincount((grams & _U(size - 1)).astype(np.int64), minlength=size).astype(np.uint8) & 1
     return np.packbits(odd).view(np.int64)
 
 
+def fold(words: np.ndarray, size: int) -> np.ndarray:
+    """A sketch at a smaller size: places that fall together add up."""
+    return np.bitwise_xor.reduce(words.reshape(-1, size), 0)
+
+
+def near_enough(apart: np.ndarray, n: np.ndarray, m) -> np.ndarray:
+    """Whether sets of sizes n and m, whose sketches are so far apart, may link."""
+    return (9 * apart <= n + m) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m))
+
+
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    values, at = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
+    return [values[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
 def _sketch(batches):
     for batch in batches:
         for part in kernels.slices(batch):
@@ -168,7 +185,7 @@ def _candidate_sets(batches):
             yield pa.RecordBatch.from_arrays([
                 part.column(0).take(pa.array(good)),
                 pa.array([kernels.signed(g) for g in own], pa.list_(pa.int64())),
-                pa.array([folded(g) for g in own], pa.list_(pa.int64())),
+                pa.array([parities(g) for g in own], pa.list_(pa.int64())),
             ], ["id", "grams", "bits"])
 
 
@@ -193,13 +210,17 @@ def _near_in_buckets(batches):
     """
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
 
-    def pairs(ids, groups, sizes, bits):
+    def pairs(ids, groups, sizes, sketches):
         x, y = [], []
+        least = min(map(len, sketches))
+        bits = np.stack([fold(k, least) for k in sketches]).view(_U)
         for i in range(len(ids) - 1):
             rest = slice(i + 1, None)
+            good = groups[rest] != groups[i]
+            if not good.any():
+                continue
             apart = np.bitwise_count(bits[rest] ^ bits[i]).sum(1, dtype=np.int64)
-            good = ((groups[rest] != groups[i]) & (9 * apart <= sizes[rest] + sizes[i])
-                    & (5 * np.minimum(sizes[rest], sizes[i]) >= 4 * np.maximum(sizes[rest], sizes[i])))
+            good &= near_enough(apart, sizes[rest], sizes[i])
             found = np.flatnonzero(good) + i + 1
             x.append(np.minimum(ids[i], ids[found]))
             y.append(np.maximum(ids[i], ids[found]))
@@ -220,7 +241,7 @@ def _near_in_buckets(batches):
 
 def _blocks_out(batch, bounds, pairs, schema):
     ids, groups, sizes = (batch.column(i).to_numpy() for i in (3, 4, 5))
-    bits = batch.column(6).flatten().to_numpy().reshape(-1, BITS // 64)
+    bits = _lists(batch.column(6))
     out = [pairs(ids[a:b], groups[a:b], sizes[a:b], bits[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
     x, y = (np.concatenate(v) for v in zip(*out))
     if len(x):
@@ -252,17 +273,25 @@ def _left_apart(member: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _near_pairs(batches):
+    for batch in batches:
+        nx, ny = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        apart = []
+        for x, y in zip(_lists(batch.column(4)), _lists(batch.column(5))):
+            least = min(len(x), len(y))
+            apart.append(int(np.bitwise_count((fold(x, least) ^ fold(y, least)).view(_U)).sum()))
+        good = near_enough(np.array(apart, np.int64), nx, ny)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(good))
+
+
 def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (x, y) that their sketches allow to link."""
-    bits = sets.select("id", "bits", F.size("grams").alias("n"))
-    distance = F.aggregate(F.zip_with("bx", "by", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
-                           F.lit(0), lambda s, n: s + n)
+    bits = sets.select("id", "bits", F.size("grams").cast("long").alias("n"))
     return (
         pairs.join(bits.select(F.col("id").alias("x"), F.col("bits").alias("bx"), F.col("n").alias("nx")), "x")
         .join(bits.select(F.col("id").alias("y"), F.col("bits").alias("by"), F.col("n").alias("ny")), "y")
-        .where((9 * distance <= F.col("nx") + F.col("ny"))
-               & (5 * F.least("nx", "ny") >= 4 * F.greatest("nx", "ny")))
-        .select("x", "y")
+        .where(5 * F.least("nx", "ny") >= 4 * F.greatest("nx", "ny"))
+        .select("x", "y", "nx", "ny", "bx", "by").mapInArrow(_near_pairs, "x long, y long")
     )
 
 
