@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from turnmill.llm import jaccard, lm, neighbours, pieces, quality, repeats, toxicity, urls, warc
+import corpus_pipeline
+from turnmill.llm import jaccard, lm, mixing, neighbours, pieces, quality, repeats, toxicity, urls, warc
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -11,9 +12,11 @@ REGISTRY = {
     "op4_warc": warc.op4_warc,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_pieces": pieces.op6_pieces,
+    "op7_mixing": mixing.op7_mixing,
     "op8_quality": quality.op8_quality,
     "op9_lm": lm.op9_lm,
     "op10_suffix": repeats.op10_suffix,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
