@@ -31,7 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnmill.llm import kernels
-from turnmill.scratch import scratch_path
+from turnmill.scratch import scratch_path, stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -39,6 +39,7 @@ VERSION = b"WARC/1.1\r\n"
 MEMBER = b"\x1f\x8b\x08"
 REVISIT_FROM = 100
 _END = b"\r\n\r\n"
+_FEED = 16 << 10
 
 
 def record(page_id, target, payload: bytes | None, digest: str, refers_to=None, date="2024-01-01T00:00:00Z") -> bytes:
@@ -86,7 +87,7 @@ def _members(batches):
 
 def with_first(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
     """Rows (page_id, url, html, digest, refers_to)."""
-    rows = pages.select(
+    rows = kernels.small_batches(pages).select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")
     ).withColumn("digest", F.sha2("html", 256))
     again = (
@@ -140,18 +141,22 @@ def parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
 def records_at(data: bytes, at: int) -> tuple[list, int]:
     """The records of the member, or the plain record, at ``at``, and where it ends."""
     if data.startswith(MEMBER, at):
-        packer = zlib.decompressobj(31)
+        # Fed piece by piece: what the member leaves over is copied, and must be small.
+        packer, parts, fed = zlib.decompressobj(31), [], at
         try:
-            plain = packer.decompress(memoryview(data)[at:])
+            while not packer.eof and fed < len(data):
+                parts.append(packer.decompress(data[fed: fed + _FEED]))
+                fed = min(fed + _FEED, len(data))
         except zlib.error as error:
             raise Damage("bad member") from error
         if not packer.eof:
             raise Damage("cut off")
+        plain, end = b"".join(parts), fed - len(packer.unused_data)
         found, inner = [], 0
         while inner < len(plain):
             fields, block, inner = parse(plain, inner)
             found.append((fields, block))
-        return found, len(data) - len(packer.unused_data)
+        return found, end
     fields, block, end = parse(data, at)
     return [(fields, block)], end
 
@@ -236,13 +241,14 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     write_archives(kernels.documents(spark, sf_dir, "pages"), path)
-    records = read_archives(spark, path, with_payload=False).where("kind = 'record'")
-    first = records.where("record_type = 'response'").select(
-        F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("bytes"), F.col("payload_sha256").alias("sha"))
-    first = first.dropDuplicates(["refers_to"])
-    return records.join(first, "refers_to", "left").select(
-        "page_id", F.coalesce("payload_bytes", "bytes").alias("payload_bytes"),
-        F.coalesce("payload_sha256", "sha").alias("payload_digest"), "record_type", "refers_to")
+    # Parsed once: without payloads the records are a small table.
+    records = stage(read_archives(spark, path, with_payload=False).where("kind = 'record'").select(
+        "page_id", "payload_bytes", F.col("payload_sha256").alias("payload_digest"), "record_type", "refers_to"), "records")
+    plain = records.where("record_type <> 'revisit'")
+    named = plain.where("page_id is not null").groupBy(F.col("page_id").alias("refers_to")).agg(
+        F.min("payload_bytes").alias("payload_bytes"), F.min("payload_digest").alias("payload_digest"))
+    again = records.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(named, "refers_to")
+    return plain.unionByName(again)
 
 
 OP4_SQL = f"""
