@@ -94,7 +94,7 @@ class Strings:
         self.start = np.arange(total) + np.repeat(t.at[:-1] - (np.cumsum(counts) - counts), counts)
         empty = np.zeros(0, np.int64)
         self.first, self.anchor, self.of = empty, empty, empty
-        self.h = self.c = np.zeros(0, _U)
+        self.h = np.zeros(0, _U)
         if not total:
             return
         grams = t.run_hash(Q)
@@ -105,7 +105,6 @@ class Strings:
         self.first = np.flatnonzero(new)
         self.anchor, self.of = chosen[self.first], self.row[self.first]
         self.h = grams[self.anchor]
-        self.c = self.reach(self.anchor - (LENGTH - Q), self.anchor + LENGTH, self.anchor, self.of)
 
     def reach(self, low, high, anchor, of) -> np.ndarray:
         """Identifier of spans, cut at the ends of their texts, with the anchor's place."""
@@ -120,6 +119,18 @@ class Strings:
         """Strings of the given anchors."""
         return _ranges(self.first[anchors], np.append(self.first[1:], len(self.start))[anchors])
 
+    def end_of(self, level: int, first: np.ndarray) -> np.ndarray:
+        """Where the pieces of a level end that begin with the given strings."""
+        if level == 2 or not len(first):
+            return first + 1
+        of = self.of_string(first)
+        end = np.append(self.first[1:], len(self.start))[of]
+        if level == 1:
+            # Strings of a block start at its anchor's distance or nearer.
+            last = self.anchor[of] - (self.anchor[of] - self.start[first]) // BLOCK * BLOCK
+            end = np.minimum(end, first + (last - self.start[first]) + 1)
+        return end
+
     def ids(self, strings: np.ndarray) -> np.ndarray:
         return self.t.span_hash(self.start[strings], self.start[strings] + LENGTH)
 
@@ -128,7 +139,8 @@ class Strings:
         (0), those of a block of offsets (1), single ones (2). Gives the first string, the
         end, the bucket and the refined bucket of each."""
         if level == 0:
-            return self.first, np.append(self.first[1:], len(self.start)), self.h, self.c
+            around = self.reach(self.anchor - (LENGTH - Q), self.anchor + LENGTH, self.anchor, self.of)
+            return self.first, np.append(self.first[1:], len(self.start)), self.h, around
         if level == 2:
             ids = self.ids(inside)
             return inside, inside + 1, ids, ids
@@ -199,31 +211,24 @@ def covered(t: kernels.Texts, known: list[np.ndarray]) -> np.ndarray:
     s = Strings(t)
     again = np.zeros(len(s.start), bool)
     for level, starts in enumerate(known):
-        first, end, k, c = s.pieces(level, np.arange(len(s.start)) if level < 2 else np.flatnonzero(
-            np.isin(s.start, starts)))
-        gone = np.isin(s.start[first], starts)
-        if level == 0:
-            # What holds for the first anchor of a refined bucket in a text holds for the
-            # others, and all their strings stand earlier in the text.
-            later = np.ones(len(first), bool)
-            later[first_places(c, k, s.row[first])] = False
-            gone |= later
-        again[_ranges(first[gone], end[gone])] = True
+        first = np.flatnonzero(np.isin(s.start, starts)) if len(starts) else np.zeros(0, np.int64)
+        again[_ranges(first, s.end_of(level, first))] = True
     # Anchors whose bucket the text holds more than once: compare their strings.
-    order = np.lexsort((s.h, s.of))
-    same = (s.h[order][1:] == s.h[order][:-1]) & (s.of[order][1:] == s.of[order][:-1])
-    twice = np.zeros(len(s.h), bool)
+    key = kernels.mix(s.h + kernels.mix(s.of.astype(_U) + _U(1)))
+    order = np.argsort(key)
+    same = key[order][1:] == key[order][:-1]
+    twice = np.zeros(len(key), bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
     strings = s.strings_of(np.flatnonzero(twice))
-    of = s.of_string(strings)
-    later = np.ones(len(strings), bool)
-    later[first_places(s.ids(strings), s.h[of], s.row[strings])] = False
-    again[strings[later]] = True
+    if len(strings):
+        later = np.ones(len(strings), bool)
+        later[first_places(s.ids(strings), s.row[strings])] = False
+        again[strings[later]] = True
     step = np.zeros(len(t.data) + 1, np.int32)
     at = s.start[again]
-    np.add.at(step, at, 1)
-    np.add.at(step, at + LENGTH, -1)
+    step[at] += 1
+    step[at + LENGTH] -= 1
     return np.cumsum(step[:-1]) > 0
 
 
@@ -247,7 +252,7 @@ def _refined(rows: DataFrame, level: int) -> DataFrame:
 def found(docs: DataFrame) -> DataFrame:
     """(doc_id, known0, known1, known2): pieces of each document that stand in earlier
     ones, by level. Documents without any have no row."""
-    texts = docs.where("doc_id is not null and octet_length(text) >= 100").select(
+    texts = kernels.small_batches(docs).where("doc_id is not null and octet_length(text) >= 100").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text")
     known, opened, with_open = None, [], texts
     for level, name in enumerate(LEVELS):
