@@ -337,7 +337,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, ka, kb) of every row; ``ka`` and ``kb`` are the
     key of its shingle set."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = kernels.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stage(texts.mapInArrow(_sketch, "doc_id long, n_shingles long, ka long, kb long"), "keys")
     # One class per distinct set; its first id names it.
     classes = (

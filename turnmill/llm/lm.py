@@ -168,12 +168,12 @@ def _score(listed, counts, own, number, table, form_total):
                 symbols = _symbols(t, own, number)
                 code, row = triples(t, symbols)
                 rows = t.rows
-                model = np.bincount(row, weights=table.value[code].astype(np.float64), minlength=rows)
+                model = np.bincount(row, weights=table.value[code].astype(np.float64), minlength=rows).astype(np.float64)
                 word_row = t.row_of_word()
                 c = lookup(t.word_hash, listed.value, counts.value, np.full(len(word_row), -1))
                 here = c > 0
                 gain = np.where(here, np.log10(np.maximum(c, 0) + 1.0), 0.0)
-                base = np.bincount(word_row, weights=gain, minlength=rows)
+                base = np.bincount(word_row, weights=gain, minlength=rows).astype(np.float64)
                 tail = symbols > OWN
                 inside = np.where(tail, gain - form_total[np.maximum(symbols - 1 - OWN, 0)], 0.0)
                 model += np.bincount(word_row, weights=inside, minlength=rows)
@@ -189,7 +189,7 @@ def _score(listed, counts, own, number, table, form_total):
                 offsets = pa.array(np.searchsorted(r[at], np.arange(rows + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(2), pa.array(t.n_words + 1), pa.array(known),
-                    pa.array(base), pa.array(model),
+                    pa.array(base, pa.float64()), pa.array(model, pa.float64()),
                     pa.ListArray.from_arrays(offsets, pa.array(kernels.signed(h[at]))),
                     pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
                 ], ["doc_id", "held_out", "n_tokens", "known", "base", "model", "words", "times"])
@@ -199,7 +199,7 @@ def _score(listed, counts, own, number, table, form_total):
 def scored(docs: DataFrame, held_out: Column, listed: int = LISTED, **training) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row."""
     spark = docs.sparkSession
-    rows = docs.select(
+    rows = kernels.small_batches(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         F.coalesce(held_out, F.lit(False)).alias("held_out"))
     learn = rows.where(~F.col("held_out")).select("doc_id", "text")

@@ -157,7 +157,7 @@ def rates(docs: DataFrame, labelled: DataFrame, domain: str = "lang", train_rows
     if not domains:
         domains, log = ["none"], np.zeros((1, BUCKETS), np.float32)
     sent = docs.sparkSession.sparkContext.broadcast(log)
-    features = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    features = stage(kernels.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _features(sent), "doc_id long, tokens long, p array<double>"), "membership")
     return features, domains, log, fit_rates(features, domains, **mixing)
 
@@ -185,7 +185,7 @@ def mixed(docs: DataFrame, labelled: DataFrame, domain: str = "lang", least: flo
     _, _, log, steps = rates(docs, labelled, domain, train_rows, least=least, **mixing)
     sent = docs.sparkSession.sparkContext.broadcast(log)
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    inner = docs.withColumn("_chance", chance)
+    inner = kernels.small_batches(docs).withColumn("_chance", chance)
     return inner.mapInArrow(_repeat(sent, steps, least, docs.columns), docs.schema)
 
 

@@ -453,7 +453,7 @@ def encoded(docs: DataFrame, model: bytes | None = None) -> DataFrame:
 
     schema = T.StructType([docs.schema[n] for n in names])
     schema = schema.add("n_tokens", T.LongType()).add("ids", T.ArrayType(T.IntegerType()))
-    return docs.select(*names).mapInArrow(run, schema)
+    return kernels.small_batches(docs).select(*names).mapInArrow(run, schema)
 
 
 def decoded(rows: DataFrame, model: bytes | None = None) -> DataFrame:
@@ -476,7 +476,7 @@ def decoded(rows: DataFrame, model: bytes | None = None) -> DataFrame:
                     [*names, "decoded"])
 
     schema = T.StructType([rows.schema[n] for n in names]).add("decoded", T.StringType())
-    return rows.select(*names).mapInArrow(run, schema)
+    return kernels.small_batches(rows).select(*names).mapInArrow(run, schema)
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

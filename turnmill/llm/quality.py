@@ -180,7 +180,7 @@ def keep_clean(docs: DataFrame, rules=RULES, sample_rows: int = 256) -> DataFram
             for part in kernels.slices(batch):
                 yield part.filter(pa.array(survivors(part, plan)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return kernels.small_batches(docs).mapInArrow(run, docs.schema)
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -201,7 +201,7 @@ def judged(docs: DataFrame, rules=RULES, sample_rows: int = 256) -> DataFrame:
                     ["doc_id", *COUNTS, "kept"])
 
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", kept boolean"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return kernels.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

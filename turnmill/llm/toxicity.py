@@ -85,7 +85,7 @@ def windows(t: kernels.Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(t: kernels.Texts, toxic: np.ndarray, rounds: int = 60, rate: float = 0.3, floor: float = 0.02,
-          least_texts: int = 10, seed: int = 3):
+          least_texts: int = 10, decay: float = 0.0, seed: int = 3):
     """Weight of each bucket, and of an empty window, for the class ``toxic``."""
     rng = np.random.default_rng(seed)
     starts, ends, number = distinct_words(t)
@@ -141,6 +141,7 @@ def train(t: kernels.Texts, toxic: np.ndarray, rounds: int = 60, rate: float = 0
             "vectors": add_up(bucket, d_words[owner], len(used)),
             "softmax": hidden.T @ error, "bias": error.sum(0),
         }
+        grads["vectors"] += decay * vectors
         for name, value in params.items():
             # Adam with a floor under the step's divisor: n-grams of a few texts, whose
             # gradients are small, move little, and those that tell the classes apart fast.
@@ -217,7 +218,7 @@ def scored(docs: DataFrame, labels: DataFrame, **training) -> DataFrame:
                     [part.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                     ["doc_id", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return kernels.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, score double, predicted int")
 
 
