@@ -84,8 +84,8 @@ def windows(t: kernels.Texts) -> tuple[np.ndarray, np.ndarray]:
     return first[row] + place // WINDOW, np.repeat(np.arange(t.rows), count)
 
 
-def train(t: kernels.Texts, toxic: np.ndarray, rounds: int = 60, rate: float = 0.3, floor: float = 0.02,
-          least_texts: int = 10, decay: float = 0.0, seed: int = 3):
+def train(t: kernels.Texts, toxic: np.ndarray, rounds: int = 90, rate: float = 0.3, floor: float = 0.02,
+          least_texts: int = 10, decay: float = 1e-4, seed: int = 3):
     """Weight of each bucket, and of an empty window, for the class ``toxic``."""
     rng = np.random.default_rng(seed)
     starts, ends, number = distinct_words(t)
