@@ -66,7 +66,7 @@ def _last_least(values: np.ndarray, width: int) -> np.ndarray:
     n = len(values)
     full = np.full(-(-n // width) * width, np.iinfo(values.dtype).max, values.dtype)
     full[:n] = values
-    place = np.arange(len(full), dtype=np.int64)
+    place = np.arange(len(full), dtype=np.int32)
     block, at = full.reshape(-1, width), place.reshape(-1, width)
     left = np.minimum.accumulate(block, 1)
     left_at = np.maximum.accumulate(np.where(block == left, at, 0), 1).reshape(-1)
@@ -98,7 +98,8 @@ class Strings:
         if not total:
             return
         grams = t.run_hash(Q)
-        chosen = _last_least(grams, LENGTH - Q + 1)[self.start]
+        # The order of q-grams is that of half their hash: half the memory to go through.
+        chosen = _last_least((grams >> _U(32)).astype(np.uint32), LENGTH - Q + 1)[self.start].astype(np.int64)
         new = np.ones(total, bool)
         new[1:] = chosen[1:] != chosen[:-1]
         #: By anchor: its first string, its place, its text, its bucket.
@@ -238,10 +239,13 @@ LEVELS = ("known0", "known1", "known2")
 def _refined(rows: DataFrame, level: int) -> DataFrame:
     """(doc_id, start, later, apart) of the pieces in buckets of more than one: whether
     all strings of a piece stand earlier, and whether its bucket fell apart."""
+    # Two steps read the pieces, and making them costs more than writing them down.
+    rows = stage(rows, f"pieces{level}")
     large = rows.groupBy("k").agg(
         F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high")
     ).where("n > 1").select("k", (F.col("low") != F.col("high")).alias("apart"))
     members = stage(rows.join(large, "k"), f"members{level}")
+    drop(rows)
     firsts = members.groupBy("k", "c").agg(F.min("doc_id").alias("first"))
     told = stage(members.join(firsts, ["k", "c"]).where("apart or doc_id > first").select(
         "doc_id", "start", "apart", (F.col("doc_id") > F.col("first")).alias("later")), f"told{level}")
