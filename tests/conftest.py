@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -15,6 +16,7 @@ SESSION = (
     .config("spark.ui.enabled", "false")
     .config("spark.ui.showConsoleProgress", "false")
     .config("spark.sql.session.timeZone", "UTC")
+    .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="turnmill-tests-"))
     .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     .getOrCreate()
 )

@@ -82,3 +82,13 @@ def test_messages_are_stripped(spark):
     assert [tuple(m) for m in row["messages"]] == [
         ("system", config.SYSTEM_PROMPT), ("user", "U"), ("assistant", "A")]
     assert cleaning.to_chat(df, keep=()).columns == ["messages"]
+
+
+def test_turns_with_gaps_tools_and_an_opened_answer(spark):
+    turns = spark.createDataFrame(
+        [(1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 4, "user", "c"), (None, 1, "user", "x")],
+        "conv_id long, turn long, role string, content string")
+    tools = spark.createDataFrame([(1, ["T"])], "conv_id long, tools array<string>")
+    got = [r.chat_text for r in cleaning.render_turns(turns, tools, True).orderBy("turn").collect()]
+    assert len(got) == 3 and sum("<|im_start|>system" in t for t in got) == 1 and "T" in got[0]
+    assert got[2].endswith("<|im_start|>assistant\n") and not got[1].endswith("assistant\n")

@@ -132,3 +132,12 @@ def test_optional_columns_and_row_ids(spark):
     assert row["intent"] is None and row["category"] == ""
     again = cleaning.with_row_id(cleaning.with_defaults(df.select("response", "intent", "instruction")))
     assert again.first()["row_id"] == row["row_id"]
+
+
+def test_small_holdout_shares_leave_no_split_empty(spark):
+    rows = spark.range(100000).select(F.col("id").cast("string").alias("row_id"))
+    for share in (0.01, 0.004):
+        params = config.CurateParams(holdout_share=share)
+        n = {r["split"]: r["count"] for r in sampling.split_hashed(rows, params).groupBy("split").count().collect()}
+        for split in ("validation", "test"):
+            assert abs(n[split] - 100000 * share / 2) < 5 * (100000 * share / 2) ** 0.5

@@ -74,3 +74,15 @@ def test_values_that_could_form_a_marker_are_refused():
         markers._check(["Number"], ["Order Number"])
     with pytest.raises(ValueError):
         markers._check(["{{x}}"], ["App"])
+
+
+def test_no_markers_configured_keeps_the_text(values):
+    got = values(["a {{}} tail {{Order Number}} text"], markers.replace_markers(F.col("x"), F.lit("1"), "x"))
+    assert got == ["a {{}} tail {{Order Number}} text"]
+
+
+def test_empty_pool_and_empty_value(values):
+    got = values(["a {{P}} b"], markers.replace_markers(F.col("x"), F.lit("1"), "x", pools={"P": []}))
+    assert got == [f"a {config.LEFTOVER_TEXT} b"]
+    with pytest.raises(ValueError):
+        markers.replace_markers(F.col("x"), F.lit("1"), "x", static={"P": ""})

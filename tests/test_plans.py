@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 KERNEL_QUERIES = {
     "a9_rouge1", "a10_rouge2", "a11_rougeL", "a12_rougeLsum", "a13_bleu", "row_scores", "a16_per_intent",
     "r1_metric_set", "r2_improvement", "r3_result", "r4_summary", "r5_verdict", "r6_executive", "r7_bars",
-    "r8_rouge_series", "r9_heat_scale", "r12_thresholds", "f7_intent_guard", "f8_min_group",
+    "io6_report_from_csv", "plan_evaluate", "r8_rouge_series", "r9_heat_scale", "r12_thresholds", "f7_intent_guard", "f8_min_group",
 }
 
 
@@ -62,3 +62,22 @@ def test_evaluation_and_report(spark):
     assert {name: df.count() for name, df in report.items()} == {
         "verdict": 1, "executive": 9, "comparison": 10, "rouge_breakdown": 8, "improvement": 6,
         "lengths": 102, "length_means": 3, "loss_curve": 1000, "training": 1, "examples": 8, "guide": 7}
+
+
+def test_one_lookup_finds_subset_and_splits(spark, monkeypatch):
+    looked_up = []
+    original = sampling._locate
+    monkeypatch.setattr(sampling, "_locate", lambda *a: looked_up.append(1) or original(*a))
+    REGISTRY["s7_train_subset"](spark, SF)
+    assert len(looked_up) == 1
+
+
+@pytest.mark.parametrize("name", ["s4_split_exact", "s6_eval_sample", "s7_train_subset", "s8_first_example"])
+def test_splits_neither_deal_out_nor_range_sort(spark, name):
+    plan = physical(REGISTRY[name](spark, SF))
+    assert "RoundRobinPartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_reference_is_prepared_once(spark):
+    plan = REGISTRY["r1_metric_set"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

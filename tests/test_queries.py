@@ -5,10 +5,10 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as driver
+from workload.oracles import ORACLES
+from workload.queries import REGISTRY as QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -39,5 +39,7 @@ def test_query(spark, database, name):
 
 
 def test_entry(spark):
+    import __spark_entry__ as driver
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
     rows = {r["split"]: r["rows"] for r in driver.entry(spark).collect()}
     assert rows["total"] == sum(n for split, n in rows.items() if split != "total") > 0

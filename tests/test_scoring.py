@@ -234,3 +234,38 @@ def test_pairing_of_runs(spark):
 
 def test_no_rows_give_no_metrics(predictions):
     assert scoring.metric_set(predictions.limit(0)).count() == 0
+
+
+def test_pair_runs_takes_whole_rows_of_any_model_name(spark):
+    models = ("qwen2.5-base", "qwen2.5-tuned")
+    runs = spark.createDataFrame([
+        ("1", models[0], "a", 9.0), ("1", models[0], "b", 1.0), ("1", models[1], "c", 2.0), ("1", models[1], None, 3.0),
+        ("2", models[0], "a", 1.0), (None, models[0], "x", 1.0), (None, models[1], "x", 1.0),
+    ], "row_id string, model string, answer string, sec double")
+    references = spark.createDataFrame([("1", "r"), ("2", "r")], "row_id string, reference string")
+    assert [tuple(r) for r in scoring.pair_runs(runs, references, models).collect()] == [("1", "r", "b", 1.0, "c", 2.0)]
+
+
+def test_wide_scores_equal_long_ones(spark):
+    df = spark.createDataFrame([
+        ("1", "i", "the cat sat\non the mat", "the cat", "on the mat\nthe cat", 1.0),
+        ("2", None, "", "", "x", None), ("3", "j", None, None, "a b c d e", 2.0),
+    ], "row_id string, intent string, reference string, baseline string, fine_tuned string, baseline_sec double")
+    wide = scoring.scored_answers(df)
+    long = scoring.row_scores(scoring.stack_answers(df))
+    assert sorted(map(str, wide.select(long.columns).collect())) == sorted(map(str, long.collect()))
+
+
+def test_long_lines_need_little_memory():
+    """One line of 20,000 words on both sides: a row of bits is kept per square root."""
+    import random
+    import tracemalloc
+    r = random.Random(1)
+    words = [f"w{r.randrange(500)}" for _ in range(20000)]
+    other = [w if r.random() < 0.9 else "x" for w in words]
+    tracemalloc.start()
+    hits = overlap._line_hits(" ".join(words).encode(), " ".join(other).encode())
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert hits == overlap._lcs_hits(" ".join(words).encode(), " ".join(other).encode())
+    assert peak < 40 << 20

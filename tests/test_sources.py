@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_compare import BASE, DELTA, TUNED, table
 from turnmill import config, scratch
 from turnmill.operators import compare, trainlog
+from turnmill.plans.curate import curate
 from turnmill.sources import metrics as metric_files
 from turnmill.sources import predictions as prediction_files
 from turnmill.sources import rows as row_files
@@ -52,7 +53,9 @@ def test_document(spark, tmp_path):
     stored = json.loads(text)
     assert stored["eval_samples"] == 50
     for part, values in (("base_model", BASE), ("fine_tuned", TUNED), ("improvement", DELTA)):
-        assert stored[part] == {k: "N/A" if v is None else v for k, v in values.items()}
+        # Generation time is no improvement: the key is not in that part.
+        assert stored[part] == {k: "N/A" if v is None else v for k, v in values.items()
+                                if part != "improvement" or k != "avg_generation_time_sec"}
     back = metric_files.document_metrics(metric_files.read_document(spark, path))
     assert {(r["model"], r["metric"]): r["value"] for r in back.collect()} == {
         (m, k): v for m, vs in (("baseline", BASE), ("fine_tuned", TUNED)) for k, v in vs.items()}
@@ -91,13 +94,6 @@ def test_read_rows(spark, tmp_path):
     assert row.asDict() == {"row_id": "1", "instruction": "i", "response": "r", "intent": None, "category": None}
 
 
-def test_spread_leaves_large_inputs_alone(spark, tmp_path):
-    spark.range(100).repartition(1).write.parquet(str(tmp_path / "one"))
-    small = spark.read.parquet(str(tmp_path / "one"))
-    assert row_files.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 9)
-    assert row_files.spread(many) is many
-
 
 def session(setting, master):
     conf = SimpleNamespace(get=lambda key, default: setting if key == "spark.checkpoint.dir" else default)
@@ -116,3 +112,53 @@ def test_stage(spark):
     df = scratch.stage(spark.range(3), "numbers")
     assert sorted(r["id"] for r in df.collect()) == [0, 1, 2]
     assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text('category,response,instruction\nc,"use a ""card""\nplease",how do I pay\n')
+    row = row_files.read_rows(spark, str(tmp_path / "raw.csv"), "csv").first().asDict()
+    key = row.pop("row_id")
+    assert row == {"instruction": "how do I pay", "response": 'use a "card"\nplease', "intent": None, "category": "c"}
+    assert len(key) == 64
+
+
+def test_rows_without_a_key_go_through_the_curation(spark, tmp_path):
+    rows = [(f"how do I pay number {i}", "with {{Order Number}} and a card", "i", "c") for i in range(30)]
+    path = str(tmp_path / "raw")
+    spark.createDataFrame(rows, "instruction string, response string, intent string, category string").write.parquet(path)
+    raw = row_files.read_rows(spark, path)
+    assert raw.select("row_id").distinct().count() == 30
+    curate(raw, str(tmp_path / "chat"), str(tmp_path / "splits"))
+    assert row_files.read_splits(spark, str(tmp_path / "splits")).count() == 30
+
+
+def test_bad_rows_are_refused(spark, tmp_path):
+    spark.createDataFrame([(None, "i", "r")], "row_id string, instruction string, response string"
+                          ).write.parquet(str(tmp_path / "null_key"))
+    with pytest.raises(Exception, match="row_id is null"):
+        row_files.read_rows(spark, str(tmp_path / "null_key")).collect()
+    (tmp_path / "raw.csv").write_text("prompt,response\na,b\n")
+    with pytest.raises(ValueError, match="instruction"):
+        row_files.read_rows(spark, str(tmp_path / "raw.csv"), "csv")
+
+
+def test_predictions_keep_key_and_order(spark, tmp_path):
+    schema = "row_id string, split_order string, prompt string, reference string, baseline string, fine_tuned string," \
+             " intent string, category string"
+    rows = [(str(i), f"{i % 3}", f"p{i}", "r", "b", "t", "i", "c") for i in range(20)]
+    path = str(tmp_path / "predictions")
+    prediction_files.write_predictions(spark.createDataFrame(rows, schema), path)
+    back = prediction_files.read_predictions(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    shown = [r.prompt for r in compare.examples(back).orderBy("example").collect()]
+    assert shown == [r[2] for r in sorted(rows, key=lambda r: (r[1], r[0]))[:8]]
+    shuffled = [c for c in reversed(schema.replace(" string", "").replace(" ", "").split(","))]
+    other = str(tmp_path / "shuffled")
+    prediction_files.write_predictions(spark.createDataFrame(rows, schema), other, shuffled)
+    assert sorted(map(tuple, prediction_files.read_predictions(spark, other).select(back.columns).collect())) == sorted(rows)
+
+
+def test_examples_of_a_file_without_a_key(spark):
+    df = spark.createDataFrame([(f"p{i}", "r", "b", "t", "i", "c") for i in range(20)], config.PREDICTION_SCHEMA)
+    assert compare.examples(df).count() == 8
+    assert compare.examples(df.limit(3)).count() == 3

@@ -33,7 +33,7 @@ def draw(*key: Column | str) -> Column:
 
 def _check(values, names) -> None:
     for value in values:
-        if "{" in value or "}" in value or any(value and value in n for n in names):
+        if not value or "{" in value or "}" in value or any(value in n for n in names):
             raise ValueError(f"marker value {value!r} could form another marker")
 
 
@@ -46,17 +46,20 @@ def replace_markers(
     numbers: dict | None = None,
     pools: dict | None = None,
 ) -> Column:
-    """Replace every occurrence of the given markers, case-sensitively."""
+    """Replace every occurrence of the given markers, case-sensitively. Without any the
+    text stays; a marker whose pool is empty becomes the neutral phrase."""
     static, numbers, pools = static or {}, numbers or {}, pools or {}
     names = [*static, *numbers, *pools]
-    _check([*static.values(), *(p for p, _, _ in numbers.values()),
+    if not names:
+        return text
+    _check([*static.values(), *(p for p, _, _ in numbers.values() if p),
             *(v for pool in pools.values() for v in pool)], names)
     pattern = marker_pattern(names)
 
     # One constant map from name to how its value is made; a value is either picked
     # from choices or a number behind a prefix.
     specs = {name: {"choices": [value]} for name, value in static.items()}
-    specs |= {name: {"choices": list(pool)} for name, pool in pools.items()}
+    specs |= {name: {"choices": list(pool) or [config.LEFTOVER_TEXT]} for name, pool in pools.items()}
     specs |= {
         name: {"prefix": prefix, "low": low, "span": high - low + 1}
         for name, (prefix, low, high) in numbers.items()
@@ -83,7 +86,7 @@ def replace_markers(
     pieces = F.transform(
         parts,
         lambda part, i: F.when(i == 0, part["1"]).otherwise(
-            F.concat(value(part["0"], i), part["1"])
+            F.concat(F.coalesce(value(part["0"], i), F.lit("")), F.coalesce(part["1"], F.lit("")))
         ),
     )
     return F.when(F.contains(text, F.lit("{{")), F.array_join(pieces, "")).otherwise(text)

@@ -8,6 +8,7 @@ slower, and the alignment several hundred times, more so on long answers.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections import Counter
 from itertools import chain
@@ -194,25 +195,40 @@ def _lcs_hits(answer: bytes, reference: bytes) -> int:
 def _lcs_positions(words: list[str], positions: list[int], size: int, places: dict) -> list[int]:
     """Of ``positions`` in ``words``, those on one longest common subsequence with a
     line of ``size`` words: traced from the ends, an unused word of ``words`` is passed
-    over before one of the line."""
-    row = full = (1 << size) - 1
-    rows = [row]
-    for i in positions:
+    over before one of the line.
+
+    A row of bits is kept for every so many words only, and those between are made again
+    when the trace comes to them: two square roots of the rows are held at a time.
+    """
+    full = (1 << size) - 1
+
+    def step(row: int, i: int) -> int:
         match = row & places[words[i]]
-        row = ((row + match) | (row - match)) & full
-        rows.append(row)
+        return ((row + match) | (row - match)) & full
+
+    every = max(1, math.isqrt(len(positions)))
+    row, kept = full, [full]
+    for k, i in enumerate(positions, 1):
+        row = step(row, i)
+        if k % every == 0:
+            kept.append(row)
     hits, end = [], full  # bits of the line's words still open
-    for k in range(len(positions), 0, -1):
-        place = places[words[positions[k - 1]]] & end
-        last = place.bit_length()
-        if last != end.bit_length() and (
-            (rows[k] & end).bit_count() == (rows[k - 1] & end).bit_count()
-        ):
-            continue
-        hits.append(positions[k - 1])
-        end = (1 << (last - 1)) - 1
-        if not end:
-            break
+    for block in range((len(positions) - 1) // every, -1, -1):
+        low = block * every
+        rows = [kept[block]]
+        for i in positions[low: low + every]:
+            rows.append(step(rows[-1], i))
+        for k in range(len(rows) - 1, 0, -1):
+            place = places[words[positions[low + k - 1]]] & end
+            last = place.bit_length()
+            if last != end.bit_length() and (
+                (rows[k] & end).bit_count() == (rows[k - 1] & end).bit_count()
+            ):
+                continue
+            hits.append(positions[low + k - 1])
+            end = (1 << (last - 1)) - 1
+            if not end:
+                return hits
     return hits
 
 
@@ -242,44 +258,53 @@ def _line_hits(answer: bytes, reference: bytes) -> int:
     return sum(min(count, left[word]) for word, count in found.items())
 
 
-def rouge_scores(keys: tuple[str, ...]):
-    """Arrow function (answer, reference) -> struct of the asked F-scores.
+def rouge_scores(keys: tuple[str, ...], answers: int = 1):
+    """Arrow function (answer, ..., reference) -> struct of the asked F-scores.
 
-    Both texts come from ``rouge_text``.
+    All texts come from ``rouge_text``. With several answers the fields of the i-th are
+    named ``m<i>_<key>``.
     """
+    n_grams = [int(key[-1]) for key in keys if key in ("rouge1", "rouge2")]
+    names = [key if answers == 1 else f"m{i}_{key}" for i in range(answers) for key in keys]
+
+    def score(*texts: pa.Array) -> pa.Array:
+        references, columns = texts[-1], []
+        prepared = _rouge_bytes(references)
+        for own in texts[:-1]:
+            shared, a_sizes, r_sizes = _shared_ngrams(own, references, max(n_grams, default=0), _rouge_bytes)
+            for key in keys:
+                if key in ("rouge1", "rouge2"):
+                    n = int(key[-1])
+                    hits, less = shared[n - 1], n - 1
+                else:
+                    count = _lcs_hits if key == "rougeL" else _line_hits
+                    pairs = zip(_rouge_bytes(own), prepared)
+                    hits, less = np.array([count(a, r) for a, r in pairs], np.int64), 0
+                columns.append(pa.array(_f_scores(hits, a_sizes - less, r_sizes - less)))
+        return pa.StructArray.from_arrays(columns, names=names)
 
-    def score(answers: pa.Array, references: pa.Array) -> pa.Array:
-        n_grams = [int(key[-1]) for key in keys if key in ("rouge1", "rouge2")]
-        shared, a_sizes, r_sizes = _shared_ngrams(answers, references, max(n_grams, default=0), _rouge_bytes)
-        columns = []
-        for key in keys:
-            if key in ("rouge1", "rouge2"):
-                n = int(key[-1])
-                hits, less = shared[n - 1], n - 1
-            else:
-                count = _lcs_hits if key == "rougeL" else _line_hits
-                pairs = zip(_rouge_bytes(answers), _rouge_bytes(references))
-                hits, less = np.array([count(a, r) for a, r in pairs], np.int64), 0
-            columns.append(pa.array(_f_scores(hits, a_sizes - less, r_sizes - less)))
-        return pa.StructArray.from_arrays(columns, names=list(keys))
+    return F.arrow_udf(score, ", ".join(f"{name} double" for name in names))
 
-    return F.arrow_udf(score, ", ".join(f"{key} double" for key in keys))
 
+BLEU_COUNTS = (*(f"m{n}" for n in ORDERS), "answer_size", "reference_size")
 
-def bleu_counts():
-    """Arrow function (answer, reference) -> struct of matches by order and lengths.
 
-    Both texts come from ``bleu_text``.
+def bleu_counts(answers: int = 1):
+    """Arrow function (answer, ..., reference) -> struct of matches by order and lengths.
+
+    All texts come from ``bleu_text``. With several answers the fields of the i-th are
+    named ``a<i>_<field>``.
     """
+    names = [key if answers == 1 else f"a{i}_{key}" for i in range(answers) for key in BLEU_COUNTS]
 
-    def count(answers: pa.Array, references: pa.Array) -> pa.Array:
-        shared, a_sizes, r_sizes = _shared_ngrams(answers, references, max(ORDERS))
-        names = [*(f"m{n}" for n in ORDERS), "answer_size", "reference_size"]
-        columns = [pa.array(c, pa.int64()) for c in (*shared, a_sizes, r_sizes)]
+    def count(*texts: pa.Array) -> pa.Array:
+        columns = []
+        for own in texts[:-1]:
+            shared, a_sizes, r_sizes = _shared_ngrams(own, texts[-1], max(ORDERS))
+            columns += [pa.array(c, pa.int64()) for c in (*shared, a_sizes, r_sizes)]
         return pa.StructArray.from_arrays(columns, names=names)
 
-    schema = ", ".join(f"m{n} long" for n in ORDERS) + ", answer_size long, reference_size long"
-    return F.arrow_udf(count, schema)
+    return F.arrow_udf(count, ", ".join(f"{name} long" for name in names))
 
 
 def bleu_from_sums(matches: list[Column], possible: list[Column],

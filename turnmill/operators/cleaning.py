@@ -13,7 +13,8 @@ def with_row_id(df: DataFrame) -> DataFrame:
     """Give rows without a key one that is the same on every read: a hash of all
     columns. Identical rows share it."""
     columns = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]))
-    return df.withColumn("row_id", F.sha2(columns, 256))
+    names = [c for c in df.columns if c != "row_id"]
+    return df.select(F.sha2(columns, 256).alias("row_id"), *[F.col(f"`{c}`") for c in names])
 
 
 def with_defaults(df: DataFrame, columns=("intent", "category"), default: str = "") -> DataFrame:
@@ -64,23 +65,33 @@ def to_chat(df: DataFrame, keep=("split", "row_id"), system: str = config.SYSTEM
     )
 
 
-def render_turns(turns: DataFrame) -> DataFrame:
+def render_turns(turns: DataFrame, tools: DataFrame | None = None, generation_prompt: bool = False) -> DataFrame:
     """Chat text of conversations kept as one row per turn: (conv_id, turn, chat_text).
 
-    A conversation's text is its rows' texts in turn order. Turns are numbered without
-    gaps, and a turn's text needs the roles before and after it only, so both are found
-    by equi-joins on (conv_id, turn): a conversation of any length spreads over all
-    tasks and is never gathered in one.
+    A conversation's text is its rows' texts in turn order. A turn's text needs the roles
+    of turns ``turn - 1`` and ``turn + 1`` only, found by equi-joins on (conv_id, turn): a
+    conversation of any length spreads over all tasks and is never gathered in one. Its
+    first and last turn are the smallest and largest number, whatever gaps there are; a
+    turn at a gap has no neighbour there. ``tools`` holds (conv_id, tools), an array with
+    one JSON text per tool; ``generation_prompt`` opens an assistant block behind the last
+    turn. Rows without ``conv_id`` or ``turn`` belong to no conversation and are left out.
     """
+    turns = turns.where("conv_id is not null and turn is not null")
     roles = turns.select("conv_id", "turn", "role")
     before = roles.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
     after = roles.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("role").alias("after"))
-    role, content, first = F.col("role"), F.col("content"), F.col("before").isNull()
+    ends = turns.groupBy("conv_id").agg(F.min("turn").alias("_first"), F.max("turn").alias("_last"))
+    role, content = F.col("role"), F.col("content")
+    first, last = F.col("turn") == F.col("_first"), F.col("turn") == F.col("_last")
     calls = F.col("tool_calls") if "tool_calls" in turns.columns else None
+    rows = turns.join(before, ["conv_id", "turn"], "left").join(after, ["conv_id", "turn"], "left").join(ends, "conv_id")
+    listed = None
+    if tools is not None:
+        rows = rows.join(tools.select("conv_id", F.col("tools").alias("_tools")), "conv_id", "left")
+        listed = F.coalesce("_tools", F.array().cast("array<string>"))
     own = chat.segment(role, content, F.col("before"), F.col("after"), first, calls)
-    header = F.when(first, chat.system_header(role, content)).otherwise(F.lit(""))
-    return (
-        turns.join(before, ["conv_id", "turn"], "left")
-        .join(after, ["conv_id", "turn"], "left")
-        .select("conv_id", "turn", F.concat(header, own).alias("chat_text"))
-    )
+    header = F.when(first, chat.system_header(role, content, listed)).otherwise(F.lit(""))
+    parts = [header, own]
+    if generation_prompt:
+        parts.append(F.when(last, "<|im_start|>assistant\n").otherwise(F.lit("")))
+    return rows.select("conv_id", "turn", F.concat(*parts).alias("chat_text"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from turnmill import config
+from turnmill.operators.cleaning import with_row_id
 from turnmill.functions.text import change_direction, change_text, excerpt, fixed, plain, present, rounded
 
 
@@ -81,7 +82,8 @@ def executive(metrics: DataFrame) -> DataFrame:
 
     def shown(value: Column) -> Column:
         return (
-            F.when(F.col("digits") == 4, fixed(value, 4))
+            F.when(value.isNull() & ~F.col("shows_change"), "—")
+            .when(F.col("digits") == 4, fixed(value, 4))
             .when(F.col("digits") == 2, fixed(value, 2))
             .otherwise(plain(value))
         )
@@ -145,21 +147,42 @@ def guide(metrics: DataFrame) -> DataFrame:
 
 def examples(predictions: DataFrame, n: int = config.EXAMPLE_ROWS,
              limit: int = config.EXCERPT_CHARS) -> DataFrame:
-    """The first ``n`` rows side by side, long texts cut with an ellipsis."""
+    """The first ``n`` rows in evaluation order side by side, long texts cut with an
+    ellipsis.
+
+    The order is ``split_order``, if there, then ``row_id``; without a key, one is derived.
+    The last key wanted is looked up on the order columns alone, so that texts of no more
+    than ``n`` rows meet in one task.
+    """
+    if "row_id" not in predictions.columns:
+        predictions = with_row_id(predictions)
+    order = [c for c in ("split_order", "row_id") if c in predictions.columns]
+
     def optional(name: str) -> Column:
         found = F.col(name) if name in predictions.columns else F.lit(None).cast("string")
         return F.coalesce(found, F.lit("—"))
 
-    picked = predictions.orderBy("row_id").limit(n).select(
-        "row_id",
+    firsts = predictions.select(*order).orderBy(*order).limit(n).collect()
+    if len(firsts) == n:
+        predictions = predictions.where(_upto([F.col(c) for c in order], list(firsts[-1])))
+    picked = predictions.orderBy(*order).limit(n).select(
+        *order,
         optional("intent").alias("intent"),
         optional("category").alias("category"),
         "prompt",
         *[excerpt(F.col(c), limit).alias(c) for c in ("reference", "baseline", "fine_tuned")],
     )
     # At most n rows are left, so numbering them in one task is no matter of scale.
-    number = F.row_number().over(Window.orderBy("row_id")).cast("long")
-    return picked.withColumn("example", number)
+    number = F.row_number().over(Window.orderBy(*order)).cast("long")
+    return picked.withColumn("example", number).drop("split_order")
+
+
+def _upto(columns: list[Column], values: list) -> Column:
+    """Whether a row's columns sort no later than the values; null sorts first."""
+    first, value = columns[0], values[0]
+    before = F.lit(False) if value is None else first.isNull() | (first < F.lit(value))
+    same = first.eqNullSafe(F.lit(value))
+    return before | (same & _upto(columns[1:], values[1:]) if len(columns) > 1 else same)
 
 
 def document(metrics: DataFrame, samples: DataFrame) -> DataFrame:
@@ -168,14 +191,14 @@ def document(metrics: DataFrame, samples: DataFrame) -> DataFrame:
     deltas = improvement(metrics)
     keys = list(config.METRIC_DIGITS)
 
-    def part(column: str) -> Column:
+    def part(column: str, leave_out=()) -> Column:
         def value(key: str) -> Column:
             return F.max(F.when(F.col("metric") == key, F.col(column))).alias(key)
 
-        return F.struct(*[value(k) for k in keys])
+        return F.struct(*[value(k) for k in keys if k not in leave_out])
 
     return deltas.agg(
         part("base").alias("base_model"),
         part("tuned").alias("fine_tuned"),
-        part("delta").alias("improvement"),
+        part("delta", ["avg_generation_time_sec"]).alias("improvement"),
     ).select(samples.scalar().alias("eval_samples"), "base_model", "fine_tuned", "improvement")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from turnmill import config
-from turnmill.functions.text import is_blank
+from turnmill.functions.text import is_blank, previews
 from turnmill.operators.cleaning import clean_rows, has_marker, reject_reason
 from turnmill.operators.sampling import dedup_key, order_hash
 
@@ -77,6 +77,17 @@ def _lengths(name: str, length: Column) -> list[Column]:
     ]
 
 
+def first_preview(rows: DataFrame, row_id: str = "row_id", chars: int = config.PREVIEW_CHARS) -> DataFrame:
+    """The column names, and the first row's values cut to a preview, as one row of texts.
+    "First" is split order where there is one, else the key's."""
+    order = [c for c in ("split_order", row_id) if c in rows.columns]
+    names = [c for c in rows.columns if c not in ("split", "split_order")]
+    one = rows.orderBy(*order).limit(1).select(*names)
+    return one.select(*previews(one, chars)).select(
+        F.lit(",".join(names)).alias("columns"),
+        F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])).alias("preview"))
+
+
 def health(chat: DataFrame, long_chars: int = config.LONG_ANSWER_CHARS) -> DataFrame:
     """Marker contamination, message lengths and over-budget answers of chat rows."""
     user = F.col("messages")[1]["content"]

@@ -133,48 +133,83 @@ def split_counts(n: int, params: config.CurateParams | None = None) -> tuple[int
     return holdout, math.ceil(holdout * p.test_share)
 
 
-def split_exact(df: DataFrame, params: config.CurateParams | None = None,
-                row_id: str = "row_id") -> DataFrame:
-    """Add ``split`` with exact sizes, and ``split_order``, the order inside a split.
+def _split_by(df: DataFrame, params: config.CurateParams | None, row_id: str,
+              caps: dict[str, int] | None) -> DataFrame:
+    """Splits, and with ``caps`` only the first rows of the splits named there.
 
-    The two rows where the split changes are looked up first (small counting jobs
-    over two columns of ``df``, which should be a table or staged). Giving every row
-    its split is then a comparison with two constants: no row moves, and no window
-    runs over the whole data.
+    All rows wanted have a rank over the whole input: test rows come first, then
+    validation, then train. One lookup finds every bound.
     """
     p = params or config.CurateParams()
     order = order_hash(p.split_seed, row_id)
     keys = df.select(F.lit("all").alias("g"), order.alias("h"), F.col(row_id).alias("row_id"))
 
+    def ranks(n: int) -> tuple[int, int, dict[str, int]]:
+        holdout, test = split_counts(n, p)
+        begins = {"test": (0, test), "validation": (test, holdout), "train": (holdout, n)}
+        lasts = {s: min(begins[s][0] + max(c, 0), begins[s][1]) for s, c in (caps or {}).items()}
+        return holdout, test, lasts
+
     def ranks_of(sizes: dict) -> list:
-        holdout, test = split_counts(sizes.get("all", 0), p)
-        return [("all", rank) for rank in {holdout, test} if rank]
+        n = sizes.get("all", 0)
+        holdout, test, lasts = ranks(n)
+        return [("all", rank) for rank in {holdout, test, *lasts.values()} if 0 < rank < n]
 
     sizes, bounds = _locate(keys, ranks_of)
-    holdout, test = split_counts(sizes.get("all", 0), p)
+    n = sizes.get("all", 0)
+    holdout, test, lasts = ranks(n)
 
     def upto(rank: int) -> Column:
-        return _upto(bounds["all", rank], "split_order", row_id) if rank else F.lit(False)
+        if not rank:
+            return F.lit(False)
+        return F.lit(True) if rank >= n else _upto(bounds["all", rank], "split_order", row_id)
 
-    return df.withColumn("split_order", order).withColumn(
+    split = df.withColumn("split_order", order).withColumn(
         "split",
         F.when(upto(test), "test").when(upto(holdout), "validation").otherwise("train"),
     )
+    if caps is None:
+        return split
+    kept = F.lit(False)
+    for name, last in lasts.items():
+        kept = kept | ((F.col("split") == name) & upto(last))
+    return split.where(kept)
+
+
+def split_exact(df: DataFrame, params: config.CurateParams | None = None,
+                row_id: str = "row_id") -> DataFrame:
+    """Add ``split`` with exact sizes, and ``split_order``, the order inside a split.
+
+    The two rows where the split changes are looked up first (small counting jobs
+    over two columns of ``df``, which should be a table or staged). Giving every row
+    its split is then a comparison with two constants: no row moves, and no window
+    runs over the whole data.
+    """
+    return _split_by(df, params, row_id, None)
+
+
+def split_first(df: DataFrame, caps: dict[str, int], params: config.CurateParams | None = None,
+                row_id: str = "row_id") -> DataFrame:
+    """``split_exact``, and of it the first rows of each split named in ``caps``; other
+    splits drop out. One lookup serves both."""
+    return _split_by(df, params, row_id, caps)
+
+
+_DRAWS = 1 << 32  # values of the 32 hash bits that decide a split
 
 
 def split_hashed(df: DataFrame, params: config.CurateParams | None = None,
                  row_id: str = "row_id") -> DataFrame:
-    """Add ``split`` by hash bucket: sizes are approximate, one pass, and a row never
-    changes its split when data is added."""
+    """Add ``split`` by hash: sizes are approximate, one pass, and a row never changes its
+    split when data is added. Shares may be as small as one in some billions; ``bucket``
+    is a hundredth of the rows, for sampling, and has no part in the split."""
     p = params or config.CurateParams()
-    bucket = F.conv(F.substring(order_hash(p.split_seed, row_id), 1, 8), 16, 10).cast("long") % 100
-    test = round(100 * p.holdout_share * p.test_share)
-    holdout = round(100 * p.holdout_share)
-    return df.withColumn("bucket", bucket).withColumn(
+    draw = F.conv(F.substring(order_hash(p.split_seed, row_id), 1, 8), 16, 10).cast("long")
+    test = round(_DRAWS * p.holdout_share * p.test_share)
+    holdout = round(_DRAWS * p.holdout_share)
+    return df.withColumn("bucket", draw % 100).withColumn(
         "split",
-        F.when(F.col("bucket") < 100 - holdout, "train")
-        .when(F.col("bucket") < 100 - test, "validation")
-        .otherwise("test"),
+        F.when(draw < test, "test").when(draw < holdout, "validation").otherwise("train"),
     )
 
 
@@ -207,8 +242,13 @@ def first_of_splits(df: DataFrame, caps: dict[str, int], row_id: str = "row_id")
 
 
 def evaluation_sample(df: DataFrame, n: int = config.EVAL_SAMPLES, row_id: str = "row_id") -> DataFrame:
-    """The first ``n`` test rows, in order."""
-    return first_of_splits(df, {"test": n}, row_id).orderBy("split_order", row_id)
+    """The first ``n`` test rows, in order, of rows that have their split."""
+    return in_order(first_of_splits(df, {"test": n}, row_id), n, row_id)
+
+
+def in_order(df: DataFrame, n: int, row_id: str = "row_id") -> DataFrame:
+    """At most ``n`` rows in split order: a limit, so that no pass samples for a sort."""
+    return df.orderBy("split_order", row_id).limit(n)
 
 
 def training_subset(df: DataFrame, params: config.TrainParams | None = None,

@@ -15,36 +15,36 @@ def pair_runs(runs: DataFrame, references: DataFrame, models=config.MODELS) -> D
     """One row per example with the answers of all models side by side.
 
     ``runs`` holds (row_id, model, answer, sec); ``references`` the prompts and
-    reference answers. Examples a model did not answer are left out. The answers are
-    brought together by one grouping on ``row_id`` (unique, so groups stay small),
-    which is also the join key.
+    reference answers. Examples a model did not answer are left out. Of several answers
+    of one model to one example a whole row is taken: the answer that sorts last, and of
+    equal ones the slowest, so that answer and time belong together. The answers are
+    brought together by one grouping on ``row_id``, which is also the join key.
     """
-    runs = runs.where(F.col("model").isin(list(models)))
+    runs = runs.where(F.col("model").isin(list(models)) & F.col("answer").isNotNull() & F.col("row_id").isNotNull())
+    timed = "sec" in runs.columns
+    one = F.struct("answer", *(["sec"] if timed else []))
+    wide = runs.groupBy("row_id").agg(*[
+        F.max(F.when(F.col("model") == model, one)).alias(f"_{i}") for i, model in enumerate(models)
+    ])
     columns = []
-    for model in models:
-        is_model = F.col("model") == model
-        columns.append(F.max(F.when(is_model, F.col("answer"))).alias(model))
-        if "sec" in runs.columns:
-            columns.append(F.max(F.when(is_model, F.col("sec"))).alias(f"{model}_sec"))
-    wide = runs.groupBy("row_id").agg(*columns).where(
-        " and ".join(f"{model} is not null" for model in models)
-    )
-    return references.join(wide, "row_id")
+    for i, model in enumerate(models):
+        wide = wide.where(F.col(f"_{i}").isNotNull())
+        columns.append(F.col(f"_{i}.answer").alias(model))
+        if timed:
+            columns.append(F.col(f"_{i}.sec").alias(f"{model}_sec"))
+    return references.join(wide.select("row_id", *columns), "row_id")
 
 
 def stack_answers(predictions: DataFrame, models=config.MODELS, keep=("row_id", "intent")) -> DataFrame:
-    """One row per (example, model): wide answers become long, without a shuffle.
-
-    The reference is tokenised before rows are multiplied, so that models share it.
-    """
+    """One row per (example, model): wide answers become long, without a shuffle."""
     def of_model(model: str) -> Column:
         def optional(name: str) -> Column:
-            found = F.col(name) if name in predictions.columns else F.lit(None)
+            found = F.col(f"`{name}`") if name in predictions.columns else F.lit(None)
             return found.cast("double")
 
         return F.struct(
             F.lit(model).alias("model"),
-            F.col(model).alias("answer"),
+            F.col(f"`{model}`").alias("answer"),
             optional(f"{model}_sec").alias("sec"),
             optional(f"{model}_semantic_f1").alias("semantic_f1"),
         )
@@ -89,6 +89,52 @@ def row_scores(answers: DataFrame, metrics=ALL_METRICS) -> DataFrame:
     return scored.select(*flat)
 
 
+def scored_answers(predictions: DataFrame, metrics=ALL_METRICS, models=config.MODELS,
+                   keep=("row_id", "intent")) -> DataFrame:
+    """What ``row_scores(stack_answers(...))`` gives, from wide rows.
+
+    All models' answers of a row are scored together, so that the reference is prepared
+    and sent to Python once; rows are multiplied afterwards, when only numbers are left.
+    """
+    reference = F.coalesce(F.col("reference"), F.lit(""))
+    answers = [F.coalesce(F.col(f"`{m}`"), F.lit("")) for m in models]
+    rouge = tuple(k for k in config.ROUGE_KEYS if k in metrics)
+    kept = [c for c in keep if c in predictions.columns]
+    wide: dict[str, Column] = {}
+    if rouge:
+        wide["_rouge"] = overlap.rouge_scores(rouge, len(models))(
+            *[overlap.rouge_text(a) for a in answers], overlap.rouge_text(reference))
+    if "bleu" in metrics:
+        wide["_bleu"] = overlap.bleu_counts(len(models))(
+            *[overlap.bleu_text(a) for a in answers], overlap.bleu_text(reference))
+    if "avg_ref_length_words" in metrics:
+        wide["_reference_words"] = word_count(reference)
+
+    def optional(name: str) -> Column:
+        found = F.col(f"`{name}`") if name in predictions.columns else F.lit(None)
+        return found.cast("double")
+
+    def of_model(i: int, model: str) -> Column:
+        answer = answers[i]
+        fields = [F.lit(model).alias("model"), optional(f"{model}_sec").alias("sec"),
+                  optional(f"{model}_semantic_f1").alias("semantic_f1")]
+        if "exact_match" in metrics:
+            fields.append(overlap.exact_match(answer, reference).alias("exact"))
+        if "avg_pred_length_words" in metrics:
+            fields.append(word_count(answer).alias("answer_words"))
+        if "avg_ref_length_words" in metrics:
+            fields.append(F.col("_reference_words").alias("reference_words"))
+        if "approx_perplexity" in metrics:
+            fields.append(overlap.shared_word_share(answer, reference).alias("shared_words"))
+        fields += [F.col(f"_rouge.m{i}_{k}").alias(k) for k in rouge]
+        if "bleu" in metrics:
+            fields += [F.col(f"_bleu.a{i}_{k}").alias(k) for k in overlap.BLEU_COUNTS]
+        return F.struct(*fields)
+
+    return predictions.withColumns(wide).select(
+        *kept, F.inline(F.array(*[of_model(i, m) for i, m in enumerate(models)])))
+
+
 def _corpus(metric: str) -> Column:
     """Corpus value of one metric over row scores, before rounding."""
     rows = F.count(F.lit(1))
@@ -135,7 +181,7 @@ def metric_rows(wide: DataFrame, metrics=ALL_METRICS) -> DataFrame:
 
 def metric_set(predictions: DataFrame, metrics=ALL_METRICS, models=config.MODELS) -> DataFrame:
     """(model, metric, value) of a predictions table."""
-    scores = row_scores(stack_answers(predictions, models, keep=()), metrics)
+    scores = scored_answers(predictions, metrics, models, keep=())
     return metric_rows(corpus_metrics(scores, metrics), metrics)
 
 

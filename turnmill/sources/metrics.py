@@ -43,9 +43,8 @@ def read_document(spark: SparkSession, path: str) -> DataFrame:
     read = spark.read.schema(schema).option("multiLine", True).json(path)
 
     def part(name: str) -> Column:
-        return F.struct(*[
-            F.col(name)[key].try_cast("double").alias(key) for key in config.METRIC_DIGITS
-        ]).alias(name)
+        keys = [k for k in config.METRIC_DIGITS if name != "improvement" or k != "avg_generation_time_sec"]
+        return F.struct(*[F.col(name)[key].try_cast("double").alias(key) for key in keys]).alias(name)
 
     return read.select("eval_samples", *[part(n) for n in ("base_model", "fine_tuned", "improvement")])
 

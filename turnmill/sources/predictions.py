@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from turnmill import config
@@ -11,9 +11,15 @@ from turnmill.sources.files import exists
 _QUOTING = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
+#: Key and evaluation order, written and read along where a table has them.
+ORDER_COLUMNS = ("row_id", "split_order")
+
+
 def write_predictions(df: DataFrame, path: str, columns=None, mode: str = "errorifexists") -> None:
-    """Write the prediction columns; whitespace at the ends of a text is kept."""
-    columns = columns or config.PREDICTION_SCHEMA.fieldNames()
+    """Write key and order, if there, and the prediction columns; whitespace at the ends of
+    a text is kept."""
+    columns = columns or [
+        *(c for c in ORDER_COLUMNS if c in df.columns), *config.PREDICTION_SCHEMA.fieldNames()]
     df.select(*columns).write.mode(mode).options(
         **_QUOTING, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)
@@ -21,19 +27,24 @@ def write_predictions(df: DataFrame, path: str, columns=None, mode: str = "error
 
 def read_predictions(spark: SparkSession, path: str,
                      schema: StructType = config.PREDICTION_SCHEMA) -> DataFrame:
-    """Read prediction columns; an empty cell is null, a missing path gives no rows.
+    """Read prediction columns by the header's names, with key and order if they are
+    there; an empty cell is null, a missing column is null, a missing path gives no rows.
 
     Texts hold line breaks, so records cannot be told from raw lines: each file is
     read by one task. Tables of size belong in Parquet; CSV is the exchange format.
     """
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).options(
+    df = spark.read.options(
         **_QUOTING, multiLine=True, nullValue="",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ).csv(path)
-    return df.select(*[
-        F.when(F.col(f.name) != "", F.col(f.name)).alias(f.name)
-        if f.dataType.typeName() == "string" else F.col(f.name)
-        for f in schema
-    ])
+
+    def cell(name: str, kind) -> Column:
+        if name not in df.columns:
+            return F.lit(None).cast(kind).alias(name)
+        text = F.col(f"`{name}`")
+        return F.when(text != "", text).cast(kind).alias(name)
+
+    kept = [cell(c, "string") for c in ORDER_COLUMNS if c in df.columns]
+    return df.select(*kept, *[cell(f.name, f.dataType) for f in schema])

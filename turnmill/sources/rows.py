@@ -2,30 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from turnmill import config
+from turnmill.operators.cleaning import with_row_id
 
 
-def read_rows(spark: SparkSession, path: str, fmt: str = "parquet",
-              schema: StructType | None = config.RAW_SCHEMA, **options) -> DataFrame:
-    """Instruction/response rows from files; the schema is declared, not inferred.
+_CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+
+
+def _key(name: str = "row_id") -> Column:
+    """The key as text; a row without one is an error, as order, values and splits hang
+    on it."""
+    missing = F.raise_error(F.lit(f"{name} is null; drop the column to have keys derived"))
+    return F.coalesce(F.col(name).cast("string"), missing)
 
-    Pass ``schema=None`` to take a Parquet file's own columns, extra ones included.
-    """
-    reader = spark.read.options(**options)
-    return (reader.schema(schema) if schema else reader).format(fmt).load(path)
 
+def by_name(df: DataFrame, schema: StructType) -> DataFrame:
+    """The schema's columns, found by name and cast to its types; missing ones are null,
+    but for a missing key."""
+    def column(name: str) -> Column:
+        return F.col(f"`{name}`") if name in df.columns else F.lit(None)
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan in at least as many parts as there are cores.
+    return df.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in schema
+                       if f.name in df.columns or f.name != "row_id"])
+
+
+def read_rows(spark: SparkSession, path: str, fmt: str = "parquet",
+              schema: StructType | None = config.RAW_SCHEMA, **options) -> DataFrame:
+    """Instruction/response rows from files.
 
-    Only an input of few files is shuffled, so that costly expressions over it use the
-    whole cluster; a large one stays as it was read.
+    Columns are found by name; CSV files need a header, and may have their columns in any
+    order. ``instruction`` and ``response`` must be there; other columns of the schema may
+    be missing. Where there is no ``row_id``, one is derived from the row's content. Pass
+    ``schema=None`` to keep a file's own columns, extra ones included.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    options = {**(_CSV if fmt == "csv" else {}), **options}
+    df = spark.read.options(**options).format(fmt).load(path)
+    missing = {"instruction", "response"} - set(df.columns)
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
+    if schema is not None:
+        df = by_name(df, schema)
+    return df.withColumn("row_id", _key()) if "row_id" in df.columns else with_row_id(df)
 
 
 def write_splits(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

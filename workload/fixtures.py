@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from turnmill.sources.rows import spread
-
 TAIL = " order {{Order Number}} or {{Order Number}} , pay {{Currency Symbol}}5  at {{Odd Field}} ! {{}} "
 TAIL_MARKERS = (
     "Tracking Number", "Invoice Number", "Account Number", "Refund Amount",
@@ -14,7 +12,7 @@ TAIL_MARKERS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +28,8 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     answered = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
     )
-    return asked.join(answered, ["conv_id", "turn"]).select(
+    # A join by shuffle at every size: what is done with the pairs uses the whole cluster.
+    return asked.join(answered.hint("shuffle_hash"), ["conv_id", "turn"]).select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("row_id"),
         "instruction",
         "response",

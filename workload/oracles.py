@@ -402,6 +402,14 @@ for _name, _vocabulary in {
         f"with {DIRTY} select row_id, case when response is not null then "
         f"{replaced('response', 'response', **_vocabulary)} end as response from dirty"
     )
+_EMPTY_POOL = {**config.POOL_MARKERS, "Order Number": [config.LEFTOVER_TEXT]}
+ORACLES["c4_empty_pool"] = (
+    f"with {DIRTY} select row_id, case when response is not null then "
+    f"{replaced('response', 'response', pools=_EMPTY_POOL)} end as response from dirty"
+)
+ORACLES["c8_no_vocabulary"] = (
+    f"with {DIRTY} select row_id, {strip(punct(spaces(leftover(strip('response')))))} as response from dirty"
+)
 for _name, _function in {
     "c5_leftover": leftover, "c6_spaces": spaces, "c7_punct": punct,
 }.items():
@@ -476,6 +484,28 @@ ORACLES["c21_turns"] = f"""with t as (
          when calls then concat('<|im_start|>assistant', case when content <> '' then concat(chr(10), content) else '' end,
            {CALL_OPEN}, 'turn": ', turn, {CALL_CLOSE}), '<|im_end|>', chr(10))
          else {block('role', 'content')} end) as chat_text from n"""
+ORACLES["c21_turns_tools"] = f"""with t as (
+  select conv_id, turn, case when conv_id % 4 = 0 and role = 'user' and turn > 1 then 'tool' else role end as role,
+         text as content, conv_id % 4 = 0 and role = 'assistant' as calls from conversations),
+  n as (select *, min(turn) over c as first, max(turn) over c as last,
+               case when turn > 2 then lag(role) over w end as before,
+               case when turn > 1 then lead(role) over w end as after from t
+        window w as (partition by conv_id order by turn), c as (partition by conv_id))
+  select conv_id, case when turn > 1 then turn + 2 else turn end as turn, concat(
+    case when turn > first then ''
+         when conv_id % 3 = 0 then concat('<|im_start|>system', chr(10),
+           case when role = 'system' then content else {q(config.DEFAULT_SYSTEM_TEXT)} end,
+           {lines(config.TOOLS_INTRO)}, chr(10), '{{"name": "lookup"}}', chr(10), '{{"name": "other"}}',
+           {lines(config.TOOLS_OUTRO)})
+         when role = 'system' then {block("'system'", 'content')} else {DEFAULT_BLOCK} end,
+    case when role = 'system' and turn = first then ''
+         when role = 'tool' then concat(
+           case when before = 'tool' then '' else '<|im_start|>user' end, {tool_answer('content')},
+           case when after = 'tool' then '' else concat('<|im_end|>', chr(10)) end)
+         when calls then concat('<|im_start|>assistant', case when content <> '' then concat(chr(10), content) else '' end,
+           {CALL_OPEN}, 'turn": ', turn, {CALL_CLOSE}), '<|im_end|>', chr(10))
+         else {block('role', 'content')} end,
+    case when turn = last then concat('<|im_start|>assistant', chr(10)) else '' end) as chat_text from n"""
 ORACLES["c22_prompt"] = (
     f"with {PAIRS} select row_id, concat({block(q('system'), 's')}, {block(q('user'), 'instruction')}, "
     f"'<|im_start|>assistant', chr(10)) as prompt from (select *, case when k % 2 = 0 then category "
@@ -499,8 +529,14 @@ ORACLES["s2_dedup"] = (
 ORACLES["s3_dedup_then_filter"] = f"with {CURATED} select * from curated"
 ORACLES["s4_split_exact"] = f"with {SPLIT} select row_id, split from split_rows"
 ORACLES["s5_split_hash"] = """select doc_id, bucket,
-  case when bucket < 80 then 'train' when bucket < 90 then 'validation' else 'test' end as split
-  from (select doc_id, ('0x' || substr(md5('43|' || doc_id), 1, 8))::bigint % 100 as bucket from documents)"""
+  case when draw < round(0.1 * 4294967296) then 'test' when draw < round(0.2 * 4294967296) then 'validation'
+       else 'train' end as split
+  from (select doc_id, draw, draw % 100 as bucket from (
+    select doc_id, ('0x' || substr(md5('43|' || doc_id), 1, 8))::bigint as draw from documents))"""
+ORACLES["s5_split_hash_small"] = """select event_id,
+  case when draw < round(0.002 * 4294967296) then 'test' when draw < round(0.004 * 4294967296) then 'validation'
+       else 'train' end as split
+  from (select event_id, ('0x' || substr(md5('43|' || event_id), 1, 8))::bigint as draw from events)"""
 ORACLES["s6_eval_sample"] = (
     f"with docs as (select * from documents){split_of('docs', 'doc_id')} "
     "select doc_id, split, split_order, text from ordered where split = 'test' and split_pos <= 50"
@@ -549,7 +585,11 @@ ORACLES["a4_lengths"] = (
     _TRAIN_HEALTH + " select user_min, user_avg, user_max, assistant_min, assistant_avg, assistant_max from h"
 )
 ORACLES["a5_over_budget"] = f"with {PAIRS}, {health_sql('pairs')} select rows, over_budget from h"
-ORACLES["r13_health"] = _TRAIN_HEALTH + " select * from h"
+ORACLES["r13_health"] = _TRAIN_HEALTH + """ select h.*, 'row_id,instruction,response,intent,category' as columns, p.preview
+  from h, (select to_json({row_id: substr(row_id, 1, 120), instruction: substr(instruction, 1, 120),
+                           response: substr(response, 1, 120), intent: substr(intent, 1, 120),
+                           category: substr(category, 1, 120)})::varchar as preview
+           from ordered where split = 'train' and split_pos = 1) p"""
 ORACLES["a20_steps"] = """with c as (select least(count(*) - ceil(0.2 * count(*)), 5000)::bigint as train_rows from events)
   select train_rows, 16::bigint as effective_batch, ceil(train_rows / 16.0)::bigint as steps from c"""
 
@@ -613,6 +653,17 @@ ORACLES["j2_side_by_side"] = (
     "from predictions"
 )
 
+ORACLES["j2_repeated_runs"] = f"""with {PREDICTIONS}, r as (
+    select row_id, 'b' as m, baseline as answer, baseline_sec as sec from predictions
+    union all select row_id, 'f', fine_tuned, fine_tuned_sec from predictions),
+  every as (select * from r union all select row_id, m, substr(answer, 1, 10), sec + 100 from r
+            where ('0x' || substr(md5(row_id), 1, 8))::bigint % 3 = 0),
+  best as (select *, row_number() over (partition by row_id, m order by answer desc, sec desc) as n
+           from every where answer is not null)
+  select p.row_id, p.reference, b.answer as baseline, b.sec as baseline_sec, f.answer as fine_tuned, f.sec as fine_tuned_sec
+  from predictions p join best b on b.row_id = p.row_id and b.m = 'b' and b.n = 1
+  join best f on f.row_id = p.row_id and f.m = 'f' and f.n = 1"""
+
 SQL_METRICS = tuple(CORPUS)
 ORACLES["r1_metric_set"] = metrics_sql(*SQL_METRICS)
 ORACLES["r2_improvement"] = compared(SQL_METRICS, "select * from improvement")
@@ -621,7 +672,7 @@ ORACLES["r3_result"] = compared(
     "select (select count(*) from predictions) as eval_samples, " + ", ".join(
         f"max({column}) filter (metric = {q(m)}) as {part}_{m}"
         for part, column in (("base_model", "base"), ("fine_tuned", "tuned"), ("improvement", "delta"))
-        for m in SQL_METRICS
+        for m in SQL_METRICS if part != "improvement" or m != "avg_generation_time_sec"
     ) + " from improvement",
 )
 ORACLES["r4_summary"] = compared(tuple(config.SUMMARY_LABELS), f"""
@@ -637,7 +688,7 @@ ORACLES["r5_verdict"] = compared(("rouge1", "bleu"), f"""
 
 
 def _shown(x: str) -> str:
-    return (f"case when {x} is null then 'N/A' when digits = 4 then printf('%.4f', {x}) "
+    return (f"case when {x} is null and not shows_change then '—' when {x} is null then 'N/A' when digits = 4 then printf('%.4f', {x}) "
             f"when digits = 2 then printf('%.2f', {x}) else {shortest(x)} end")
 
 
@@ -704,3 +755,13 @@ ORACLES["io7_metrics_roundtrip"] = f"""with recursive {metric_ctes(
   left join metrics using (model, metric)"""
 ORACLES["io8_log_read"] = f"with {LOG} select * from log"
 ORACLES["io9_state_read"] = f"with {LOG} select * from log"
+
+ORACLES["io6_report_from_csv"] = f"""with {PREDICTIONS}
+  select least(count(*), {config.EXAMPLE_ROWS}) as examples, least(count(*), {config.EXAMPLE_ROWS}) as last,
+         (count(reference) + count(nullif(baseline, '')) + count(nullif(fine_tuned, '')))::bigint as texts
+  from predictions"""
+ORACLES["plan_evaluate"] = metrics_sql(*SQL_METRICS)
+ORACLES["io1_rows_without_key"] = (
+    f"with {DIRTY} select nullif(instruction, '') as instruction, nullif(response, '') as response, intent, category, "
+    "64::bigint as key_length from dirty"
+)

@@ -8,6 +8,7 @@ from turnmill import config
 from turnmill.functions import chat, markers, text
 from turnmill.operators import cleaning, compare, health, sampling, scoring, trainlog
 from turnmill.plans import curate as curate_plan
+from turnmill.plans.evaluate import evaluate, report
 from turnmill.scratch import scratch_path, stage
 from turnmill.sources import metrics as metric_files
 from turnmill.sources import predictions as prediction_files
@@ -61,6 +62,20 @@ def c4_pool(spark, sf):
     return _replaced(spark, sf, pools=config.POOL_MARKERS)
 
 
+@query
+def c4_empty_pool(spark, sf):
+    """A marker without choices becomes the neutral phrase."""
+    return _replaced(spark, sf, pools={**config.POOL_MARKERS, "Order Number": []})
+
+
+@query
+def c8_no_vocabulary(spark, sf):
+    """Without known markers all of them are left over."""
+    params = config.CurateParams(static_markers={}, number_markers={}, pool_markers={})
+    return fx.dirty_pairs(spark, sf).select(
+        "row_id", markers.clean_text(F.col("response"), F.col("row_id"), "response", params).alias("response"))
+
+
 @query
 def c5_leftover(spark, sf):
     return fx.dirty_pairs(spark, sf).select(
@@ -199,6 +214,15 @@ def c21_turns(spark, sf):
     return cleaning.render_turns(fx.chat_turns(spark, sf))
 
 
+@query
+def c21_turns_tools(spark, sf):
+    """Turns with a gap behind the first, tools listed, and an opened answer."""
+    turns = fx.chat_turns(spark, sf).withColumn("turn", F.when(F.col("turn") > 1, F.col("turn") + 2).otherwise(F.col("turn")))
+    tools = turns.where("turn = 1").select("conv_id", F.when(F.col("conv_id") % 3 == 0, F.array(
+        F.lit('{"name": "lookup"}'), F.lit('{"name": "other"}'))).alias("tools"))
+    return cleaning.render_turns(turns, tools, generation_prompt=True)
+
+
 @query
 def c22_prompt(spark, sf):
     override = F.when(F.col("k") % 2 == 0, F.col("category")).when(F.col("k") % 3 == 0, "")
@@ -266,21 +290,33 @@ def s5_split_hash(spark, sf):
     ).select("doc_id", "bucket", "split")
 
 
+@query
+def s5_split_hash_small(spark, sf):
+    """A holdout of four in a thousand."""
+    params = config.CurateParams(holdout_share=0.004)
+    return sampling.split_hashed(fx.table(spark, sf, "events").select("event_id"), params, "event_id").select(
+        "event_id", "split")
+
+
 @query
 def s6_eval_sample(spark, sf):
-    rows = sampling.split_exact(fx.table(spark, sf, "documents"), row_id="doc_id")
-    return sampling.evaluation_sample(rows, row_id="doc_id").select("doc_id", "split", "split_order", "text")
+    n = config.EVAL_SAMPLES
+    rows = sampling.split_first(fx.table(spark, sf, "documents"), {"test": n}, row_id="doc_id")
+    return sampling.in_order(rows, n, "doc_id").select("doc_id", "split", "split_order", "text")
 
 
 @query
 def s7_train_subset(spark, sf):
-    rows = sampling.split_exact(fx.table(spark, sf, "events"), row_id="event_id")
-    return sampling.training_subset(rows, row_id="event_id").select("event_id", "split")
+    p = config.TrainParams()
+    caps = {"train": p.train_cap, "validation": p.validation_cap}
+    rows = sampling.split_first(fx.table(spark, sf, "events"), caps, row_id="event_id")
+    return rows.select("event_id", "split")
 
 
 @query
 def s8_first_example(spark, sf):
-    return sampling.first_examples(curate_plan.split_rows(fx.dirty_pairs(spark, sf))).select(
+    rows = stage(curate_plan.curated(fx.dirty_pairs(spark, sf)), "curated")
+    return sampling.split_first(rows, dict.fromkeys(sampling.SPLITS, 1)).select(
         "split", "row_id", "instruction", "response"
     )
 
@@ -330,7 +366,12 @@ def a5_over_budget(spark, sf):
 
 @query
 def r13_health(spark, sf):
-    return health.health(_train_chat(spark, sf))
+    """Statistics, and names and a preview of the first train row."""
+    rows = curate_plan.split_rows(fx.dirty_pairs(spark, sf)).where(F.col("split") == "train")
+    report = health.health(cleaning.to_chat(rows))
+    first = health.first_preview(rows)
+    return report.select("*", first.select("columns").scalar().alias("columns"),
+                         first.select("preview").scalar().alias("preview"))
 
 
 @query
@@ -399,7 +440,7 @@ def a15_latency(spark, sf):
 @query
 def row_scores(spark, sf):
     """Scores of every single answer, the table that corpus values are summed from."""
-    rows = scoring.row_scores(scoring.stack_answers(fx.predictions(spark, sf), keep=("row_id",)), scoring.ALL_METRICS)
+    rows = scoring.scored_answers(fx.predictions(spark, sf), scoring.ALL_METRICS, keep=("row_id",))
     return rows.select(
         "row_id", "model", "exact", "answer_words", "reference_words",
         *[F.round(c, 6).alias(c) for c in ("shared_words", *config.ROUGE_KEYS)],
@@ -409,8 +450,7 @@ def row_scores(spark, sf):
 
 @query
 def a16_per_intent(spark, sf):
-    answers = scoring.stack_answers(fx.predictions(spark, sf))
-    table = scoring.per_intent_rouge1(scoring.row_scores(answers, ("rouge1",)))
+    table = scoring.per_intent_rouge1(scoring.scored_answers(fx.predictions(spark, sf), ("rouge1",)))
     return table.select(
         "intent", "rows", *[F.round(c, 6).alias(c) for c in ("base_rouge1", "ft_rouge1", "delta")]
     )
@@ -441,6 +481,20 @@ def j1_pair_ref(spark, sf):
     return answers.join(references, "row_id")
 
 
+@query
+def j2_repeated_runs(spark, sf):
+    """Every third answer once more, shorter and with another time: whole rows win."""
+    runs = fx.runs(spark, sf)
+    again = runs.where(markers.draw(F.col("row_id")) % 3 == 0).select(
+        "row_id", "model", F.substring("answer", 1, 10).alias("answer"), (F.col("sec") + 100).alias("sec"))
+    models = {"baseline": "model.v1-base", "fine_tuned": "model.v1-tuned"}
+    named = F.when(F.col("model") == "baseline", models["baseline"]).otherwise(models["fine_tuned"])
+    references = fx.pairs(spark, sf).select("row_id", F.col("response").alias("reference"))
+    paired = scoring.pair_runs(runs.union(again).withColumn("model", named), references, tuple(models.values()))
+    return paired.select("row_id", "reference", *[
+        F.col(f"`{name}{end}`").alias(f"{short}{end}") for short, name in models.items() for end in ("", "_sec")])
+
+
 @query
 def j2_side_by_side(spark, sf):
     references = fx.pairs(spark, sf).select(
@@ -466,15 +520,14 @@ def r2_improvement(spark, sf):
 def r3_result(spark, sf):
     """The result document, flattened."""
     wide = scoring.corpus_metrics(
-        scoring.row_scores(scoring.stack_answers(fx.predictions(spark, sf), keep=()), scoring.ALL_METRICS),
-        scoring.ALL_METRICS,
-    )
+        scoring.scored_answers(fx.predictions(spark, sf), scoring.ALL_METRICS, keep=()), scoring.ALL_METRICS)
     wide = stage(wide, "corpus")
     samples = wide.agg(F.max("eval_samples").alias("eval_samples"))
     document = compare.document(scoring.metric_rows(wide, scoring.ALL_METRICS), samples)
     return document.select("eval_samples", *[
         F.col(f"{part}.{m}").alias(f"{part}_{m}")
         for part in ("base_model", "fine_tuned", "improvement") for m in scoring.ALL_METRICS
+        if part != "improvement" or m != "avg_generation_time_sec"
     ])
 
 
@@ -529,8 +582,7 @@ def f6_dropna(spark, sf):
 
 @query
 def f7_intent_guard(spark, sf):
-    answers = scoring.stack_answers(fx.predictions(spark, sf))
-    table = scoring.per_intent_rouge1(scoring.row_scores(answers, ("rouge1",)))
+    table = scoring.per_intent_rouge1(scoring.scored_answers(fx.predictions(spark, sf), ("rouge1",)))
     return table.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("intents"))
 
 
@@ -591,7 +643,40 @@ def io2_chat_roundtrip(spark, sf):
 def io5_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "predictions.csv")
     prediction_files.write_predictions(fx.predictions(spark, sf), path)
-    return prediction_files.read_predictions(spark, path)
+    return prediction_files.read_predictions(spark, path).select(*config.PREDICTION_SCHEMA.fieldNames())
+
+
+@query
+def io1_rows_without_key(spark, sf):
+    """Raw rows without a key from CSV with its columns in another order."""
+    path = scratch_path(spark, "raw.csv")
+    rows = fx.dirty_pairs(spark, sf).select("category", "response", "intent", "instruction")
+    rows.write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False,
+                       ignoreTrailingWhiteSpace=False).csv(path)
+    raw = row_files.read_rows(spark, path, "csv")
+    return raw.select("instruction", "response", "intent", "category", F.length("row_id").cast("long").alias("key_length"))
+
+
+@query
+def io6_report_from_csv(spark, sf):
+    """The report's examples from a prediction file that has no key."""
+    path = scratch_path(spark, "predictions.csv")
+    columns = config.PREDICTION_SCHEMA.fieldNames()
+    prediction_files.write_predictions(fx.predictions(spark, sf), path, columns)
+    predictions = prediction_files.read_predictions(spark, path)
+    tables = report(predictions, _metrics(spark, sf), fx.train_log(spark, sf))
+    texts = tables["lengths"].agg(F.sum("n").cast("long")).scalar()
+    return tables["examples"].agg(F.count(F.lit(1)).alias("examples"), F.max("example").alias("last")).select(
+        "examples", "last", texts.alias("texts"))
+
+
+@query
+def plan_evaluate(spark, sf):
+    """The evaluation plan: its summary, read back from the files it writes."""
+    path = scratch_path(spark, "evaluation")
+    evaluate(fx.predictions(spark, sf), path)
+    document = metric_files.read_document(spark, f"{path}/metrics.json")
+    return metric_files.document_metrics(document)
 
 
 @query
