@@ -239,13 +239,16 @@ LEVELS = ("known0", "known1", "known2")
 def _refined(rows: DataFrame, level: int) -> DataFrame:
     """(doc_id, start, later, apart) of the pieces in buckets of more than one: whether
     all strings of a piece stand earlier, and whether its bucket fell apart."""
-    # Two steps read the pieces, and making them costs more than writing them down.
-    rows = stage(rows, f"pieces{level}")
+    # Two steps read the pieces. Those of the first level are the most, and made twice;
+    # those below come from texts brought together with what is open, and are written down.
+    if level:
+        rows = stage(rows, f"pieces{level}")
     large = rows.groupBy("k").agg(
         F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high")
     ).where("n > 1").select("k", (F.col("low") != F.col("high")).alias("apart"))
     members = stage(rows.join(large, "k"), f"members{level}")
-    drop(rows)
+    if level:
+        drop(rows)
     firsts = members.groupBy("k", "c").agg(F.min("doc_id").alias("first"))
     told = stage(members.join(firsts, ["k", "c"]).where("apart or doc_id > first").select(
         "doc_id", "start", "apart", (F.col("doc_id") > F.col("first")).alias("later")), f"told{level}")
