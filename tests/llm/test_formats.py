@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import cases
 from turnmill.llm import neighbours, pieces, urls, warc
-from turnmill.llm.queries import ORACLES, REGISTRY
+from turnmill.llm.queries import REGISTRY
 
 MODEL = pieces.read_model()
 

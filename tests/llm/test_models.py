@@ -78,7 +78,7 @@ def toxic_texts(n, seed, spell=lambda w: w):
 
 @pytest.fixture(scope="module")
 def toxic_model(spark):
-    rows = toxic_texts(300, 1)
+    rows = toxic_texts(1200, 1)
     docs = cases.documents(spark, [t for t, _ in rows])
     labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)] + [(None, 1), (7, None), (9999, 1)],
                                    "doc_id long, toxic int")

@@ -5,7 +5,6 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.llm import cases
 from turnmill.llm import jaccard, quality, repeats
