@@ -40,7 +40,16 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(_BASE))
-_powers: dict = {}
+
+
+class Cache(dict):
+    """What a process has made for itself; it never travels with a job."""
+
+    def __reduce__(self):
+        return Cache, ()
+
+
+_powers = Cache()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -411,7 +411,7 @@ def _spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return kernels.mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
 
 
-_models: dict = {}
+_models = kernels.Cache()
 
 
 def model_of(data: bytes) -> Model:
