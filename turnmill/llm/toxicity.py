@@ -84,93 +84,110 @@ def windows(t: kernels.Texts) -> tuple[np.ndarray, np.ndarray]:
     return first[row] + place // WINDOW, np.repeat(np.arange(t.rows), count)
 
 
-def train(t: kernels.Texts, toxic: np.ndarray, rounds: int = 90, rate: float = 0.3, floor: float = 0.02,
+class Examples:
+    """Windows of labelled texts as numbers: which words they hold, how often, and which
+    buckets a word's subwords fall in. Texts are taken in a slice at a time."""
+
+    def __init__(self, column: pa.Array, least_texts: int):
+        self.rows = len(column)
+        known = np.zeros(0, _U)  # distinct words so far, sorted
+        buckets, owners, pairs, texts_of = [], [], [], []
+        self.windows = rows = 0
+        texts, sizes = [], []
+        for part in kernels.slices(pa.RecordBatch.from_arrays([column], ["text"]), limit=1 << 20):
+            t = kernels.texts(part, lower=True)
+            words, first, number = np.unique(t.word_hash, return_index=True, return_inverse=True)
+            fresh = np.flatnonzero(~np.isin(words, known))
+            bucket, owner = subwords(t, t.words[0][first[fresh]], t.words[1][first[fresh]])
+            buckets.append(bucket)
+            owners.append(words[fresh][owner])
+            known = np.union1d(known, words[fresh])
+            window, text = windows(t)
+            code, times = np.unique(window * np.int64(max(len(words), 1)) + number, return_counts=True)
+            pairs.append((words[code % max(len(words), 1)], code // max(len(words), 1) + self.windows, times))
+            held = np.unique(t.row_of_word() * np.int64(max(len(words), 1)) + number)
+            texts_of.append(words[held % max(len(words), 1)])
+            sizes.append(np.bincount(window, minlength=len(text)))
+            texts.append(text + rows)
+            rows += t.rows
+            self.windows += len(text)
+        self.words = len(known)
+        self.text = np.concatenate(texts)
+        scale = 1.0 / np.maximum(np.concatenate(sizes), LEAST)
+        self.word = np.concatenate([np.searchsorted(known, w).astype(np.int32) for w, _, _ in pairs])
+        self.window = np.concatenate([w for _, w, _ in pairs]).astype(np.int32)
+        self.weight = np.concatenate([n for _, _, n in pairs]) * scale[self.window]
+        bucket = np.concatenate(buckets)
+        owner = np.concatenate([np.searchsorted(known, o).astype(np.int32) for o in owners])
+        self.parts = np.maximum(np.bincount(owner, minlength=self.words), 1)
+        # A bucket's texts are at most the sum over its words: a cheap bound that needs no
+        # pass over all pairs of text and subword. What only a few texts hold would be
+        # learnt by heart; its vector stays zero.
+        texts_with = np.bincount(np.searchsorted(known, np.concatenate(texts_of)), minlength=self.words)
+        held = np.bincount(bucket, weights=texts_with[owner], minlength=BUCKETS)
+        self.used = np.flatnonzero(held >= least_texts)
+        number = np.full(BUCKETS, -1, np.int32)
+        number[self.used] = np.arange(len(self.used), dtype=np.int32)
+        kept = number[bucket] >= 0
+        self.bucket, self.owner = number[bucket[kept]], owner[kept]
+
+
+def train(column: pa.Array, toxic: np.ndarray, rounds: int = 80, rate: float = 0.25, floor: float = 0.02,
           least_texts: int = 10, decay: float = 1e-4, seed: int = 3):
     """Weight of each bucket, and of an empty window, for the class ``toxic``."""
     rng = np.random.default_rng(seed)
-    starts, ends, number = distinct_words(t)
-    bucket, owner = subwords(t, starts, ends)
-    order = np.argsort(owner, kind="stable")
-    bucket, owner = bucket[order], owner[order]
-    parts = np.bincount(owner, minlength=len(starts))
-    bucket, owner, used = _frequent(t, number, bucket, owner, least_texts)
-    window, text = windows(t)
-    n = len(text)
-    scale = 1.0 / np.maximum(np.bincount(window, minlength=n), LEAST)
-    # Distinct (window, word) pairs with their weight: most words come back in a window.
-    pair, times = np.unique(window * np.int64(len(starts)) + number, return_counts=True)
-    pw, pn = pair // len(starts), pair % len(starts)
-    weight = times * scale[pw]
-    vectors = rng.normal(0, 0.05, (len(used), DIM))
-    softmax = rng.normal(0, 1, (DIM, 2))
-    bias = np.zeros(2)
-    label = toxic[text].astype(np.int64)
-    of_class = np.maximum(np.bincount(toxic, minlength=2), 1)
-    windows_of = np.bincount(text, minlength=t.rows)
-    params = {"vectors": vectors, "softmax": softmax, "bias": bias}
+    x = Examples(column, least_texts)
+    n = x.windows
+    params = {"vectors": rng.normal(0, 0.05, (DIM, len(x.used))), "softmax": rng.normal(0, 1, (DIM, 2)), "bias": np.zeros(2)}
     first = {k: np.zeros_like(v) for k, v in params.items()}
     second = {k: np.zeros_like(v) for k, v in params.items()}
-    largest = {}
-
-    def add_up(index, values, size):
-        return np.stack([np.bincount(index, weights=values[:, d], minlength=size)
-                         for d in range(values.shape[1])], 1)
-
+    largest: dict = {}
+    label = toxic[x.text].astype(np.int64)
+    of_class = np.maximum(np.bincount(toxic, minlength=2), 1)
+    windows_of = np.bincount(x.text, minlength=x.rows)
+    begin = np.searchsorted(x.text, np.arange(x.rows))
     for round_ in range(rounds):
-        words = add_up(owner, vectors[bucket], len(starts)) / parts[:, None]
-        hidden = add_up(pw, words[pn] * weight[:, None], n)
-        score = hidden @ softmax + bias
+        pace = rate * (1 - round_ / rounds)
+        softmax = params["softmax"]
+        hidden = np.empty((n, DIM))
+        for d, own in enumerate(params["vectors"]):
+            words = np.bincount(x.owner, weights=own[x.bucket], minlength=x.words) / x.parts
+            hidden[:, d] = np.bincount(x.window, weights=words[x.word] * x.weight, minlength=n)
+        score = hidden @ softmax + params["bias"]
         score -= score.max(1, keepdims=True)
         chance = np.exp(score)
         chance /= chance.sum(1, keepdims=True)
-        share = 1.0 / windows_of[text]
+        share = 1.0 / windows_of[x.text]
         if round_ >= rounds // 6:
-            best = np.lexsort((-chance[:, 1], text))
-            top = best[np.searchsorted(text[best], np.arange(t.rows))]
+            # Of each text the most toxic window: all that counts of a toxic one, and
+            # counts double of another.
+            best = np.lexsort((-chance[:, 1], x.text))
+            top = best[begin]
             share = np.where(label == 1, 0.0, share)
             share[top[toxic == 1]] = 1.0
-            hardest = top[toxic == 0]
-            share[hardest] += 1.0
-        share = share / of_class[label]
+            share[top[toxic == 0]] += 1.0
         error = chance.copy()
         error[np.arange(n), label] -= 1
-        error *= share[:, None]
+        error *= (share / of_class[label])[:, None]
         back = error @ softmax.T
-        d_words = add_up(pn, back[pw] * weight[:, None], len(starts)) / parts[:, None]
-        grads = {
-            "vectors": add_up(bucket, d_words[owner], len(used)),
-            "softmax": hidden.T @ error, "bias": error.sum(0),
-        }
-        grads["vectors"] += decay * vectors
+        grads = {"vectors": decay * params["vectors"], "softmax": hidden.T @ error, "bias": error.sum(0)}
+        for d in range(DIM):
+            words = np.bincount(x.word, weights=back[x.window, d] * x.weight, minlength=x.words) / x.parts
+            grads["vectors"][d] += np.bincount(x.bucket, weights=words[x.owner], minlength=len(x.used))
         for name, value in params.items():
             # Adam with a floor under the step's divisor: n-grams of a few texts, whose
             # gradients are small, move little, and those that tell the classes apart fast.
             g = grads[name]
-            largest[name] = max(largest.get(name, 0.0), float(np.abs(g).max()))
+            largest[name] = max(largest.get(name, 0.0), float(np.abs(g).max(initial=0.0)))
             first[name] = 0.8 * first[name] + 0.2 * g
             second[name] = 0.95 * second[name] + 0.05 * g * g
-            value -= rate * first[name] / (np.sqrt(second[name]) + floor * largest[name] + 1e-12)
+            value -= pace * first[name] / (np.sqrt(second[name]) + floor * largest[name] + 1e-12)
     weights = np.zeros(BUCKETS, np.float32)
-    weights[used] = vectors @ (softmax[:, 1] - softmax[:, 0])
+    softmax, bias = params["softmax"], params["bias"]
+    weights[x.used] = (softmax[:, 1] - softmax[:, 0]) @ params["vectors"]
     return weights, float(bias[1] - bias[0])
 
 
-def _frequent(t, number, bucket, owner, least_texts):
-    """Subwords whose bucket stands in enough texts, numbered anew, and their buckets.
-    What only a few texts hold would be learnt by heart; its vector stays zero."""
-    words = int(number.max()) + 1 if len(number) else 0
-    pairs = np.unique(t.row_of_word() * np.int64(max(words, 1)) + number)
-    texts_of = np.bincount(pairs % max(words, 1), minlength=words)  # texts each word is in
-    # A bucket's texts are at most the sum over its words: a cheap bound that needs no
-    # pass over all pairs of text and subword.
-    held = np.bincount(bucket, weights=texts_of[owner], minlength=BUCKETS)
-    used = np.flatnonzero(held >= least_texts)
-    fresh = np.full(BUCKETS, -1, np.int64)
-    fresh[used] = np.arange(len(used))
-    kept = fresh[bucket] >= 0
-    return fresh[bucket][kept], owner[kept], used
-
-
 def text_scores(t: kernels.Texts, weights: np.ndarray, bias: float) -> np.ndarray:
     starts, ends, number = distinct_words(t)
     window, text = windows(t)
@@ -202,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, **trai
     toxic = found.column("toxic").to_numpy().astype(np.int64)
     if len(np.unique(toxic)) < 2:
         return np.zeros(BUCKETS, np.float32), 0.0
-    return train(kernels.Texts(*kernels.unpack(found.column("text")), lower=True), toxic, **training)
+    return train(found.column("text").combine_chunks(), toxic, **training)
 
 
 def scored(docs: DataFrame, labels: DataFrame, **training) -> DataFrame:
@@ -226,4 +243,4 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder(5) == 0
     labels = kernels.documents(spark, sf_dir, "labels").where(~held_out)
     return scored(kernels.documents(spark, sf_dir), labels).select(
-        "doc_id", held_out.alias("held_out"), "score", "predicted")
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
