@@ -230,14 +230,15 @@ def length_counts(predictions: DataFrame, series=SERIES) -> DataFrame:
 
 
 def length_histogram(predictions: DataFrame, bins: int = config.HISTOGRAM_BINS,
-                     series=SERIES) -> DataFrame:
+                     series=SERIES, counts: DataFrame | None = None) -> DataFrame:
     """Word-length histogram of all series over shared equal bins from 0 to the largest
-    length plus 5; bins without texts are listed with 0."""
+    length plus 5; bins without texts are listed with 0. ``counts`` are ``length_counts``
+    made before."""
     # Windows over everything see tables of bounded size only: one row per series and
     # distinct length, and one per series and bin.
     everything = Window.partitionBy()
     placed = (
-        length_counts(predictions, series)
+        (length_counts(predictions, series) if counts is None else counts)
         .withColumn("upper", F.max("words").over(everything) + 5)
         .groupBy("series", (F.expr(f"words * {bins} div upper") + 1).alias("bin"))
         .agg(F.sum("n").alias("n"), F.max("upper").alias("upper"))
@@ -257,9 +258,9 @@ def length_histogram(predictions: DataFrame, bins: int = config.HISTOGRAM_BINS,
     )
 
 
-def length_means(predictions: DataFrame, series=SERIES) -> DataFrame:
-    """Mean word count per series."""
+def length_means(predictions: DataFrame, series=SERIES, counts: DataFrame | None = None) -> DataFrame:
+    """Mean word count per series; ``counts`` are ``length_counts`` made before."""
     return (
-        length_counts(predictions, series).groupBy("series")
+        (length_counts(predictions, series) if counts is None else counts).groupBy("series")
         .agg((F.sum(F.col("words") * F.col("n")) / F.sum("n")).alias("mean_words"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from turnmill import config
 from turnmill.operators import cleaning, sampling
-from turnmill.scratch import stage
+from turnmill.scratch import drop, stage
 from turnmill.sources.rows import write_splits
 
 
@@ -46,3 +46,4 @@ def curate(raw: DataFrame, chat_path: str, raw_path: str,
     chat = cleaning.to_chat(rows, keep=("split", "split_order", "row_id"), system=p.system_prompt)
     write_splits(chat, chat_path, mode)
     write_splits(rows, raw_path, mode)
+    drop(rows)

@@ -36,14 +36,15 @@ def evaluate(predictions: DataFrame, path: str | None = None) -> dict[str, DataF
 def report(predictions: DataFrame, metrics: DataFrame, log: DataFrame) -> dict[str, DataFrame]:
     """The tables a report and its charts are drawn from; ``predictions`` may come from
     the prediction file."""
+    counts = stage(scoring.length_counts(predictions), "length_counts")
     return {
         "verdict": compare.verdict(metrics),
         "executive": compare.executive(metrics),
         "comparison": compare.series(metrics),
         "rouge_breakdown": compare.series(metrics, config.ROUGE_KEYS),
         "improvement": compare.improvement_series(metrics),
-        "lengths": scoring.length_histogram(predictions),
-        "length_means": scoring.length_means(predictions),
+        "lengths": scoring.length_histogram(predictions, counts=counts),
+        "length_means": scoring.length_means(predictions, counts=counts),
         "loss_curve": trainlog.loss_curve(log),
         "training": trainlog.statistics(log),
         "examples": compare.examples(predictions),
