@@ -306,7 +306,7 @@ def _linked(near: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component): the smallest id reachable, for every id of an edge.
+    """(id, component): the smallest id reachable, for every id of an edge that links two.
 
     Rounds of large-star and small-star: ids are linked to the smallest id near them
     until nothing changes. Every round is written to the shared folder; the driver sees
@@ -369,7 +369,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .mapInArrow(_candidate_sets, "id long, grams array<long>, bits array<long>")
         .dropDuplicates(["id"]), "sets")
 
-    links, groups = None, None
+    links, groups, done = None, None, [buckets, sets]
     member = buckets.withColumn("g", F.col("id"))
     for round_ in range(HUB_ROUNDS):
         # Each block proposes one hub; other hubs in every round.
@@ -381,11 +381,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found = stage(_linked(_near(pairs, sets), sets), "links")
         links = found if links is None else links.union(found)
         groups = stage(components(links), "groups")
+        done += [found, groups]
         member = buckets.join(groups, "id", "left").select(
             "id", "sig", F.coalesce("component", "id").alias("g"))
     member = stage(member, "members")
     found = stage(_linked(_left_apart(member, sets), sets), "links")
     groups = stage(components(links.union(found)), "groups")
+    drop(*done, member, found)
     named = classes.join(groups, "id", "left").select(
         "ka", "kb", F.coalesce("component", "id").alias("component_id"))
     return rows.join(named, ["ka", "kb"], "left").select(
