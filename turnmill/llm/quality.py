@@ -127,7 +127,8 @@ def estimate(docs: DataFrame, rules=RULES, sample_rows: int = 256, rounds: int =
     The sample sets nothing but the order of the rules. Spark reads only as many parts
     of the input as it takes to find these rows.
     """
-    sample = docs.select("text").limit(sample_rows).toArrow()
+    texts = [row.text for row in docs.select("text").take(sample_rows)]
+    sample = pa.table({"text": pa.array(texts, pa.string())})
     out = []
     for rule in rules:
         cost, rejected = 0.0, 0
