@@ -78,7 +78,7 @@ def toxic_texts(n, seed, spell=lambda w: w):
 
 @pytest.fixture(scope="module")
 def toxic_model(spark):
-    rows = toxic_texts(1200, 1)
+    rows = toxic_texts(2400, 1)
     docs = cases.documents(spark, [t for t, _ in rows])
     labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)] + [(None, 1), (7, None), (9999, 1)],
                                    "doc_id long, toxic int")
@@ -93,9 +93,9 @@ def test_toxicity_of_unseen_texts_and_misspellings(spark, toxic_model):
         t = kernels.Texts(*kernels.unpack(pa.array([x for x, _ in rows])), lower=True)
         return toxicity.text_scores(t, weights, bias), np.array([y for _, y in rows])
 
-    s, y = scores(toxic_texts(200, 2))
+    s, y = scores(toxic_texts(400, 2))
     assert ((s >= 0.5) == y).mean() > 0.95
-    s, y = scores(toxic_texts(100, 3, spell=lambda w: w[:-2] + w[-2:] * 2))
+    s, y = scores(toxic_texts(400, 3, spell=lambda w: w[:-2] + w[-2:] * 2))
     assert ((s >= 0.5) == y).mean() > 0.85
 
 
