@@ -51,6 +51,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE = 5
 HUB_ROUNDS = 2
 CHUNK = 512
+SLICE = 512 << 10  # bytes of text whose blocks leave Python at once
 _U = np.uint64
 _SALT = _U(0xA24BAED4963EE407)
 
@@ -151,7 +152,7 @@ def _signatures(batches):
     """Rows (owner, sig): a class's blocks. ``owner`` is twice the class id, plus one for
     the sketch of the size class below."""
     for batch in batches:
-        for part in kernels.slices(batch):
+        for part in kernels.slices(batch, limit=SLICE):
             t = kernels.texts(part, lower=True)
             grams, at = shingle_sets(t)
             a, b = set_keys(grams, at)
@@ -337,7 +338,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, ka, kb) of every row; ``ka`` and ``kb`` are the
     key of its shingle set."""
-    texts = kernels.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = kernels.small_batches(docs, 250).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stage(texts.mapInArrow(_sketch, "doc_id long, n_shingles long, ka long, kb long"), "keys")
     # One class per distinct set; its first id names it.
     classes = (

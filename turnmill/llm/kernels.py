@@ -180,15 +180,19 @@ def texts(batch: pa.RecordBatch, column: str = "text", lower: bool = False) -> T
     return Texts(*unpack(batch.column(batch.schema.get_field_index(column))), lower=lower)
 
 
-def small_batches(df: DataFrame) -> DataFrame:
+_chosen = {"10000"}  # Spark's default, and what was set here
+
+
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     """Have Spark hand texts to Python in batches of few rows.
 
     The default of 10,000 rows is meant for numbers; so many texts would take more memory
     than the work on them. A session that sets another number keeps it.
     """
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if df.sparkSession.conf.get(setting) == "10000":
-        df.sparkSession.conf.set(setting, "1000")
+    if df.sparkSession.conf.get(setting) in _chosen:
+        _chosen.add(str(rows))
+        df.sparkSession.conf.set(setting, str(rows))
     return df
 
 

@@ -259,7 +259,7 @@ def _refined(rows: DataFrame, level: int) -> DataFrame:
 def found(docs: DataFrame) -> DataFrame:
     """(doc_id, known0, known1, known2): pieces of each document that stand in earlier
     ones, by level. Documents without any have no row."""
-    texts = kernels.small_batches(docs).where("doc_id is not null and octet_length(text) >= 100").select(
+    texts = kernels.small_batches(docs, 250).where("doc_id is not null and octet_length(text) >= 100").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text")
     known, opened, with_open = None, [], texts
     for level, name in enumerate(LEVELS):
