@@ -61,6 +61,50 @@ def test_lm_edge_tables(spark):
     assert len(rows) == 4 and len({(r.n_known, round(r.score, 9)) for r in same}) == 1
 
 
+def test_lm_own_words_grow_and_see_their_context():
+    """Words beyond the symbols have vectors and a place in a normalised tree, and learn what
+    they follow."""
+    import pyarrow as pa
+
+    r = random.Random(2)
+    heads, tails = [f"h{i:03d}ead" for i in range(120)], [f"t{i:03d}ail" for i in range(120)]
+    lines = [" ".join(x for _ in range(30) for i in [r.randrange(120)] for x in (heads[i], tails[i])) for _ in range(300)]
+    t = kernels.Texts(*kernels.unpack(pa.array(lines)), lower=True)
+    k, first, c = np.unique(t.word_hash, return_index=True, return_counts=True)
+    order = np.argsort(-c, kind="stable")
+    words = lm.Words(k[order], c[order], lm.forms(t)[first][order], 5)
+    assert words.units == 240
+    start = np.random.default_rng(1).normal(0, 0.1, (2, words.end + 1, 24))
+    outputs = np.random.default_rng(2).normal(0, 0.1, (lm.SYMBOLS, 25))
+    nodes = np.zeros((words.base[-1], 25))
+    nodes[:, -1] = words.trees(np.ones(lm.FORMS))
+    model = lm.Model(words, *start, outputs, nodes)
+    tokens = words.tokens(t)[1:5]
+    learner = lm.Learner(model, np.full(lm.SYMBOLS, 1 / lm.SYMBOLS), 1)
+    for _ in range(30):
+        learner.learn(*tokens)
+    # Of all places in all classes, after one context: sums to one.
+    symbol = np.concatenate([np.arange(1 + lm.OWN), *[
+        np.full(1 << words.depth[f], 1 + lm.OWN + f) for f in range(lm.FORMS)]])
+    leaf = np.concatenate([np.zeros(1 + lm.OWN, int), *[np.arange(1 << d) for d in words.depth]])
+    for a, b in ((0, 1), (words.end, 200), (words.units, 7)):
+        p = 10 ** learner.own.log10(np.full(len(leaf), a), np.full(len(leaf), b), symbol, leaf)
+        assert p.sum() == pytest.approx(1, abs=1e-4)
+    tail = tokens[3] > 0
+    gain = (learner.own.log10(*tokens) - model.log10(*tokens))[tail].mean()
+    assert tail.sum() > 5000 and gain > 0.1
+
+
+def test_lm_vocabulary_is_not_of_fixed_size(spark, monkeypatch):
+    sizes = []
+    inner = lm.train_words
+    monkeypatch.setattr(lm, "train_words", lambda learn, model, *a: sizes.append(model.words.units) or inner(learn, model, *a))
+    for n in (200, 400):
+        df = cases.documents(spark, [" ".join(f"w{i}" for i in range(n))] * 6)
+        lm.scored(df, F.lit(False), listed=1, least=5, steps=5).count()
+    assert sizes == [200, 400]
+
+
 INSULTS = ["grumbler", "blockhead", "nincompoop"]
 
 

@@ -1,23 +1,24 @@
 """Text scores of a log-bilinear language model trained with noise-contrastive estimation.
 
-Tokens are words in lower case (A-Z only) and one end per text. Words become symbols: the
-most frequent ones are symbols of their own, all others fall into classes by their form
-(length and last two bytes), so that a word never seen has a symbol too. The model
-predicts a symbol from the two before it: their vectors, each through a matrix of its
-position, are added, and the product with a symbol's output vector, plus its bias, is that
-symbol's score. Within a form class a word has its smoothed share of the class's training
-tokens; one share is left for all unknown words. The product of both is normalised over
-all words.
-
-Everything the model knows is gathered from all training texts: words are counted by a
-shuffle, symbol triples by another. Triples are a table of at most ``SYMBOLS ** 3`` cells
-however large the corpus is, and the triples' counts are all that training with
-noise-contrastive estimation looks at: it draws triples by their counts and noise symbols
-from the unigram distribution. Batched matrix products then give the normalised
-log-probabilities of all contexts once, and scoring a text is a lookup per token.
-
-Counts of the ``listed`` most frequent words are sent to all tasks (a table of fixed
-size); counts of all others reach their texts by joins.
+Tokens are words in lower case (A-Z only) and one end per text. Every word seen ``least``
+times in training has vectors of its own, so the vocabulary grows with the corpus; rarer and
+unknown words share those of their form class (length and last two bytes). The vectors of the
+two tokens before, one per position, are added to a context, and a word's probability
+is taken in two steps, each normalised. The symbol comes first: the end, one of the most
+frequent words, or a form class, by the product of the context with the symbol's vector. Within
+a class, a binary tree leads to the word: every inner node has a vector, and the sigmoid of
+its product with the context, plus a bias, says which way. The first leaf of a class is for all its rare
+words, where each has its smoothed share and one share is left for unknown words. The
+product is normalised over all words.
+
+Words are counted by a shuffle. Symbols are trained first, on at most ``SYMBOLS ** 3`` counts of
+symbol triples, and give all vectors their start; the nodes' biases start at the words' shares.
+Then every training token takes a step: each task goes through the triples of its own texts,
+symbols by noise-contrastive estimation, trees by the logistic loss of their decisions, and
+the changes of a vector are averaged over the tasks that met it, weighted by how often.
+
+Own words and their vectors are sent to all tasks and gathered by the driver, so memory
+grows with the vocabulary; counts of all other words reach their texts by joins.
 
 Edge cases: a null or empty text is one end token; rows with a null ``doc_id`` are scored
 and used for training; repeated rows get equal results; further columns are ignored; an
@@ -31,7 +32,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnmill.llm import kernels
@@ -43,6 +44,10 @@ SYMBOLS = 128
 FORMS = 16
 OWN = SYMBOLS - FORMS - 1  # symbol 0 is the end, and what stands before a text
 LISTED = 1 << 16
+LEAST = 20
+BATCH = 8192
+NOISE = 16
+PACE = 0.05
 _U = np.uint64
 
 
@@ -101,9 +106,9 @@ def _triple_counts(own, number):
     return run
 
 
-def train(code: np.ndarray, n: np.ndarray, dim: int = 24, steps: int = 1000, batch: int = 2048,
-          noise: int = 16, rate: float = 0.1, seed: int = 1) -> np.ndarray:
-    """Log10 probability of each symbol after each pair of symbols.
+def fit_symbols(code: np.ndarray, n: np.ndarray, dim: int = 24, steps: int = 1000, batch: int = 2048,
+                noise: int = 16, rate: float = 0.1, seed: int = 1) -> list[np.ndarray]:
+    """Vectors, output vectors, matrices of the positions, and biases of the symbols.
 
     Noise-contrastive estimation: the model tells drawn triples from noise symbols drawn
     from the unigram distribution; updates by Adagrad.
@@ -143,7 +148,12 @@ def train(code: np.ndarray, n: np.ndarray, dim: int = 24, steps: int = 1000, bat
         for p, q, g in zip(parts, squares, grads):
             q += g * g
             p -= pace * g / np.sqrt(q)
-    return normalised(vectors, outputs, places, bias)
+    return parts
+
+
+def train(code: np.ndarray, n: np.ndarray, **training) -> np.ndarray:
+    """Log10 probability of each symbol after each pair of symbols."""
+    return normalised(*fit_symbols(code, n, **training))
 
 
 def normalised(vectors, outputs, places, bias) -> np.ndarray:
@@ -159,23 +169,244 @@ def normalised(vectors, outputs, places, bias) -> np.ndarray:
     return out.reshape(-1)
 
 
-def _score(listed, counts, own, number, table, form_total):
+class Words:
+    """Words with a count known to all tasks: symbol, vectors and leaf of each."""
+
+    def __init__(self, k: np.ndarray, c: np.ndarray, form: np.ndarray, least: int):
+        """In order of falling counts."""
+        rank = np.arange(len(k))
+        own = (c >= least) | (rank < OWN)
+        self.units = int(own.sum())  # then one for each form, and the end
+        self.end = self.units + FORMS
+        form = form.astype(np.int64)
+        symbol = np.where(rank < OWN, rank + 1, 1 + OWN + form)
+        unit = np.where(own, rank, self.units + form)
+        leaf = np.zeros(len(k), np.int64)
+        self.depth = np.zeros(FORMS, np.int64)
+        for f in range(FORMS):
+            inside = np.flatnonzero(own & (rank >= OWN) & (form == f))
+            leaf[inside] = np.arange(1, len(inside) + 1)
+            self.depth[f] = len(inside).bit_length()
+        self.base = np.concatenate([[0], np.cumsum((1 << self.depth) - 1)])
+        order = np.argsort(k)
+        self.keys, self.counts = k[order], c[order]
+        self.symbol, self.unit, self.leaf = symbol[order], unit[order], leaf[order]
+
+    def trees(self, rest: np.ndarray) -> np.ndarray:
+        """Biases of all nodes for which leaves have the words' smoothed shares; ``rest``
+        is the weight of each form's first leaf."""
+        out = np.zeros(self.base[-1])
+        for f in range(FORMS):
+            mass = np.zeros(1 << self.depth[f])
+            mass[0] = rest[f]
+            inside = (self.symbol == 1 + OWN + f) & (self.leaf > 0)
+            mass[self.leaf[inside]] = self.counts[inside] + 1
+            for level in range(self.depth[f] - 1, -1, -1):
+                left, right = mass[::2], mass[1::2]
+                at = self.base[f] + (1 << level) - 1
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    odds = np.log(right) - np.log(left)
+                out[at: at + len(left)] = np.clip(np.nan_to_num(odds), -40, 40)
+                mass = left + right
+        return out
+
+    def tokens(self, t: kernels.Texts):
+        """Of each token, ends included: its text, the units before, symbol, leaf; of each word: count or -1."""
+        form = forms(t).astype(np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, t.word_hash), len(self.keys) - 1)
+            hit = self.keys[at] == t.word_hash
+            symbol = np.where(hit, self.symbol[at], 1 + OWN + form)
+            unit = np.where(hit, self.unit[at], self.units + form)
+            leaf = np.where(hit, self.leaf[at], 0)
+            count = np.where(hit, self.counts[at], -1)
+        else:
+            symbol, unit = 1 + OWN + form, self.units + form
+            leaf, count = np.zeros(len(form), np.int64), np.full(len(form), -1)
+        first = t.words[2]
+        n, rows = len(form), t.rows
+        line = np.full(n + 3 * rows, self.end, np.int64)
+        place = np.arange(n) + 3 * t.row_of_word() + 2
+        line[place] = unit
+        token = np.ones(len(line), bool)
+        begin = first[:-1] + 3 * np.arange(rows)
+        token[begin] = token[begin + 1] = False
+        at = np.flatnonzero(token)
+        what = np.zeros((2, len(line)), np.int64)
+        what[0, place], what[1, place] = symbol, leaf
+        row = np.repeat(np.arange(rows), np.diff(first) + 1)
+        return row, line[at - 2], line[at - 1], what[0, at], what[1, at], count
+
+    def decisions(self, symbol: np.ndarray, leaf: np.ndarray):
+        """By level: the tokens whose class has so deep a tree, their node and way (0, 1)."""
+        form = symbol - 1 - OWN
+        at = np.flatnonzero(form >= 0)
+        for level in range(int(self.depth.max())):
+            at = at[self.depth[form[at]] > level]
+            if not len(at):
+                return
+            below = self.depth[form[at]] - level
+            node = self.base[form[at]] + (1 << level) - 1 + (leaf[at] >> below)
+            yield at, node, (leaf[at] >> (below - 1)) & 1
+
+
+def _summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct numbers, how often each stands, and the sum of its rows."""
+    order = np.argsort(index.astype(np.int32))
+    ordered = index[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    return ordered[first], np.diff(np.append(first, len(order))), np.add.reduceat(rows[order], first, axis=0)
+
+
+class Model:
+    """Arrays of all parameters; the last column of outputs and nodes is the bias."""
+
+    NAMES = ("first", "second", "outputs", "nodes")
+
+    def __init__(self, words: Words, first, second, outputs, nodes):
+        self.words = words
+        self.parts = [np.ascontiguousarray(p, np.float32) for p in (first, second, outputs, nodes)]
+
+    def context(self, a, b):
+        return self.parts[0][a] + self.parts[1][b]
+
+    def log10(self, a, b, symbol, leaf) -> np.ndarray:
+        """Log10 probability of each token: of its symbol, and of its leaf in the class."""
+        out = np.empty(len(a))
+        _, _, outputs, nodes = self.parts
+        for i in range(0, len(a), BATCH):
+            s = slice(i, i + BATCH)
+            context = self.context(a[s], b[s])
+            score = context @ outputs[:, :-1].T + outputs[:, -1]
+            score -= score.max(1, keepdims=True)
+            got = score[np.arange(len(score)), symbol[s]].astype(np.float64)
+            got -= np.log(np.exp(score).sum(1, dtype=np.float64))
+            for at, node, way in self.words.decisions(symbol[s], leaf[s]):
+                q = nodes[node]
+                z = np.einsum("ij,ij->i", context[at], q[:, :-1]) + q[:, -1]
+                got[at] -= np.logaddexp(0.0, np.where(way, -z, z).astype(np.float64))
+            out[s] = got
+        return out / np.log(10)
+
+
+class Learner:
+    """One task's own copy of the parameters, and what it has changed."""
+
+    def __init__(self, model: Model, noise: np.ndarray, seed: int):
+        self.model = model
+        self.own = Model(model.words, *[p.copy() for p in model.parts])
+        self.squares = [np.ones_like(p) for p in model.parts]
+        self.met = [np.zeros(len(p), np.int64) for p in model.parts]
+        self.noise, self.reach = noise, np.cumsum(noise)
+        self.rng = np.random.default_rng(seed)
+
+    def _move(self, part: int, index, rows):
+        if not len(index):
+            return
+        at, n, g = _summed(index, rows)
+        self.met[part][at] += n
+        self.squares[part][at] += g * g
+        self.own.parts[part][at] -= PACE * g / np.sqrt(self.squares[part][at])
+
+    def learn(self, a, b, symbol, leaf):
+        """A step for each batch of tokens."""
+        for i in range(0, len(a), BATCH):
+            self._step(*(x[i: i + BATCH] for x in (a, b, symbol, leaf)))
+
+    def _step(self, a, b, symbol, leaf):
+        _, _, outputs, nodes = self.own.parts
+        one = np.ones((len(a), 1), np.float32)
+        context = np.concatenate([self.own.context(a, b), one], 1)
+        # Symbols against noise; the noise of a batch is drawn once for all its tokens.
+        fake = np.minimum(np.searchsorted(self.reach, self.rng.random(NOISE)), SYMBOLS - 1)
+        log_noise = np.log(NOISE * self.noise).astype(np.float32)
+        true_out, fake_out = outputs[symbol], outputs[fake]
+        sure = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        e_true = sure(np.einsum("ij,ij->i", context, true_out) - log_noise[symbol]) - 1
+        e_fake = sure(context @ fake_out.T - log_noise[fake])
+        back = e_true[:, None] * true_out + e_fake @ fake_out
+        index, rows = [], []
+        for at, node, way in self.model.words.decisions(symbol, leaf):
+            q, c = nodes[node], context[at]
+            e = sure(np.einsum("ij,ij->i", c, q)) - way.astype(np.float32)
+            back[at] += e[:, None] * q
+            index.append(node)
+            rows.append(e[:, None] * c)
+        self._move(2, np.concatenate([symbol, fake]), np.concatenate([e_true[:, None] * context, e_fake.T @ context]))
+        if index:
+            self._move(3, np.concatenate(index), np.concatenate(rows))
+        self._move(0, a, back[:, :-1])
+        self._move(1, b, back[:, :-1])
+
+    def changes(self):
+        """Batches of (part, id, n, change times n)."""
+        for part, (own, start, met) in enumerate(zip(self.own.parts, self.model.parts, self.met)):
+            touched = np.flatnonzero(met)
+            for i in range(0, len(touched), 20_000):
+                at = touched[i: i + 20_000]
+                moved = (own[at] - start[at]) * met[at, None].astype(np.float32)
+                if part < 2:
+                    moved = np.concatenate([moved, np.zeros((len(at), 1), np.float32)], 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), part, np.int8)), pa.array(at), pa.array(met[at]),
+                     *[pa.array(moved[:, j].astype(np.float64)) for j in range(moved.shape[1])]],
+                    ["part", "id", "n", *[f"v{j}" for j in range(moved.shape[1])]])
+
+
+def _learn(sent, noise, turn):
+    def run(batches):
+        learner = None
+        for batch in batches:
+            for part in kernels.slices(batch):
+                if learner is None:
+                    learner = Learner(sent.value, noise, 1_000_003 * turn + TaskContext.get().partitionId())
+                learner.learn(*sent.value.words.tokens(kernels.texts(part, lower=True))[1:5])
+        if learner is not None:
+            yield from learner.changes()
+    return run
+
+
+def train_words(learn: DataFrame, model: Model, noise: np.ndarray, rounds: int = 1) -> Model:
+    """The model after every training token was seen ``rounds`` times."""
+    dim = model.parts[2].shape[1]
+    names = [f"v{j}" for j in range(dim)]
+    for turn in range(rounds):
+        sent = learn.sparkSession.sparkContext.broadcast(model)
+        mean = learn.mapInArrow(
+            _learn(sent, noise, turn), "part byte, id long, n long, " + ", ".join(f"{v} double" for v in names)
+        ).groupBy("part", "id").agg(*[(F.sum(v) / F.sum("n")).cast("float").alias(v) for v in names]).toArrow()
+        which, at = mean["part"].to_numpy(), mean["id"].to_numpy()
+        parts = [p.copy() for p in model.parts]
+        for j, v in enumerate(names):
+            change = mean[v].to_numpy()
+            for part in range(4):
+                mine = which == part
+                if j < parts[part].shape[1]:
+                    parts[part][at[mine], j] += change[mine]
+        model = Model(model.words, *parts)
+        sent.unpersist()
+    return model
+
+
+def _score(sent, rare_total):
     """Per text: counts, the part of both scores known here, and its other words."""
     def run(batches):
         for batch in batches:
             for part in kernels.slices(batch):
                 t = kernels.texts(part, lower=True)
-                symbols = _symbols(t, own, number)
-                code, row = triples(t, symbols)
+                row, a, b, symbol, leaf, c = sent.value.words.tokens(t)
                 rows = t.rows
-                model = np.bincount(row, weights=table.value[code].astype(np.float64), minlength=rows).astype(np.float64)
+                model = np.bincount(row, weights=sent.value.log10(a, b, symbol, leaf), minlength=rows).astype(np.float64)
                 word_row = t.row_of_word()
-                c = lookup(t.word_hash, listed.value, counts.value, np.full(len(word_row), -1))
                 here = c > 0
                 gain = np.where(here, np.log10(np.maximum(c, 0) + 1.0), 0.0)
                 base = np.bincount(word_row, weights=gain, minlength=rows).astype(np.float64)
-                tail = symbols > OWN
-                inside = np.where(tail, gain - form_total[np.maximum(symbols - 1 - OWN, 0)], 0.0)
+                # In a class's first leaf, each word has its share of the leaf.
+                token = np.ones(len(row), bool)
+                token[np.cumsum(t.n_words + 1) - 1] = False
+                symbol, leaf = symbol[token], leaf[token]
+                rare = (symbol > OWN) & (leaf == 0)
+                inside = np.where(rare, gain - rare_total[np.maximum(symbol - 1 - OWN, 0)], 0.0)
                 model += np.bincount(word_row, weights=inside, minlength=rows)
                 known = np.bincount(word_row[here], minlength=rows)
                 # Other words, once per text with their number.
@@ -196,7 +427,7 @@ def _score(listed, counts, own, number, table, form_total):
     return run
 
 
-def scored(docs: DataFrame, held_out: Column, listed: int = LISTED, **training) -> DataFrame:
+def scored(docs: DataFrame, held_out: Column, listed: int = LISTED, least: int = LEAST, **training) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row."""
     spark = docs.sparkSession
     rows = kernels.small_batches(docs).select(
@@ -207,29 +438,40 @@ def scored(docs: DataFrame, held_out: Column, listed: int = LISTED, **training)
         learn.mapInArrow(_word_counts, "k long, n long, form byte")
         .groupBy("k").agg(F.sum("n").alias("c"), F.min("form").alias("form")), "word_counts")
     ends = learn.count()
-    most = counts.orderBy(F.desc("c"), "k").limit(listed).toPandas()
-    forms_ = (
-        counts.join(F.broadcast(spark.createDataFrame(most[["k"]][:OWN], "k long")), "k", "left_anti")
-        .groupBy("form").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect())
+    most = counts.orderBy(F.desc("c"), "k").limit(max(listed, OWN)).toPandas()
+    if len(most) and most["c"].iloc[-1] >= least:
+        # More words have vectors of their own than are listed.
+        most = counts.where(F.col("c") >= least).toPandas().sort_values(["c", "k"], ascending=[False, True])
+    forms_ = counts.groupBy("form").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
     size = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     train_tokens, distinct = size["n"] + ends, size["v"] + (ends > 0)
 
-    form_total = np.zeros(FORMS)
+    words = Words(most["k"].to_numpy(np.int64).view(_U), most["c"].to_numpy(np.int64), most["form"].to_numpy(), least)
+    # Weight of each form's rare words: of all words of the form, less those with a place of their own.
+    rest = np.ones(FORMS)
     for r in forms_:
-        form_total[r["form"]] = np.log10(r["c"] + r["v"] + 1)
+        rest[r["form"]] += r["c"] + r["v"]
+    own_rows = most[: words.units]
+    np.subtract.at(rest, own_rows["form"].to_numpy(np.int64), own_rows["c"].to_numpy(np.float64) + 1)
     own_words = most["k"].to_numpy()[:OWN].astype(np.int64).view(_U)
     order = np.argsort(own_words)
     own, number = own_words[order], order.astype(np.int64) + 1
     gathered = (
         learn.mapInArrow(_triple_counts(own, number), "code int, n long")
         .groupBy("code").agg(F.sum("n").alias("n")).toPandas().sort_values("code"))
-    table = train(gathered["code"].to_numpy(np.int64), gathered["n"].to_numpy(np.float64), **training)
-
-    words = most["k"].to_numpy().astype(np.int64).view(_U)
-    order = np.argsort(words)
-    send = spark.sparkContext.broadcast
-    run = _score(send(words[order]), send(most["c"].to_numpy()[order]), own, number, send(table),
-                 form_total)
+    code, times = gathered["code"].to_numpy(np.int64), gathered["n"].to_numpy(np.float64)
+    vectors, outputs, places, bias = fit_symbols(code, times, **training)
+    # Each unit starts with the vectors of its symbol.
+    start = np.zeros(words.end + 1, np.int64)
+    start[words.unit] = words.symbol
+    start[words.units: words.end] = 1 + OWN + np.arange(FORMS)
+    nodes = np.zeros((words.base[-1], vectors.shape[1] + 1))
+    nodes[:, -1] = words.trees(rest)
+    model = Model(words, (vectors @ places[0])[start], (vectors @ places[1])[start],
+                  np.concatenate([outputs, bias[:, None]], 1), nodes)
+    noise = np.bincount(code % SYMBOLS, weights=times, minlength=SYMBOLS) + 1.0
+    model = train_words(learn, model, noise / noise.sum())
+    run = _score(spark.sparkContext.broadcast(model), np.log10(rest))
     local = stage(
         rows.select("doc_id", "text", "held_out").mapInArrow(
             run, "doc_id long, held_out boolean, n_tokens long, known long, base double, model double,"
