@@ -195,3 +195,19 @@ def test_mixing_edge_cases(spark):
     assert {r.doc_id for r in out.collect()} == set(range(len(cases.odd_texts())))
     assert mixing.mixed(odd, odd.select("doc_id").where("false")).count() == odd.count()
     assert mixing.mixed(cases.empty(spark), odd.select("doc_id")).count() == 0
+
+
+def test_mixing_keeps_rare_domains(spark):
+    """A domain far below one row in the bound has its place and its target; weights for what
+    cannot be fitted are an error."""
+    rows = [(i, f"a{i % 50} a{i % 7} a{i % 11}", "a") for i in range(3000)] + [(3000, "z1 z2 z3", "z"), (3001, "y1 y2 y3", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labelled = docs.where("lang <> 'y'").select("doc_id")
+    with pytest.warns(UserWarning, match="'y'"):
+        features, domains, _, steps = mixing.rates(docs, labelled, train_rows=10, weights={"a": 0.9, "z": 0.1})
+    assert domains == ["a", "y", "z"]
+    got = features.select("doc_id", mixing.rate_of(F.col("p"), steps, 0.0).alias("rate")).where("doc_id = 3000").first()
+    assert got.rate > 50
+    for weights in ({"a": 0.5, "y": 0.5}, {"a": 0.5, "nowhere": 0.5}):
+        with pytest.raises(ValueError, match="without labelled rows"):
+            mixing.rates(docs, labelled, weights=weights)

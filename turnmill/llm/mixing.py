@@ -12,15 +12,19 @@ A step is a handful of residuals. Tasks replay the steps so far for each documen
 state is kept with the documents, and the driver sees one row of domain totals per step.
 
 The classifier is naive Bayes over hashed words (lower case, A-Z only), its evidence counted
-as that of at most ``EVIDENCE`` words, which keeps memberships soft. It is fitted on at most
-``train_rows`` labelled rows chosen by a hash of their ids, a documented bound for fitting
-only; token totals, rates and copies cover all documents.
+as that of at most ``EVIDENCE`` words, which keeps memberships soft. What a document itself
+states as its domain is prior evidence of weight ``STATED``; where it states none, the shares
+of the domains are. Domains and their labelled rows are counted over all data. About
+``train_rows`` labelled rows of each domain at most, chosen by a hash, fit the classifier, a
+documented bound for fitting only; token totals, rates and copies cover all documents. A
+domain without labelled rows has the words of all domains and gives a warning; if a weight
+is asked for it, or for a domain that does not occur, that is an error.
 
 By default the targets are the corpus's own domain shares to the power ``temper``, and the
 total is the smallest for which no domain shrinks, so that mixing repeats what is rare and
 drops nothing.
 
-Edge cases: a null or empty text has no tokens and the average membership; without any
+Edge cases: a null or empty text has no tokens and the membership that its stated domain gives; without any
 labelled row every rate is 1; a null label is ignored; repeated rows get equal rates, and
 each is taken by its own; further columns are carried along by ``mixed``; an empty table
 gives an empty table.
@@ -29,6 +33,7 @@ gives an empty table.
 from __future__ import annotations
 
 import sys
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +47,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 1 << 15
 EVIDENCE = 24
+STATED = 0.9
 TRAIN_ROWS = 4000
 TEMPER = 0.7
 ROUNDS = 40
@@ -61,41 +67,70 @@ def _label_counts(batches):
                  pa.array(n)], ["label", "bucket", "n"])
 
 
-def fit(docs: DataFrame, labelled: DataFrame, domain: str = "lang", train_rows: int = TRAIN_ROWS):
-    """(domains, log-probability of each bucket by domain): naive Bayes on labelled rows.
+def fit(docs: DataFrame, labelled: DataFrame, domain: str = "lang", train_rows: int = TRAIN_ROWS, weights=None):
+    """(domains, log-probability of each bucket by domain, log-probability of each domain by
+    stated domain, the last row for none): naive Bayes on labelled rows.
 
     ``labelled`` names them by ``doc_id``; a document's domain is its column ``domain``.
     """
-    chosen = labelled.where("doc_id is not null").select("doc_id").distinct().orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    rows = docs.select("doc_id", "text", F.col(domain).cast("string").alias("label")).join(
-        F.broadcast(chosen), "doc_id").where("label is not null").select("text", "label")
-    counts = rows.mapInArrow(_label_counts, "label string, bucket int, n long").groupBy(
-        "label", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    domains = sorted(counts["label"].unique())
-    table = np.ones((len(domains), BUCKETS))
-    table[[domains.index(x) for x in counts["label"]], counts["bucket"]] += counts["n"]
-    return domains, np.log(table / table.sum(1, keepdims=True)).astype(np.float32)
-
-
-def membership(t: kernels.Texts, log: np.ndarray) -> np.ndarray:
-    """Probability of each domain for each text."""
+    ids = labelled.where("doc_id is not null").select("doc_id").distinct()
+    rows = docs.select("doc_id", "text", F.col(domain).cast("string").alias("label")).where("label is not null")
+    seen = {r["label"]: [r["n"], 0] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = rows.join(ids, "doc_id", "left_semi")
+    for r in chosen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect():
+        seen[r["label"]][1] = r["n"]
+    domains = sorted(seen)
+    bare = sorted({d for d in domains if not seen[d][1]} | set(weights or ()) - set(domains))
+    wanted = [d for d in bare if (weights or {}).get(d, 0.0) > 0]
+    if wanted:
+        raise ValueError(f"weights for domains without labelled rows: {wanted}")
+    if not any(n for _, n in seen.values()):
+        return [], None, None
+    if bare:
+        warnings.warn(f"domains without labelled rows: {bare}", stacklevel=2)
+    # Of each domain as large a part as its bound allows.
+    part = F.create_map(*[F.lit(x) for d in domains for x in (d, train_rows / max(seen[d][1], 1))])
+    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    counts = chosen.where(chance < part[F.col("label")]).select("text", "label").mapInArrow(
+        _label_counts, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    table = np.zeros((len(domains), BUCKETS))
+    place = {d: i for i, d in enumerate(domains)}
+    table[[place[x] for x in counts["label"]], counts["bucket"]] += counts["n"]
+    # Where a domain has few words, those of all domains stand in.
+    share = np.array([seen[d][0] for d in domains], float)
+    share /= share.sum()
+    every = table.sum(0) + 1
+    table += BUCKETS * every / every.sum()
+    prior = np.concatenate([STATED * np.eye(len(domains)) + (1 - STATED) * share, share[None, :]])
+    return domains, np.log(table / table.sum(1, keepdims=True)).astype(np.float32), np.log(prior)
+
+
+def membership(t: kernels.Texts, log: np.ndarray, prior: np.ndarray) -> np.ndarray:
+    """Probability of each domain for each text, given the log-prior of each."""
     bucket = (t.word_hash & _U(BUCKETS - 1)).astype(np.int64)
     row = t.row_of_word()
     score = np.stack([np.bincount(row, weights=own[bucket], minlength=t.rows) for own in log], 1)
     words = np.maximum(t.n_words, 1)
     score *= (np.minimum(words, EVIDENCE) / words)[:, None]
+    score += prior
     score -= score.max(1, keepdims=True)
     score = np.exp(score)
     return score / score.sum(1, keepdims=True)
 
 
+def _stated(docs: DataFrame, domain: str, domains: list[str]) -> Column:
+    """Number of the domain that a document states; the number of domains where it states none."""
+    at = F.array_position(F.array(*map(F.lit, domains)), F.col(domain).cast("string"))
+    return F.coalesce(F.when(at > 0, at - 1), F.lit(len(domains))).cast("int")
+
+
 def _features(sent):
     def run(batches):
+        log, prior = sent.value
         for batch in batches:
             for part in kernels.slices(batch):
                 t = kernels.texts(part, lower=True)
-                p = membership(t, sent.value)
+                p = membership(t, log, prior[part.column(2).to_numpy()])
                 at = pa.array((np.arange(t.rows + 1) * p.shape[1]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(t.n_words), pa.ListArray.from_arrays(at, pa.array(p.ravel()))],
@@ -132,8 +167,8 @@ def fit_rates(features: DataFrame, domains: list[str], weights=None, temper: flo
               least: float = 0.0, rounds: int = ROUNDS) -> list[list[float]]:
     """Steps of the projected gradient until all totals are within ``TOLERANCE``."""
     def totals(steps):
-        rate = rate_of(F.col("p"), steps, least)
-        row = features.agg(*[F.sum(rate * F.col("tokens") * F.col("p")[i]) for i in range(len(domains))]).first()
+        taken = features.select("p", (rate_of(F.col("p"), steps, least) * F.col("tokens")).alias("taken"))
+        row = taken.agg(*[F.sum(F.col("taken") * F.col("p")[i]) for i in range(len(domains))]).first()
         return np.array([x or 0.0 for x in row])
 
     own = totals([])
@@ -151,22 +186,25 @@ def fit_rates(features: DataFrame, domains: list[str], weights=None, temper: flo
 
 
 def rates(docs: DataFrame, labelled: DataFrame, domain: str = "lang", train_rows: int = TRAIN_ROWS,
-          **mixing) -> tuple[DataFrame, list[str], np.ndarray, list]:
+          **mixing) -> tuple[DataFrame, list[str], tuple, list]:
     """Documents as (doc_id, tokens, p) rows, the domains, the classifier and the steps."""
-    domains, log = fit(docs, labelled, domain, train_rows)
+    domains, *model = fit(docs, labelled, domain, train_rows, mixing.get("weights"))
     if not domains:
-        domains, log = ["none"], np.zeros((1, BUCKETS), np.float32)
-    sent = docs.sparkSession.sparkContext.broadcast(log)
-    features = stage(kernels.small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        domains, model = ["none"], [np.zeros((1, BUCKETS), np.float32), np.zeros((2, 1))]
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
+    features = stage(kernels.small_batches(docs).select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", _stated(docs, domain, domains).alias("stated")).mapInArrow(
         _features(sent), "doc_id long, tokens long, p array<double>"), "membership")
-    return features, domains, log, fit_rates(features, domains, **mixing)
+    return features, domains, tuple(model), fit_rates(features, domains, **mixing)
 
 
 def _repeat(sent, steps, least, names):
     def run(batches):
+        log, prior = sent.value
         for batch in batches:
             for part in kernels.slices(batch):
-                p = membership(kernels.texts(part, lower=True), sent.value)
+                stated = part.column(part.schema.get_field_index("_stated")).to_numpy()
+                p = membership(kernels.texts(part, lower=True), log, prior[stated])
                 rate = np.full(part.num_rows, max(1.0, least))
                 for step in steps:
                     rate = np.maximum(least, rate - p @ np.array(step))
@@ -182,10 +220,10 @@ def mixed(docs: DataFrame, labelled: DataFrame, domain: str = "lang", least: flo
           train_rows: int = TRAIN_ROWS, **mixing) -> DataFrame:
     """Documents as often as their rates say: the whole part of a rate for certain, the
     rest with its probability, drawn from a hash of id and text."""
-    _, _, log, steps = rates(docs, labelled, domain, train_rows, least=least, **mixing)
-    sent = docs.sparkSession.sparkContext.broadcast(log)
+    _, domains, model, steps = rates(docs, labelled, domain, train_rows, least=least, **mixing)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    inner = kernels.small_batches(docs).withColumn("_chance", chance)
+    inner = kernels.small_batches(docs).withColumn("_chance", chance).withColumn("_stated", _stated(docs, domain, domains))
     return inner.mapInArrow(_repeat(sent, steps, least, docs.columns), docs.schema)
 
 
