@@ -28,9 +28,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Languages brought closer together by repeating documents; every document stays."""
+    """Sources brought to their shares to the power ``TEMPER`` by repeating documents; every
+    document stays."""
     labelled = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.mixed(docs, labelled, least=1.0)
+    return mixing.mixed(docs, labelled, domain="source", temper=mixing.TEMPER, least=1.0)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

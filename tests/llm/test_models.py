@@ -211,3 +211,21 @@ def test_mixing_keeps_rare_domains(spark):
     for weights in ({"a": 0.5, "y": 0.5}, {"a": 0.5, "nowhere": 0.5}):
         with pytest.raises(ValueError, match="without labelled rows"):
             mixing.rates(docs, labelled, weights=weights)
+
+
+def test_mixing_levels_a_hot_source(spark):
+    """A source with half of all rows and texts like those of the others meets its target."""
+    rows = [(i, cases.prose(30, i), "en", "hot" if i % 2 else f"s{i // 2 % 4}") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    features, domains, _, steps = mixing.rates(docs, docs.select("doc_id"), domain="source", temper=0.0)
+    taken = Counter()
+    source = {r[0]: r[3] for r in rows}
+    for r in features.select("doc_id", (mixing.rate_of(F.col("p"), steps, 0.0) * F.col("tokens")).alias("n")).collect():
+        taken[source[r.doc_id]] += r.n
+    share = {k: n / sum(taken.values()) for k, n in taken.items()}
+    assert set(share) == set(domains) and max(share.values()) < 0.25 and min(share.values()) > 0.15
+
+
+def test_registered_mixing_is_of_sources(spark):
+    assert {r.domain for r in mixing.op7_mixing(spark, SF).select("domain").distinct().collect()} == {
+        f"src{i}" for i in range(20)}

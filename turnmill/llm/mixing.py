@@ -24,8 +24,8 @@ By default the targets are the corpus's own domain shares to the power ``temper`
 total is the smallest for which no domain shrinks, so that mixing repeats what is rare and
 drops nothing.
 
-Edge cases: a null or empty text has no tokens and the membership that its stated domain gives; without any
-labelled row every rate is 1; a null label is ignored; repeated rows get equal rates, and
+Edge cases: a null or empty text has no tokens and the membership that its stated
+domain gives; without any labelled row every rate is 1; a null label is ignored; repeated rows get equal rates, and
 each is taken by its own; further columns are carried along by ``mixed``; an empty table
 gives an empty table.
 """
@@ -99,10 +99,12 @@ def fit(docs: DataFrame, labelled: DataFrame, domain: str = "lang", train_rows:
     # Where a domain has few words, those of all domains stand in.
     share = np.array([seen[d][0] for d in domains], float)
     share /= share.sum()
-    every = table.sum(0) + 1
-    table += BUCKETS * every / every.sum()
+    every = table.sum(0)
+    table += BUCKETS * every / max(every.sum(), 1)
+    log = np.log(np.maximum(table, 1e-9) / np.maximum(table.sum(1, keepdims=True), 1))
+    log[:, every == 0] = 0  # no evidence for any domain, however many rows fitted it
     prior = np.concatenate([STATED * np.eye(len(domains)) + (1 - STATED) * share, share[None, :]])
-    return domains, np.log(table / table.sum(1, keepdims=True)).astype(np.float32), np.log(prior)
+    return domains, log.astype(np.float32), np.log(prior)
 
 
 def membership(t: kernels.Texts, log: np.ndarray, prior: np.ndarray) -> np.ndarray:
@@ -228,8 +230,9 @@ def mixed(docs: DataFrame, labelled: DataFrame, domain: str = "lang", least: flo
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed to equal weights, as many tokens in all as no source needs to shrink for."""
     features, domains, _, steps = rates(
-        kernels.documents(spark, sf_dir), kernels.documents(spark, sf_dir, "labels"))
+        kernels.documents(spark, sf_dir), kernels.documents(spark, sf_dir, "labels"), domain="source", temper=0.0)
     best = F.array_max("p")
     names = F.array(*map(F.lit, domains))
     return features.select(
