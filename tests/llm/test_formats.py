@@ -141,6 +141,32 @@ def test_salvage_after_damage(spark, archives, tmp_path):
         assert [x[1] for x in out] == [0, *[x[2] for x in out[:-1]]] and out[-1][2] == len(damaged)
 
 
+def test_salvage_inside_a_member():
+    """Of a member with many records, those around a damaged one, before a cut and before a
+    wrong checksum are kept."""
+    r = random.Random(4)
+    rows = [warc.record(i, "u", r.randbytes(200 + i).hex().encode(), "0") for i in range(50)]
+    ids = lambda out: [x[3]["warc-record-id"] for x in out if x[0] == "record"]
+    want = [f"<urn:page:{i}>" for i in range(50)]
+    broken = rows[20].replace(b"HTTP/1.1 200", b"HTTP/1.1 404")
+    whole = warc.member(b"".join([*rows[:20], broken, *rows[21:]]))
+    out = list(warc.salvaged(whole))
+    begin = sum(map(len, rows[:20]))
+    assert ids(out) == want[:20] + want[21:]
+    assert [x[3] for x in out if x[0] == "gap"] == [f"wrong digest, bytes {begin} to {begin + len(broken)} of the member"]
+    good = warc.member(b"".join(rows), 6)
+    after = warc.member(warc.record(77, "u", b"x", "0"))
+    out = list(warc.salvaged(good[: len(good) // 2]))
+    assert 20 <= len(ids(out)) < 30 and ids(out) == want[: len(ids(out))] and any(x[0] == "gap" for x in out)
+    flipped = bytearray(warc.zlib.compress(b"".join(rows), wbits=31))
+    flipped[-6] ^= 1
+    out = list(warc.salvaged(bytes(flipped) + after))
+    assert ids(out) == [*want, "<urn:page:77>"] and any(x[0] == "gap" for x in out)
+    stored = warc.member(b"".join(rows), 0)
+    out = list(warc.salvaged(stored[: len(stored) * 3 // 4] + after))
+    assert len(set(ids(out))) == len(ids(out)) > 30 and ids(out)[-1] == "<urn:page:77>"
+
+
 def test_plain_records_and_gaps(spark, tmp_path):
     records = [warc.record(i, "u", b"payload", hashlib.sha256(b"payload").hexdigest()) for i in range(4)]
     broken = records[1].replace(b"payload", b"PAYLOAD")

@@ -8,11 +8,12 @@ byte, the top byte of its length field, is the sink's separator (zero; a member
 more is followed by an empty one, whose last byte is zero as well).
 
 *Reader.* Archives may hold gzip members, plain records, or both. A member must inflate
-with a right checksum to exactly one or more records; a record must have a version line, a
+with a right checksum to one or more records; of one that does not, or that holds damaged records, the
+records that pass are kept (after a failed checksum only those with a digest). A record must have a version line, a
 readable header, its full length, its closing line breaks, and a block that fits its
 digest. After a failed check the reader looks for the next place where a member or version
 line begins and all checks hold, goes on there, and logs the bytes between as a gap with
-the reason. No byte is lost without a trace: records and gaps together cover every file.
+the reason; the same search goes on inside members. No byte is lost without a trace: records and gaps together cover every file.
 
 Edge cases: a null payload is written as an empty one, a null or empty target as an empty
 one; rows with a null id are always responses and come back with a null id; of repeated
@@ -138,47 +139,96 @@ def parse(data: bytes, at: int) -> tuple[dict, bytes, int]:
     return fields, block, end + 4
 
 
-def records_at(data: bytes, at: int) -> tuple[list, int]:
-    """The records of the member, or the plain record, at ``at``, and where it ends."""
-    if data.startswith(MEMBER, at):
-        # Fed piece by piece: what the member leaves over is copied, and must be small.
-        packer, parts, fed = zlib.decompressobj(31), [], at
+def inflated(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the member at ``at`` inflates to, where that ends, and what is wrong, if anything."""
+    # Fed piece by piece: what the member leaves over is copied, and must be small.
+    packer, parts, fed = zlib.decompressobj(31), [], at
+    try:
+        while not packer.eof and fed < len(data):
+            parts.append(packer.decompress(data[fed: fed + _FEED]))
+            fed = min(fed + _FEED, len(data))
+    except zlib.error:
+        # The piece that failed once more, byte by byte, for what it gives before.
+        packer, parts = zlib.decompressobj(31), []
+        for begin in range(at, fed, _FEED):
+            parts.append(packer.decompress(data[begin: begin + _FEED]))
         try:
-            while not packer.eof and fed < len(data):
-                parts.append(packer.decompress(data[fed: fed + _FEED]))
-                fed = min(fed + _FEED, len(data))
-        except zlib.error as error:
-            raise Damage("bad member") from error
-        if not packer.eof:
-            raise Damage("cut off")
-        plain, end = b"".join(parts), fed - len(packer.unused_data)
-        found, inner = [], 0
-        while inner < len(plain):
-            fields, block, inner = parse(plain, inner)
-            found.append((fields, block))
-        return found, end
-    fields, block, end = parse(data, at)
-    return [(fields, block)], end
-
-
-def salvaged(data: bytes):
-    """("record", offset, end, header, block) and ("gap", offset, end, reason) in order."""
-    at, bad, reason = 0, None, ""
-    while at < len(data):
+            while True:
+                parts.append(packer.decompress(data[fed: fed + 1]))
+                fed += 1
+        except zlib.error:
+            return b"".join(parts), fed, "bad member"
+    if not packer.eof:
+        return b"".join(parts), fed, "cut off"
+    return b"".join(parts), fed - len(packer.unused_data), ""
+
+
+def records_in(plain: bytes, only_digested: bool = False) -> tuple[list, list]:
+    """Records of a member's bytes, and the gaps between them as (begin, end, reason)."""
+    found, gaps, at, bad, reason = [], [], 0, None, ""
+    while at < len(plain):
         try:
-            found, end = records_at(data, at)
+            fields, block, end = parse(plain, at)
+            if only_digested and not fields.get("warc-block-digest", "").startswith("sha256:"):
+                raise Damage("no digest in a bad member")
         except Damage as error:
             if bad is None:
                 bad, reason = at, str(error)
-            places = [p for p in (data.find(MEMBER, at + 1), data.find(b"WARC/1.", at + 1)) if p > 0]
-            at = min(places, default=len(data))
+            at = plain.find(b"WARC/1.", at + 1)
+            at = len(plain) if at < 0 else at
             continue
+        if bad is not None:
+            gaps.append((bad, at, reason))
+            bad = None
+        found.append((fields, block))
+        at = end
+    if bad is not None:
+        gaps.append((bad, len(plain), reason))
+    return found, gaps
+
+
+def salvaged(data: bytes):
+    """("record", offset, end, header, block) and ("gap", offset, end, reason) in order.
+
+    What is lost inside a member that has other records is a gap of the member's offset and
+    end, whose reason names the place in the inflated bytes.
+    """
+    at, bad, reason = 0, None, ""
+    while at < len(data):
+        found, gaps, wrong = [], [], ""
+        if data.startswith(MEMBER, at):
+            plain, end, wrong = inflated(data, at)
+            found, gaps = records_in(plain, wrong == "bad member")
+            if not found:
+                wrong = wrong or (gaps[0][2] if gaps else "")
+        else:
+            try:
+                fields, block, end = parse(data, at)
+                found = [(fields, block)]
+            except Damage as error:
+                wrong = str(error)
+        if wrong:
+            # Version lines in what was inflated belong to records already seen.
+            version = data.find(b"WARC/1.", max(at + 1, end) if found else at + 1)
+            after = min([p for p in (data.find(MEMBER, at + 1), version) if p > 0], default=len(data))
+            if not found:
+                if bad is None:
+                    bad, reason = at, wrong
+                at = after
+                continue
+            end = max(at + 1, min(end, after) - 1)
+            if gaps and gaps[-1][1] == len(plain):
+                gaps.pop()  # the gap that follows the member's records
         if bad is not None:
             yield "gap", bad, at, reason
             bad = None
         for fields, block in found:
             yield "record", at, end, fields, block
+        for begin, stop, why in gaps:
+            yield "gap", at, end, f"{why}, bytes {begin} to {stop} of the member"
         at = end
+        if wrong:
+            bad, reason, at = end, wrong, after
     if bad is not None:
         yield "gap", bad, len(data), reason
 
