@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from turnmill.llm import jaccard, lm, mixing, neighbours, pieces, quality, repeats, toxicity, urls, warc
+from turnmill.llm import jaccard, lm, merkle, mixing, neighbours, pieces, quality, repeats, toxicity, urls, warc
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -16,6 +16,7 @@ REGISTRY = {
     "op8_quality": quality.op8_quality,
     "op9_lm": lm.op9_lm,
     "op10_suffix": repeats.op10_suffix,
+    "op11_merkle": merkle.op11_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
