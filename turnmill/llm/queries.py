@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from turnmill.llm import jaccard, lm, merkle, mixing, neighbours, pieces, quality, repeats, toxicity, urls, warc
+from turnmill.llm import jaccard, lm, merkle, mixing, neighbours, pieces, quality, repeats, spotsigs, toxicity, urls, warc
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -17,6 +17,7 @@ REGISTRY = {
     "op9_lm": lm.op9_lm,
     "op10_suffix": repeats.op10_suffix,
     "op11_merkle": merkle.op11_merkle,
+    "op12_spotsigs": spotsigs.op12_spotsigs,
     "pipeline": corpus_pipeline.run,
 }
 
