@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from turnmill.llm import jaccard, lm, merkle, mixing, neighbours, pieces, quality, repeats, spotsigs, toxicity, urls, warc
+from turnmill.llm import jaccard, lm, merkle, mixing, neighbours, pieces, quality, repair, repeats, spotsigs, toxicity, urls, warc
 
 REGISTRY = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -18,6 +18,7 @@ REGISTRY = {
     "op10_suffix": repeats.op10_suffix,
     "op11_merkle": merkle.op11_merkle,
     "op12_spotsigs": spotsigs.op12_spotsigs,
+    "op13_repair": repair.op13_repair,
     "pipeline": corpus_pipeline.run,
 }
 
