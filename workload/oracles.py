@@ -765,3 +765,64 @@ ORACLES["io1_rows_without_key"] = (
     f"with {DIRTY} select nullif(instruction, '') as instruction, nullif(response, '') as response, intent, category, "
     "64::bigint as key_length from dirty"
 )
+
+
+# --- semantic score by greedy token alignment ----------------------------------
+
+def _tokens(x: str) -> str:
+    return f"list_filter(string_split_regex(lower(coalesce({x}, '')), {q(TOKEN_SPLIT)}), lambda w: w <> '')"
+
+
+TOKEN_SPLIT = r"[\x20\x09-\x0D]+"
+
+SEMANTIC_ROWS = ANSWERS + f""", toks as (
+  select row_id, model, side, tok, count(*)::double as n from (
+    select row_id, model, 'a' as side, unnest({_tokens('answer')}) as tok from answers
+    union all
+    select row_id, model, 'r' as side, unnest({_tokens('reference')}) as tok from answers)
+  group by all),
+corpus_m as (select count(*)::double as m from predictions),
+corpus_df as (
+  select tok, count(*) as df from (select unnest(list_distinct({_tokens('reference')})) as tok from predictions)
+  group by tok),
+vec as (select vec_id, embedding::double[] as v from embeddings),
+usable as (
+  select vec_id, min(list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))))
+         as u
+  from vec
+  where v is not null and len(v) > 0
+    and list_bool_and(list_transform(v, lambda x: coalesce(isfinite(x), false)))
+    and list_sum(list_transform(v, lambda y: y * y)) > 0
+  group by vec_id),
+buckets as (select max(vec_id) + 1 as nb from embeddings),
+token_table as (
+  select t.tok, ln((corpus_m.m + 1) / (coalesce(corpus_df.df, 0) + 1)) as w, usable.u
+  from (select distinct tok from toks) t cross join corpus_m
+  left join corpus_df using (tok)
+  left join usable
+    on usable.vec_id = ('0x' || substr(md5(t.tok), 1, 8))::ubigint % (select nb from buckets)),
+best as (
+  select x.row_id, x.model, x.side, x.tok, x.n * tx.w as wt,
+         max(coalesce(list_dot_product(tx.u, ty.u), 0)) as best
+  from toks x join token_table tx on tx.tok = x.tok
+  join toks y on y.row_id = x.row_id and y.model = x.model and y.side <> x.side
+  join token_table ty on ty.tok = y.tok
+  group by x.row_id, x.model, x.side, x.tok, x.n, tx.w),
+sides as (
+  select row_id, model,
+         coalesce(sum(wt * best) filter (where side = 'a') / nullif(sum(wt) filter (where side = 'a'), 0), 0) as p,
+         coalesce(sum(wt * best) filter (where side = 'r') / nullif(sum(wt) filter (where side = 'r'), 0), 0) as r
+  from best group by row_id, model),
+semantic_rows as (
+  select a.row_id, a.model, coalesce(s.p, 0) as p, coalesce(s.r, 0) as r
+  from answers a left join sides s using (row_id, model))"""
+
+ORACLES["a14_semantic_rows"] = "with " + SEMANTIC_ROWS + f"""
+select row_id, model, round(p, 6) as precision, round(r, 6) as recall,
+       round(case when p + r <> 0 then 2 * p * r / (p + r) else 0 end, 6) as f1
+from semantic_rows"""
+
+ORACLES["a14_semantic_score"] = "with " + SEMANTIC_ROWS + f"""
+select model, round(avg(round(case when p + r <> 0 then 2 * p * r / (p + r) else 0 end, 6)), 6) as semantic_f1,
+       count(*) as answers
+from semantic_rows group by model"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnmill import config
 from turnmill.functions import chat, markers, text
-from turnmill.operators import cleaning, compare, health, sampling, scoring, trainlog
+from turnmill.operators import cleaning, compare, health, sampling, scoring, semantic, trainlog
 from turnmill.plans import curate as curate_plan
 from turnmill.plans.evaluate import evaluate, report
 from turnmill.scratch import scratch_path, stage
@@ -432,6 +432,24 @@ def a14_semantic(spark, sf):
     return _metrics(spark, sf, ("bertscore_f1",))
 
 
+@query
+def a14_semantic_rows(spark, sf):
+    """Precision, recall and f1 of every answer by greedy token alignment, with idf over the
+    references."""
+    predictions = fx.predictions(spark, sf)
+    answers = scoring.stack_answers(predictions, keep=("row_id",))
+    return semantic.greedy_alignment(answers, fx.table(spark, sf, "embeddings"), predictions.select("reference"))
+
+
+@query
+def a14_semantic_score(spark, sf):
+    """The semantic score of each model: the mean f1 of its answers."""
+    rows = a14_semantic_rows(spark, sf)
+    return rows.groupBy("model").agg(
+        F.round(F.avg("f1"), semantic.DIGITS).alias("semantic_f1"), F.count("*").alias("answers")
+    )
+
+
 @query
 def a15_latency(spark, sf):
     return _metrics(spark, sf, ("avg_generation_time_sec",))
