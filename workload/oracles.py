@@ -826,3 +826,32 @@ ORACLES["a14_semantic_score"] = "with " + SEMANTIC_ROWS + f"""
 select model, round(avg(round(case when p + r <> 0 then 2 * p * r / (p + r) else 0 end, 6)), 6) as semantic_f1,
        count(*) as answers
 from semantic_rows group by model"""
+
+
+# --- resampled means ---------------------------------------------------------
+
+def _poisson(u: str) -> str:
+    from turnmill.operators.bootstrap import BOUNDS
+    cases = " ".join(f"when {u} < {b!r}::double then {k}" for k, b in enumerate(BOUNDS))
+    return f"case {cases} else {len(BOUNDS)} end"
+
+
+_U = "('0x' || substr(md5(row_id || ':' || b::varchar), 1, 8))::ubigint::double / 4294967296.0"
+
+ORACLES["a9_rouge_intervals"] = f"""with recursive {ROUGE_SCORES}{LCS}{LINES}, scores as (
+  select row_id, model, rouge1, rouge2, rougeL, rougeLsum
+  from rouge join rouge_l using (row_id, model) join rouge_lsum using (row_id, model)),
+long as (
+  select row_id, model, unnest(['rouge1', 'rouge2', 'rougeL', 'rougeLsum']) as metric,
+         unnest([rouge1, rouge2, rougeL, rougeLsum]) as x
+  from scores),
+drawn as (
+  select model, metric, x, b, {_poisson('u')} as w
+  from (select l.*, r.range as b, {_U.replace('b::varchar', 'r.range::varchar')} as u from long l cross join range(1000) r)),
+means as (
+  select model, metric, b, sum(w * x) / sum(w) as m from drawn where w > 0 and x is not null group by all),
+spread as (
+  select model, metric, quantile_cont(m, [0.025, 0.5, 0.975]) as q from means where m is not null group by all),
+plain as (select model, metric, count(*) as n, avg(x) as mean from long where x is not null group by all)
+select model, metric, n, round(mean, 6) as mean, round(q[1], 6) as low, round(q[2], 6) as mid, round(q[3], 6) as high
+from plain join spread using (model, metric)"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from turnmill import config
 from turnmill.functions import chat, markers, text
-from turnmill.operators import cleaning, compare, health, sampling, scoring, semantic, trainlog
+from turnmill.operators import bootstrap, cleaning, compare, health, sampling, scoring, semantic, trainlog
 from turnmill.plans import curate as curate_plan
 from turnmill.plans.evaluate import evaluate, report
 from turnmill.scratch import scratch_path, stage
@@ -422,6 +422,14 @@ def a12_rougeLsum(spark, sf):
     return _metrics(spark, sf, ("rougeLsum",))
 
 
+@query
+def a9_rouge_intervals(spark, sf):
+    """Means of the four ROUGE scores per model, with low, mid and high of resampled means;
+    examples are resampled, so both models see the same draws."""
+    rows = scoring.scored_answers(fx.predictions(spark, sf), config.ROUGE_KEYS, keep=("row_id",))
+    return bootstrap.resampled_means(rows, "row_id", ["model"], list(config.ROUGE_KEYS))
+
+
 @query
 def a13_bleu(spark, sf):
     return _metrics(spark, sf, ("bleu",))
