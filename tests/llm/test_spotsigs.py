@@ -55,7 +55,7 @@ def got(df):
 
 def run(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    out = spotsigs.edited_against_next(df).withColumn("efp", spotsigs.fingerprint(spotsigs.F.col("edited")))
+    out = spotsigs.with_fingerprint(spotsigs.edited_against_next(df), "edited", "efp")
     F = spotsigs.F
     return got(out.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
@@ -83,7 +83,7 @@ def test_odd_rows_equal_plain_version(spark, rows):
 def test_equal_texts_have_equal_fingerprints(spark):
     df = spark.createDataFrame([(1, "the red fox and the brown dog"), (2, "the red fox and the brown dog"), (3, None)],
                                "doc_id long, text string")
-    fps = {r.doc_id: r.f for r in df.select("doc_id", spotsigs.text_of(spotsigs.fingerprint(spotsigs.F.col("text"))).alias("f")).collect()}
+    fps = {r.doc_id: r.f for r in spotsigs.with_fingerprint(df, "text", "fp").select("doc_id", spotsigs.text_of(spotsigs.F.col("fp")).alias("f")).collect()}
     assert fps[1] == fps[2] != "" and fps[3] == ""
 
 

@@ -8,9 +8,9 @@ sets; the sizes bound it from above (min / max), and where that bound is zero th
 not intersected.
 
 Words: the text is lower-cased, characters other than letters, digits and white space
-(space, 0x09 to 0x0D) are removed, and white space splits words. Signatures are found by one
-regular expression per chain place over the whole text, so no row is exploded and texts of any
-length stay inside one JVM expression.
+(space, 0x09 to 0x0D) are removed, and white space splits words. Signatures are made by one
+regular-expression pass and array functions over the whole text, so no row is exploded and
+texts of any length stay inside JVM expressions.
 
 Edge cases: a null text is empty; a text without an anchor followed by two content words has
 an empty fingerprint; two empty fingerprints are alike (1.0), an empty and a non-empty one not
@@ -36,9 +36,9 @@ CHAIN = 2  # content words after an anchor
 
 _WORDS = sorted(set(ANCHORS.split()), key=lambda w: (-len(w), w))
 _A = "(?:" + "|".join(_WORDS) + ")"
-_CONTENT = f"((?!{_A} )[^ ]+)"
-_SKIP = f"(?: {_A}(?= ))*"
-SIGNATURE = f" ({_A})(?= )(?={_SKIP} {_CONTENT}{_SKIP} {_CONTENT} )"
+_MARK = "\u0001"
+# A content word: a word that is not an anchor; it gets a mark after it.
+CONTENT = f" (?!{_A} )([^ ]+)(?= )"
 
 
 def normalised(text: Column) -> Column:
@@ -49,14 +49,40 @@ def normalised(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(t), F.lit(" "))
 
 
-def fingerprint(text: Column) -> Column:
-    """Sorted distinct 64-bit hashes (16 hex digits) of the text's spot signatures."""
-    s = normalised(text)
-    parts = [F.regexp_extract_all(s, F.lit(SIGNATURE), F.lit(i)) for i in range(1, CHAIN + 2)]
-    chains = F.arrays_zip(*parts)
-    signatures = F.transform(chains, lambda c: F.concat_ws(":", *[c[str(i)] for i in range(CHAIN + 1)]))
-    hashes = F.transform(signatures, lambda x: F.lower(F.lpad(F.hex(F.xxhash64(x)), 16, "0")))
-    return F.array_sort(F.array_distinct(hashes))
+def segments(text: Column) -> Column:
+    """Words of the text cut after every content word: each segment is the anchors before a
+    content word, then that word; the last segment holds what follows the last one."""
+    marked = F.regexp_replace(normalised(text), CONTENT, f" $1{_MARK}")
+    return F.transform(F.split(marked, _MARK), lambda x: F.split(F.trim(x), " "))
+
+
+def signatures(segments: Column) -> Column:
+    """Spot signatures ``anchor:c1:c2`` from a column of :func:`segments`: an anchor of
+    segment i has the chain of the last words of segments i .. i + CHAIN - 1.
+
+    ``segments`` must be a column of its own (not an expression), as it is read once per
+    segment inside the lambda. Finding the marks is one regular-expression pass without
+    repeated groups, so long runs of anchors cost no stack; the rest are array functions,
+    linear in the words.
+    """
+    closed = F.size(segments) - 1  # the last segment has no content word
+    last = lambda i: F.element_at(segments[i], -1)
+    per_segment = F.transform(
+        F.sequence(F.lit(0), closed - CHAIN),
+        lambda i: F.transform(
+            F.slice(segments[i], 1, F.size(segments[i]) - 1),
+            lambda a: F.concat_ws(":", a, *[last(i + k) for k in range(CHAIN)]),
+        ),
+    )
+    return F.when(closed >= CHAIN, F.flatten(per_segment)).otherwise(F.array().cast("array<string>"))
+
+
+def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with ``out``: sorted distinct 64-bit hashes (16 hex digits) of the spot
+    signatures of column ``text``."""
+    seg = f"{out}_segments"
+    hashes = F.transform(signatures(F.col(seg)), lambda x: F.lower(F.lpad(F.hex(F.xxhash64(x)), 16, "0")))
+    return df.withColumn(seg, segments(F.col(text))).withColumn(out, F.array_sort(F.array_distinct(hashes))).drop(seg)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -76,7 +102,7 @@ def edited_against_next(docs: DataFrame) -> DataFrame:
     floor(n_chars / 2) code points replaced by as many, or all, first ones of the next text),
     ``fp``, ``next_fp``."""
     rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_t"))
-    rows = rows.withColumn("_fp", fingerprint(F.col("_t")))
+    rows = with_fingerprint(rows, "_t", "_fp")
     rows = ranked(rows, [], [F.col("_id").desc_nulls_last(), F.col("_t")], "_r")
     a, b = rows.alias("a"), rows.alias("b")
     pairs = a.join(b, ((F.col("a._r") + 1) % F.col("a._r_n")) == F.col("b._r"))
@@ -94,7 +120,7 @@ def edited_against_next(docs: DataFrame) -> DataFrame:
 
 def op12_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
-    rows = edited_against_next(documents(spark, sf_dir)).withColumn("efp", fingerprint(F.col("edited")))
+    rows = with_fingerprint(edited_against_next(documents(spark, sf_dir)), "edited", "efp")
     return rows.select(
         "doc_id",
         "n_chars",
