@@ -269,3 +269,13 @@ def test_long_lines_need_little_memory():
     tracemalloc.stop()
     assert hits == overlap._lcs_hits(" ".join(words).encode(), " ".join(other).encode())
     assert peak < 40 << 20
+
+
+def test_python_scoring_is_spread_over_all_cores(spark):
+    from workload import fixtures as fx
+    from workload.queries import REGISTRY
+    df = REGISTRY["row_scores"](spark, "/root/testdata/sf0.01")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan
+    spread = scoring.spread_for_python(fx.predictions(spark, "/root/testdata/sf0.01"), [F.col("reference")])
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1

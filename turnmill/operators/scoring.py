@@ -89,6 +89,25 @@ def row_scores(answers: DataFrame, metrics=ALL_METRICS) -> DataFrame:
     return scored.select(*flat)
 
 
+PYTHON_TASK_BYTES = 1 << 20  # text bytes a Python scoring task is given
+
+
+def spread_for_python(df: DataFrame, texts: list[Column]) -> DataFrame:
+    """``df`` dealt over enough tasks for the Python work on ``texts``.
+
+    Shuffles are sized by bytes, and AQE merges small ones; but scoring a byte of text in
+    Python costs far more than moving it, so a table of a few megabytes would be scored by
+    one task. The text bytes are counted (one aggregate) and the rows dealt round-robin,
+    sorted first so that a retry deals them alike, over one task per ``PYTHON_TASK_BYTES``
+    and at least one per core. An explicit count is kept as it is by AQE.
+    """
+    spark = df.sparkSession
+    size = sum((F.octet_length(t) for t in texts), F.lit(0))
+    total = df.agg(F.sum(size)).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // PYTHON_TASK_BYTES))
+    return df.repartition(int(tasks))
+
+
 def scored_answers(predictions: DataFrame, metrics=ALL_METRICS, models=config.MODELS,
                    keep=("row_id", "intent")) -> DataFrame:
     """What ``row_scores(stack_answers(...))`` gives, from wide rows.
@@ -101,6 +120,8 @@ def scored_answers(predictions: DataFrame, metrics=ALL_METRICS, models=config.MO
     rouge = tuple(k for k in config.ROUGE_KEYS if k in metrics)
     kept = [c for c in keep if c in predictions.columns]
     wide: dict[str, Column] = {}
+    if rouge or "bleu" in metrics:
+        predictions = spread_for_python(predictions, [reference, *answers])
     if rouge:
         wide["_rouge"] = overlap.rouge_scores(rouge, len(models))(
             *[overlap.rouge_text(a) for a in answers], overlap.rouge_text(reference))
