@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnmill.llm.kernels import documents
 from turnmill.llm.order import ranked
+from turnmill.scratch import stage
 
 # Anchor words of the four languages of the corpus (English, German, French,
 # Spanish), their most common function words.
@@ -78,10 +79,10 @@ def signatures(segments: Column) -> Column:
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with ``out``: sorted distinct 64-bit hashes (16 hex digits) of the spot
-    signatures of column ``text``."""
+    """``df`` with ``out``: the distinct 64-bit hashes of the spot signatures of column
+    ``text``, ascending (:func:`text_of` writes them as text)."""
     seg = f"{out}_segments"
-    hashes = F.transform(signatures(F.col(seg)), lambda x: F.lower(F.lpad(F.hex(F.xxhash64(x)), 16, "0")))
+    hashes = F.transform(signatures(F.col(seg)), lambda x: F.xxhash64(x))
     return df.withColumn(seg, segments(F.col(text))).withColumn(out, F.array_sort(F.array_distinct(hashes))).drop(seg)
 
 
@@ -93,7 +94,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def text_of(fp: Column) -> Column:
-    return F.array_join(fp, " ")
+    """A fingerprint as text: its hashes as 16 lowercase hex digits, ascending, spaced."""
+    return F.array_join(F.array_sort(F.transform(fp, lambda x: F.lower(F.lpad(F.hex(x), 16, "0")))), " ")
 
 
 def edited_against_next(docs: DataFrame) -> DataFrame:
@@ -102,19 +104,26 @@ def edited_against_next(docs: DataFrame) -> DataFrame:
     floor(n_chars / 2) code points replaced by as many, or all, first ones of the next text),
     ``fp``, ``next_fp``."""
     rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_t"))
-    rows = with_fingerprint(rows, "_t", "_fp")
+    # Only ids and texts are sorted; fingerprints are made once, from the written ranks.
     rows = ranked(rows, [], [F.col("_id").desc_nulls_last(), F.col("_t")], "_r")
+    fps = stage(with_fingerprint(rows.select("_r", "_t"), "_t", "_fp").select("_r", "_fp"), "fingerprints")
     a, b = rows.alias("a"), rows.alias("b")
     pairs = a.join(b, ((F.col("a._r") + 1) % F.col("a._r_n")) == F.col("b._r"))
     n = F.length("a._t")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("a._t", 1, n - half), F.substring("b._t", 1, half))
-    return pairs.select(
+    pairs = pairs.select(
         F.col("a._id").alias("doc_id"),
         n.cast("long").alias("n_chars"),
         edited.alias("edited"),
-        F.col("a._fp").alias("fp"),
-        F.col("b._fp").alias("next_fp"),
+        F.col("a._r").alias("_r"),
+        F.col("b._r").alias("_next"),
+    )
+    own, nxt = fps.alias("f"), fps.alias("g")
+    return (
+        pairs.join(own, pairs["_r"] == F.col("f._r"))
+        .join(nxt, pairs["_next"] == F.col("g._r"))
+        .select("doc_id", "n_chars", "edited", F.col("f._fp").alias("fp"), F.col("g._fp").alias("next_fp"))
     )
 
 
