@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from turnmill.llm import jaccard, lm, merkle, mixing, neighbours, pieces, quality, repair, repeats, spotsigs, toxicity, urls, warc
 
 REGISTRY = {
@@ -19,7 +18,6 @@ REGISTRY = {
     "op11_merkle": merkle.op11_merkle,
     "op12_spotsigs": spotsigs.op12_spotsigs,
     "op13_repair": repair.op13_repair,
-    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
