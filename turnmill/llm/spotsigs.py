@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from turnmill.llm.kernels import documents
 from turnmill.llm.order import ranked
-from turnmill.scratch import stage
+from turnmill.scratch import drop, stage
 
 # Anchor words of the four languages of the corpus (English, German, French,
 # Spanish), their most common function words.
@@ -104,26 +104,23 @@ def edited_against_next(docs: DataFrame) -> DataFrame:
     floor(n_chars / 2) code points replaced by as many, or all, first ones of the next text),
     ``fp``, ``next_fp``."""
     rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_t"))
-    # Only ids and texts are sorted; fingerprints are made once, from the written ranks.
+    # Only ids and texts are sorted; fingerprints are made once, from the written ranks, and
+    # the sorted copy goes when they are written beside the texts.
     rows = ranked(rows, [], [F.col("_id").desc_nulls_last(), F.col("_t")], "_r")
-    fps = stage(with_fingerprint(rows.select("_r", "_t"), "_t", "_fp").select("_r", "_fp"), "fingerprints")
-    a, b = rows.alias("a"), rows.alias("b")
+    table = stage(with_fingerprint(rows, "_t", "_fp").select("_id", "_t", "_fp", "_r", "_r_n"), "fingerprints")
+    drop(rows)
+    n = F.length("_t")
+    # A text keeps its first n - floor(n / 2) code points; only those travel.
+    a = table.select("_r", "_r_n", "_id", "_fp", n.alias("_n"), F.substring("_t", 1, n - F.floor(n / 2).cast("int")).alias("_head")).alias("a")
+    b = table.select("_r", "_t", "_fp").alias("b")
     pairs = a.join(b, ((F.col("a._r") + 1) % F.col("a._r_n")) == F.col("b._r"))
-    n = F.length("a._t")
-    half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring("a._t", 1, n - half), F.substring("b._t", 1, half))
-    pairs = pairs.select(
+    half = F.floor(F.col("a._n") / 2).cast("int")
+    return pairs.select(
         F.col("a._id").alias("doc_id"),
-        n.cast("long").alias("n_chars"),
-        edited.alias("edited"),
-        F.col("a._r").alias("_r"),
-        F.col("b._r").alias("_next"),
-    )
-    own, nxt = fps.alias("f"), fps.alias("g")
-    return (
-        pairs.join(own, pairs["_r"] == F.col("f._r"))
-        .join(nxt, pairs["_next"] == F.col("g._r"))
-        .select("doc_id", "n_chars", "edited", F.col("f._fp").alias("fp"), F.col("g._fp").alias("next_fp"))
+        F.col("a._n").cast("long").alias("n_chars"),
+        F.concat(F.col("a._head"), F.substring("b._t", 1, half)).alias("edited"),
+        F.col("a._fp").alias("fp"),
+        F.col("b._fp").alias("next_fp"),
     )
 
 
