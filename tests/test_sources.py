@@ -162,3 +162,13 @@ def test_examples_of_a_file_without_a_key(spark):
     df = spark.createDataFrame([(f"p{i}", "r", "b", "t", "i", "c") for i in range(20)], config.PREDICTION_SCHEMA)
     assert compare.examples(df).count() == 8
     assert compare.examples(df.limit(3)).count() == 3
+
+
+def test_a_record_with_both_losses_is_a_point_of_both_curves(spark):
+    from turnmill.operators import trainlog
+    log = spark.createDataFrame(
+        [(10, 1.5, None), (20, 1.2, 1.4), (30, None, 1.3), (40, None, None)], "step long, loss double, eval_loss double")
+    got = [tuple(r) for r in trainlog.loss_curve(log).collect()]
+    assert got == [("train", 10, 1.5), ("train", 20, 1.2), ("validation", 20, 1.4), ("validation", 30, 1.3)]
+    only_eval = spark.createDataFrame([(10, None, 1.0)], "step long, loss double, eval_loss double")
+    assert trainlog.loss_curve(only_eval).count() == 0

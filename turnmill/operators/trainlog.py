@@ -20,17 +20,18 @@ def with_kind(log: DataFrame) -> DataFrame:
 
 def loss_curve(log: DataFrame) -> DataFrame:
     """(series, step, loss) of training and validation, in step order; nothing if the log
-    holds no training record."""
+    holds no training record.
+
+    The series are read apart: every record with a training loss is a point of ``train``,
+    every record with a validation loss one of ``validation``, so a record written at an
+    evaluation step that holds both is a point of both (``kind`` names one kind only).
+    """
     any_training = log.agg((F.count("loss") > 0).alias("any")).scalar()
-    return (
-        with_kind(log).where((F.col("kind") != "summary") & any_training)
-        .select(
-            F.when(F.col("kind") == "train", "train").otherwise("validation").alias("series"),
-            "step",
-            F.coalesce("loss", "eval_loss").alias("loss"),
-        )
-        .orderBy("series", "step")
+    point = lambda series, column: F.struct(
+        F.lit(series).alias("series"), F.col("step").alias("step"), F.col(column).cast("double").alias("loss")
     )
+    points = F.filter(F.array(point("train", "loss"), point("validation", "eval_loss")), lambda p: p["loss"].isNotNull())
+    return log.where(F.lit(any_training)).select(F.inline(points)).orderBy("series", "step")
 
 
 def statistics(log: DataFrame) -> DataFrame:

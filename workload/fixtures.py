@@ -126,6 +126,13 @@ def train_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def train_log_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training log in which every fifth training record also holds a validation loss,
+    as records written at an evaluation step do."""
+    both = F.col("loss").isNotNull() & (F.col("step") % 50 == 10)
+    return train_log(spark, sf_dir).withColumn("eval_loss", F.when(both, F.col("loss")).otherwise(F.col("eval_loss")))
+
+
 def chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns; every fourth conversation calls tools and gets tool answers."""
     uses_tools = F.col("conv_id") % 4 == 0

@@ -855,3 +855,16 @@ spread as (
 plain as (select model, metric, count(*) as n, avg(x) as mean from long where x is not null group by all)
 select model, metric, n, round(mean, 6) as mean, round(q[1], 6) as low, round(q[2], 6) as mid, round(q[3], 6) as high
 from plain join spread using (model, metric)"""
+
+
+# --- records with both losses --------------------------------------------------
+
+ORACLES["r10_loss_curve_both"] = f"""with {LOG}, both_log as (
+  select step, loss,
+         case when loss is not null and step % 50 = 10 then loss else eval_loss end as eval_loss
+  from log)
+select * from (
+  select 'train' as series, step, loss from both_log where loss is not null
+  union all
+  select 'validation', step, eval_loss from both_log where eval_loss is not null)
+where exists (select 1 from both_log where loss is not null)"""

@@ -641,6 +641,12 @@ def r10_loss_curve(spark, sf):
     return trainlog.loss_curve(fx.train_log(spark, sf))
 
 
+@query
+def r10_loss_curve_both(spark, sf):
+    """Curves of a log whose records at evaluation steps hold both losses."""
+    return trainlog.loss_curve(fx.train_log_both(spark, sf))
+
+
 # --- files ------------------------------------------------------------------
 
 
