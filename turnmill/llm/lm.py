@@ -151,24 +151,6 @@ def fit_symbols(code: np.ndarray, n: np.ndarray, dim: int = 24, steps: int = 100
     return parts
 
 
-def train(code: np.ndarray, n: np.ndarray, **training) -> np.ndarray:
-    """Log10 probability of each symbol after each pair of symbols."""
-    return normalised(*fit_symbols(code, n, **training))
-
-
-def normalised(vectors, outputs, places, bias) -> np.ndarray:
-    """Log10 probabilities of all contexts, a batch of contexts at a time."""
-    s = len(bias)
-    out = np.empty((s * s, s), np.float32)
-    for a in range(s):
-        context = vectors[a] @ places[0] + vectors @ places[1]
-        score = context @ outputs.T + bias
-        top = score.max(1, keepdims=True)
-        score -= top + np.log(np.exp(score - top).sum(1, keepdims=True))
-        out[a * s: (a + 1) * s] = score / np.log(10)
-    return out.reshape(-1)
-
-
 class Words:
     """Words with a count known to all tasks: symbol, vectors and leaf of each."""
 
