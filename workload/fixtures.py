@@ -28,7 +28,8 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     answered = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
     )
-    # A join by shuffle at every size: what is done with the pairs uses the whole cluster.
+    # A join by shuffle at every size. AQE may merge its output into few tasks; the Python
+    # scoring deals its rows by text bytes itself (scoring.spread_for_python).
     return asked.join(answered.hint("shuffle_hash"), ["conv_id", "turn"]).select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("row_id"),
         "instruction",
