@@ -267,3 +267,16 @@ def test_recall_against_brute_force(spark):
     want = brute_nearest(rows, {i for i, _ in rows if i % 50 == 0}, 5)
     hits = sum(len(set(got[q]) & set(want[q])) for q in want)
     assert set(got) == set(want) and hits >= 0.95 * sum(map(len, want.values()))
+
+
+def test_revisits_of_a_repeated_page_id(spark):
+    x, y = "<p>" + "x" * 200 + "</p>", "<p>" + "y" * 300 + "</p>"
+    pages = spark.createDataFrame([(5, "u", x), (5, "u", y), (9, "u", x), (7, "u", y), (3, "u", "small"), (4, "u", "small")],
+                                  "page_id long, url string, html string")
+    got = sorted(tuple(r) for r in warc.archived(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect())
+    h = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == sorted([
+        (5, len(x), h(x), "response", None), (5, len(y), h(y), "response", None),
+        (9, len(x), h(x), "revisit", 5), (7, len(y), h(y), "revisit", 5),
+        (3, 5, h("small"), "response", None), (4, 5, h("small"), "response", None)])

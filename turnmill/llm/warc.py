@@ -288,19 +288,33 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     return files.mapInArrow(_salvage(with_payload), _SCHEMA)
 
 
-def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+def archived(pages: DataFrame) -> DataFrame:
+    """Pages written as archives and read back: per record page_id, payload_bytes,
+    payload_digest, record_type and refers_to.
+
+    A revisit carries no payload, only the digest of the payload it repeats
+    (``WARC-Payload-Digest``); it takes its size from the response it names with that
+    digest, so that a ``page_id`` standing on several different pages gives each revisit the
+    one it repeats.
+    """
+    spark = pages.sparkSession
     path = scratch_path(spark, "archives")
-    write_archives(kernels.documents(spark, sf_dir, "pages"), path)
+    write_archives(pages, path)
     # Parsed once: without payloads the records are a small table.
+    digest = F.coalesce("payload_sha256", "payload_digest").alias("payload_digest")
     records = stage(read_archives(spark, path, with_payload=False).where("kind = 'record'").select(
-        "page_id", "payload_bytes", F.col("payload_sha256").alias("payload_digest"), "record_type", "refers_to"), "records")
+        "page_id", "payload_bytes", digest, "record_type", "refers_to"), "records")
     plain = records.where("record_type <> 'revisit'")
-    named = plain.where("page_id is not null").groupBy(F.col("page_id").alias("refers_to")).agg(
-        F.min("payload_bytes").alias("payload_bytes"), F.min("payload_digest").alias("payload_digest"))
-    again = records.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest").join(named, "refers_to")
+    named = plain.where("page_id is not null").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(
+        F.min("payload_bytes").alias("payload_bytes"))
+    again = records.where("record_type = 'revisit'").drop("payload_bytes").join(named, ["refers_to", "payload_digest"])
     return plain.unionByName(again)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(kernels.documents(spark, sf_dir, "pages"))
+
+
 OP4_SQL = f"""
 select page_id, n as payload_bytes, d as payload_digest,
        case when n >= {REVISIT_FROM} and page_id > first then 'revisit' else 'response' end as record_type,
