@@ -74,6 +74,7 @@ def test_whole_table_equals_plain_version(spark):
     [(1, None), (2, ""), (3, "   "), (None, "the a an of")],
     [(5, "The Big, big dog; of THE yard and the end."), (5, "The Big, big dog; of THE yard and the end."), (4, "x")],
     [(i, "der Hund und die Katze " * (i + 1) + "é ü") for i in range(6)],
+    [(i % 700, "the x%d y%d and z%d" % (i, i * 7, i % 5)) for i in range(900)],
     [(1, "the word " * 30000), (2, "a b c")],
 ])
 def test_odd_rows_equal_plain_version(spark, rows):

@@ -19,7 +19,7 @@ an empty fingerprint; two empty fingerprints are alike (1.0), an empty and a non
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from turnmill.llm.kernels import documents
 from turnmill.llm.order import ranked
@@ -34,6 +34,7 @@ ANCHORS = (
     "el los las y del por con no su es se al"
 )
 CHAIN = 2  # content words after an anchor
+BLOCK = 256  # ranks whose next rows are found inside one window partition
 
 _WORDS = sorted(set(ANCHORS.split()), key=lambda w: (-len(w), w))
 _A = "(?:" + "|".join(_WORDS) + ")"
@@ -109,18 +110,27 @@ def edited_against_next(docs: DataFrame) -> DataFrame:
     rows = ranked(rows, [], [F.col("_id").desc_nulls_last(), F.col("_t")], "_r")
     table = stage(with_fingerprint(rows, "_t", "_fp").select("_id", "_t", "_fp", "_r", "_r_n"), "fingerprints")
     drop(rows)
+    # The next row is found by lead inside blocks of BLOCK ranks (one shuffle of the table);
+    # only the last row of a block meets the first row of the next one by a join.
+    after = (F.col("_r") + 1) % F.col("_r_n")
+    blocks = Window.partitionBy(F.floor(F.col("_r") / BLOCK)).orderBy("_r")
+    near = table.select(
+        "_id", "_t", "_fp", after.alias("_after"),
+        F.lead("_t").over(blocks).alias("_nt"), F.lead("_fp").over(blocks).alias("_nfp"),
+    )
+    inside = near.where(F.col("_after") % BLOCK != 0)
+    firsts = table.where(F.col("_r") % BLOCK == 0).select(F.col("_r").alias("_after"), F.col("_t").alias("_ft"), F.col("_fp").alias("_ffp"))
+    edges = near.where(F.col("_after") % BLOCK == 0).drop("_nt", "_nfp").join(firsts, "_after").select(
+        "_id", "_t", "_fp", "_after", F.col("_ft").alias("_nt"), F.col("_ffp").alias("_nfp"))
+    pairs = inside.unionByName(edges)
     n = F.length("_t")
-    # A text keeps its first n - floor(n / 2) code points; only those travel.
-    a = table.select("_r", "_r_n", "_id", "_fp", n.alias("_n"), F.substring("_t", 1, n - F.floor(n / 2).cast("int")).alias("_head")).alias("a")
-    b = table.select("_r", "_t", "_fp").alias("b")
-    pairs = a.join(b, ((F.col("a._r") + 1) % F.col("a._r_n")) == F.col("b._r"))
-    half = F.floor(F.col("a._n") / 2).cast("int")
+    half = F.floor(n / 2).cast("int")
     return pairs.select(
-        F.col("a._id").alias("doc_id"),
-        F.col("a._n").cast("long").alias("n_chars"),
-        F.concat(F.col("a._head"), F.substring("b._t", 1, half)).alias("edited"),
-        F.col("a._fp").alias("fp"),
-        F.col("b._fp").alias("next_fp"),
+        F.col("_id").alias("doc_id"),
+        n.cast("long").alias("n_chars"),
+        F.concat(F.substring("_t", 1, n - half), F.substring("_nt", 1, half)).alias("edited"),
+        F.col("_fp").alias("fp"),
+        F.col("_nfp").alias("next_fp"),
     )
 
 
