@@ -14,6 +14,8 @@ KERNEL_QUERIES = {
     "a9_rouge1", "a10_rouge2", "a11_rougeL", "a12_rougeLsum", "a13_bleu", "row_scores", "a16_per_intent",
     "r1_metric_set", "r2_improvement", "r3_result", "r4_summary", "r5_verdict", "r6_executive", "r7_bars",
     "io6_report_from_csv", "plan_evaluate", "r8_rouge_series", "r9_heat_scale", "r12_thresholds", "f7_intent_guard", "f8_min_group",
+    # ROUGE kernels under resampling, and one matrix product per answer for the semantic score.
+    "a9_rouge_intervals", "a14_semantic_rows", "a14_semantic_score",
 }
 
 
@@ -27,6 +29,12 @@ def test_everything_but_overlap_scores_stays_in_the_jvm(spark, name):
     assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 
 
+@pytest.mark.parametrize("name", ["a9_rouge_intervals", "a14_semantic_rows"])
+def test_new_python_queries_pair_nothing(spark, name):
+    plan = physical(REGISTRY[name](spark, SF))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
 def test_dedup_limits_groups_before_the_exchange(spark):
     plan = physical(sampling.dedup(fx.dirty_pairs(spark, SF)))
     before, after = plan.index("Partial"), plan.index("Final")
@@ -43,7 +51,9 @@ def test_split_assignment_moves_no_row(spark):
 def test_scores_are_one_aggregate_over_a_map(spark):
     plan = physical(scoring.metric_set(spark.createDataFrame(
         [("1", "r", "b", "f")], "row_id string, reference string, baseline string, fine_tuned string")))
-    assert plan.count("Exchange") == 1 and plan.count("ArrowEvalPython") == 1
+    # One deal of the rows by text bytes before Python, then one aggregate.
+    assert plan.count("Exchange") == 2 and plan.count("RoundRobinPartitioning") == 1
+    assert plan.count("ArrowEvalPython") == 1
 
 
 def test_scan_reads_only_what_is_used(spark):
