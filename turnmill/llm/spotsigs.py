@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from turnmill.llm.kernels import documents
 from turnmill.llm.order import ranked
-from turnmill.scratch import drop, stage
 
 # Anchor words of the four languages of the corpus (English, German, French,
 # Spanish), their most common function words.
@@ -105,11 +104,10 @@ def edited_against_next(docs: DataFrame) -> DataFrame:
     floor(n_chars / 2) code points replaced by as many, or all, first ones of the next text),
     ``fp``, ``next_fp``."""
     rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_t"))
-    # Only ids and texts are sorted; fingerprints are made once, from the written ranks, and
-    # the sorted copy goes when they are written beside the texts.
+    # Only ids and texts are sorted and written; fingerprints are made once a row, from the
+    # written ranks, on the way into the one shuffle below.
     rows = ranked(rows, [], [F.col("_id").desc_nulls_last(), F.col("_t")], "_r")
-    table = stage(with_fingerprint(rows, "_t", "_fp").select("_id", "_t", "_fp", "_r", "_r_n"), "fingerprints")
-    drop(rows)
+    table = with_fingerprint(rows, "_t", "_fp").select("_id", "_t", "_fp", "_r", "_r_n")
     # The next row is found by lead inside blocks of BLOCK ranks (one shuffle of the table);
     # only the last row of a block meets the first row of the next one by a join.
     after = (F.col("_r") + 1) % F.col("_r_n")
