@@ -108,19 +108,22 @@ def edited_against_next(docs: DataFrame) -> DataFrame:
     # written ranks, on the way into the one shuffle below.
     rows = ranked(rows, [], [F.col("_id").desc_nulls_last(), F.col("_t")], "_r")
     table = with_fingerprint(rows, "_t", "_fp").select("_id", "_t", "_fp", "_r", "_r_n")
-    # The next row is found by lead inside blocks of BLOCK ranks (one shuffle of the table);
-    # only the last row of a block meets the first row of the next one by a join.
-    after = (F.col("_r") + 1) % F.col("_r_n")
-    blocks = Window.partitionBy(F.floor(F.col("_r") / BLOCK)).orderBy("_r")
-    near = table.select(
-        "_id", "_t", "_fp", after.alias("_after"),
-        F.lead("_t").over(blocks).alias("_nt"), F.lead("_fp").over(blocks).alias("_nfp"),
+    # The next row is found by lead inside blocks of BLOCK ranks, in one shuffle of the table:
+    # the first row of every block also stands, after all others, in the block before (row 0
+    # in the last block), so the last row of a block has its successor there too.
+    r, total = F.col("_r"), F.col("_r_n")
+    cols = ["_id", "_t", "_fp"]
+    own = table.select(*cols, F.floor(r / BLOCK).alias("_k"), r.alias("_o"), F.lit(False).alias("_copy"))
+    copies = table.where(r % BLOCK == 0).select(
+        *cols,
+        F.when(r == 0, F.floor((total - 1) / BLOCK)).otherwise(F.floor(r / BLOCK) - 1).alias("_k"),
+        F.when(r == 0, total).otherwise(r).alias("_o"),
+        F.lit(True).alias("_copy"),
     )
-    inside = near.where(F.col("_after") % BLOCK != 0)
-    firsts = table.where(F.col("_r") % BLOCK == 0).select(F.col("_r").alias("_after"), F.col("_t").alias("_ft"), F.col("_fp").alias("_ffp"))
-    edges = near.where(F.col("_after") % BLOCK == 0).drop("_nt", "_nfp").join(firsts, "_after").select(
-        "_id", "_t", "_fp", "_after", F.col("_ft").alias("_nt"), F.col("_ffp").alias("_nfp"))
-    pairs = inside.unionByName(edges)
+    blocks = Window.partitionBy("_k").orderBy("_o")
+    pairs = own.unionByName(copies).select(
+        *cols, "_copy", F.lead("_t").over(blocks).alias("_nt"), F.lead("_fp").over(blocks).alias("_nfp")
+    ).where(~F.col("_copy"))
     n = F.length("_t")
     half = F.floor(n / 2).cast("int")
     return pairs.select(
