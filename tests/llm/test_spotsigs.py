@@ -25,7 +25,7 @@ def fp(text):
             chain = [y for y in w[i + 1:] if y not in ANCHORS][:2]
             if len(chain) == 2:
                 sigs.add(":".join([x, *chain]))
-    return sorted(f"{xxhash.xxh64_intdigest(s.encode(), seed=42):016x}" for s in sigs)
+    return sorted({f"{xxhash.xxh64_intdigest(s.encode(), seed=42) & 0xFFFFFFFF:08x}" for s in sigs})
 
 
 def like(a, b):
@@ -34,7 +34,7 @@ def like(a, b):
 
 
 def brute(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.sha256((r[1] or "").encode()).hexdigest()))
     out = []
     for i, (doc_id, text) in enumerate(rows):
         t, nxt = text or "", rows[(i + 1) % len(rows)][1] or ""

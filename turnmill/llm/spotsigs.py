@@ -2,7 +2,7 @@
 
 Common words are anchors ("spots"); each anchor and the chain of the next two content words
 after it (anchors in between are skipped) form one signature. The distinct signatures of a
-text, hashed, are its fingerprint: they stay put when a page's frame changes, because frames
+text, hashed to 32 bits, are its fingerprint: they stay put when a page's frame changes, because frames
 are short on function words. Two fingerprints are compared by the Jaccard measure of their
 sets; the sizes bound it from above (min / max), and where that bound is zero the sets are
 not intersected.
@@ -34,6 +34,7 @@ ANCHORS = (
 )
 CHAIN = 2  # content words after an anchor
 BLOCK = 256  # ranks whose next rows are found inside one window partition
+HASH_MASK = 0xFFFFFFFF  # signatures are kept as 32-bit hashes
 
 _WORDS = sorted(set(ANCHORS.split()), key=lambda w: (-len(w), w))
 _A = "(?:" + "|".join(_WORDS) + ")"
@@ -79,10 +80,14 @@ def signatures(segments: Column) -> Column:
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with ``out``: the distinct 64-bit hashes of the spot signatures of column
-    ``text``, ascending (:func:`text_of` writes them as text)."""
+    """``df`` with ``out``: the distinct 32-bit hashes (low bits of xxhash64) of the spot
+    signatures of column ``text`` (:func:`text_of` writes them as text). Two different
+    signatures of one pair of texts share a hash with a chance of about m^2 / 2^33 for m
+    signatures: a likeness moves by far less than one part in a thousand."""
     seg = f"{out}_segments"
-    hashes = F.transform(signatures(F.col(seg)), lambda x: F.xxhash64(x))
+    # The low 32 bits as a signed number, so that the cast is exact.
+    low = lambda x: (F.xxhash64(x).bitwiseAND(F.lit(HASH_MASK)).bitwiseXOR(F.lit(1 << 31)) - F.lit(1 << 31)).cast("int")
+    hashes = F.transform(signatures(F.col(seg)), low)
     return df.withColumn(seg, segments(F.col(text))).withColumn(out, F.array_sort(F.array_distinct(hashes))).drop(seg)
 
 
@@ -94,19 +99,22 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def text_of(fp: Column) -> Column:
-    """A fingerprint as text: its hashes as 16 lowercase hex digits, ascending, spaced."""
-    return F.array_join(F.array_sort(F.transform(fp, lambda x: F.lower(F.lpad(F.hex(x), 16, "0")))), " ")
+    """A fingerprint as text: its hashes as 8 lowercase hex digits, ascending, spaced."""
+    hexed = F.transform(fp, lambda x: F.lower(F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(HASH_MASK))), 8, "0")))
+    return F.array_join(F.array_sort(hexed), " ")
 
 
 def edited_against_next(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` with the next document (descending ``doc_id``, nulls last, ties by
-    text; after the last comes the first): ``n_chars`` (code points), ``edited`` (the last
+    the SHA-256 of the text; after the last comes the first): ``n_chars`` (code points), ``edited`` (the last
     floor(n_chars / 2) code points replaced by as many, or all, first ones of the next text),
     ``fp``, ``next_fp``."""
     rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_t"))
     # Only ids and texts are sorted and written; fingerprints are made once a row, from the
     # written ranks, on the way into the one shuffle below.
-    rows = ranked(rows, [], [F.col("_id").desc_nulls_last(), F.col("_t")], "_r")
+    # Ties of doc_id are broken by the text's SHA-256, so that no text is a sort key (the
+    # sort's sample of keys goes to the driver).
+    rows = ranked(rows, [], [F.col("_id").desc_nulls_last(), F.sha2("_t", 256)], "_r")
     table = with_fingerprint(rows, "_t", "_fp").select("_id", "_t", "_fp", "_r", "_r_n")
     # The next row is found by lead inside blocks of BLOCK ranks, in one shuffle of the table:
     # the first row of every block also stands, after all others, in the block before (row 0
