@@ -153,8 +153,11 @@ def repaired(rows: list[tuple[str, str]], audit: str) -> list[str]:
 
 
 def _repair(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.assign(_null=pdf["turn"].isna()).sort_values(["_null", "turn", "role", "text"], ascending=[False, True, True, True])
-    rows = list(zip(pdf["role"], pdf["text"]))
+    # Conversations are short: a sort of plain lists costs less than one of pandas.
+    null, turns = pdf["turn"].isna().tolist(), pdf["turn"].tolist()
+    roles, texts = pdf["role"].tolist(), pdf["text"].tolist()
+    order = sorted(range(len(roles)), key=lambda i: (not null[i], 0 if null[i] else turns[i], roles[i], texts[i]))
+    rows = [(roles[i], texts[i]) for i in order]
     kinds = faults(rows)
     initials = [r[:1] for r, _ in rows]
     illegal = sum(a + b not in LEGAL for a, b in zip(initials, initials[1:]))
