@@ -125,3 +125,17 @@ def test_empty_table_and_clashing_columns(spark):
     assert repair.repaired_conversations(df).count() == 0
     df = spark.createDataFrame([(1, 0, "user", "Hi.", 5, "x")], "conv_id long, turn long, role string, text string, _hit long, audit string")
     assert repair.repaired_conversations(df).count() == 1
+
+
+def test_conversations_across_small_batches(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(None, 3, "user", "Hi."), (None, 1, "assistant", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "3")
+    try:
+        got = sorted(map(tuple, repair.repaired_conversations(df).select(*COLS).collect()), key=str)
+    finally:
+        spark.conf.set(setting, before)
+    assert got == plain(rows)

@@ -19,9 +19,9 @@ The rows are damaged first, for the tests of the contract, by crc32 of ``conv_id
 modulo 20 (nulls written as one space): 0 drops the row, 1 empties its text, 2 removes its
 ``.!?``, 3 repeats it (same turn), 4 makes it a user row. Null role and text are one space.
 
-Damage, the turn gaps and the list of conversations are DataFrame work; the DP of one
-conversation runs in one Python task (``applyInPandas`` by ``conv_id``), which holds the rows
-of that conversation only. A conversation is a sequence whose SHA-256 and DP are sequential,
+Damage, the turn gaps and the list of conversations are DataFrame work; rows are dealt by
+``conv_id`` and sorted within tasks, and ``mapInArrow`` solves the conversations of a batch in
+one call, carrying an unfinished last one into the next batch. A conversation is a sequence whose SHA-256 and DP are sequential,
 so one very long conversation is one task's work.
 
 Edge cases: rows of a conversation are ordered by turn (nulls first), role and text, so
@@ -37,7 +37,9 @@ import hashlib
 import re
 import sys
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -152,23 +154,58 @@ def repaired(rows: list[tuple[str, str]], audit: str) -> list[str]:
     return lines
 
 
-def _repair(pdf: pd.DataFrame) -> pd.DataFrame:
-    # Conversations are short: a sort of plain lists costs less than one of pandas.
-    null, turns = pdf["turn"].isna().tolist(), pdf["turn"].tolist()
-    roles, texts = pdf["role"].tolist(), pdf["text"].tolist()
-    order = sorted(range(len(roles)), key=lambda i: (not null[i], 0 if null[i] else turns[i], roles[i], texts[i]))
+def _solved(conv_id, turns: list, roles: list, texts: list) -> tuple:
+    """The output row of one conversation's rows after damage."""
+    order = sorted(range(len(roles)), key=lambda i: (turns[i] is not None, turns[i] or 0, roles[i], texts[i]))
     rows = [(roles[i], texts[i]) for i in order]
     kinds = faults(rows)
     initials = [r[:1] for r, _ in rows]
     illegal = sum(a + b not in LEGAL for a, b in zip(initials, initials[1:]))
     cost, audit = cheapest(initials, kinds)
     digest = hashlib.sha256("\n".join(repaired(rows, audit)).encode()).hexdigest()
-    return pd.DataFrame({
-        "conv_id": pd.array([pdf["conv_id"].iloc[0]], dtype="Int64"),
-        "blank": [kinds.count("blank")], "duplicate": [kinds.count("duplicate")],
-        "truncated": [kinds.count("truncated")], "illegal": [illegal], "cost": [cost],
-        "audit": [audit], "repaired_sha256": [digest],
-    })
+    return (conv_id, kinds.count("blank"), kinds.count("duplicate"), kinds.count("truncated"), illegal, cost, audit, digest)
+
+
+_OUT = pa.schema([("conv_id", pa.int64()), *[(c, pa.int64()) for c in ("blank", "duplicate", "truncated", "illegal", "cost")],
+                  ("audit", pa.string()), ("repaired_sha256", pa.string())])
+
+
+def _conversations(table: pa.Table) -> list[tuple]:
+    """Output rows of the whole conversations of ``table``, whose rows of one conv_id are
+    adjacent."""
+    ids, null = table.column("conv_id"), table.column("conv_id").is_null().to_numpy(zero_copy_only=False)
+    key = pc.fill_null(ids, 0).to_numpy()
+    cut = np.flatnonzero((key[1:] != key[:-1]) | (null[1:] != null[:-1])) + 1
+    turns, roles, texts = (table.column(c).to_pylist() for c in ("turn", "role", "text"))
+    out = []
+    for a, b in zip([0, *cut], [*cut, table.num_rows]):
+        out.append(_solved(None if null[a] else int(key[a]), turns[a:b], roles[a:b], texts[a:b]))
+    return out
+
+
+def _repair_batches(batches):
+    """All conversations of a task's rows, sorted by conv_id: those a batch ends are solved
+    with it; the last one of a batch may go on and waits for the next."""
+    carry = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if carry is not None:
+            table = pa.concat_tables([carry, table])
+        if table.num_rows == 0:
+            carry = table
+            continue
+        ids, null = table.column("conv_id"), table.column("conv_id").is_null().to_numpy(zero_copy_only=False)
+        key = pc.fill_null(ids, 0).to_numpy()
+        last = table.num_rows - 1
+        same = (key == key[last]) & (null == null[last])
+        start = int(np.flatnonzero(~same).max(initial=-1)) + 1  # rows of one conv_id are adjacent
+        carry = table.slice(start)
+        if start:
+            rows = _conversations(table.slice(0, start))
+            yield pa.RecordBatch.from_pylist([dict(zip(_OUT.names, r)) for r in rows], schema=_OUT)
+    if carry is not None and carry.num_rows:
+        rows = _conversations(carry)
+        yield pa.RecordBatch.from_pylist([dict(zip(_OUT.names, r)) for r in rows], schema=_OUT)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:
@@ -194,7 +231,14 @@ def repairs(rows: DataFrame) -> DataFrame:
     gaps = rows.groupBy("conv_id").agg(
         F.coalesce(F.max("turn") - F.min("turn") + 1 - F.countDistinct("turn"), F.lit(0)).alias("gaps")
     )
-    fixed = rows.select("conv_id", "turn", "role", "text").groupBy("conv_id").applyInPandas(_repair, SCHEMA)
+    # Rows of a conversation meet in one task, sorted so that they are adjacent; each Arrow
+    # batch is solved in one call, not one pandas frame per conversation.
+    fixed = (
+        rows.select("conv_id", "turn", "role", "text")
+        .repartition("conv_id")
+        .sortWithinPartitions(F.col("conv_id").asc_nulls_first())
+        .mapInArrow(_repair_batches, SCHEMA)
+    )
     return fixed.alias("f").join(gaps.alias("g"), F.col("f.conv_id").eqNullSafe(F.col("g.conv_id"))).select("f.*", "g.gaps")
 
 
