@@ -190,6 +190,34 @@ def test_mixing_edge_cases(spark):
     assert mixing.mixed(cases.empty(spark), odd.select("doc_id")).count() == 0
 
 
+def test_mixing_counts_reach_the_driver_as_columns(spark, monkeypatch):
+    """The counts of all domains and buckets are no row objects in the driver."""
+    docs = mixed_documents(spark)
+    kind, sizes = type(docs), []
+    inner = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda self: sizes.append(len(rows := inner(self))) or rows)
+    domains, log, _ = mixing.fit(docs, docs.select("doc_id"))
+    assert domains == ["a", "b", "c"] and log.shape == (3, mixing.BUCKETS) and max(sizes) == 3
+
+
+def test_mixing_shuffles_no_text(spark, monkeypatch):
+    """However many rows are labelled, the texts that fit the classifier are picked by id where they are."""
+    plans = []
+    docs = mixed_documents(spark)
+    inner = type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: plans.append(
+        self._jdf.queryExecution().optimizedPlan().toString()) or inner(self))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mixing.fit(docs, docs.select("doc_id"), train_rows=20)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 1
+    joins = [x for x in plans[0].splitlines() if "Join LeftSemi" in x]
+    assert len(joins) == 2 and "strategy=broadcast" in joins[0]
+
+
 def test_mixing_keeps_rare_domains(spark):
     """A domain far below one row in the bound has its place and its target; weights for what
     cannot be fitted are an error."""

@@ -37,6 +37,7 @@ import warnings
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -91,11 +92,16 @@ def fit(docs: DataFrame, labelled: DataFrame, domain: str = "lang", train_rows:
     # Of each domain as large a part as its bound allows.
     part = F.create_map(*[F.lit(x) for d in domains for x in (d, train_rows / max(seen[d][1], 1))])
     chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    counts = chosen.where(chance < part[F.col("label")]).select("text", "label").mapInArrow(
-        _label_counts, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    drawn = rows.where(chance < part[F.col("label")])
+    # Which of them are labelled is found by id alone: about train_rows ids of each domain, small
+    # enough for every task, so that no text is shuffled.
+    few = drawn.select("doc_id").join(ids, "doc_id", "left_semi").distinct()
+    counts = drawn.join(F.broadcast(few), "doc_id", "left_semi").select("text", "label").mapInArrow(
+        _label_counts, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    # As columns: a row object for each of domains x BUCKETS counts would be most of the driver's memory.
+    place = pc.index_in(counts["label"], value_set=pa.array(domains, pa.string())).to_numpy()
     table = np.zeros((len(domains), BUCKETS))
-    place = {d: i for i, d in enumerate(domains)}
-    table[[place[x] for x in counts["label"]], counts["bucket"]] += counts["n"]
+    table[place, counts["bucket"].to_numpy()] += counts["n"].to_numpy()
     # Where a domain has few words, those of all domains stand in.
     share = np.array([seen[d][0] for d in domains], float)
     share /= share.sum()
