@@ -73,3 +73,34 @@ def test_empty_answers(spark):
     answers = spark.createDataFrame([], "row_id string, answer string, reference string")
     vectors = spark.createDataFrame(VECTORS, "vec_id long, embedding array<float>")
     assert semantic.greedy_alignment(answers, vectors, keys=("row_id",)).count() == 0
+
+
+@pytest.mark.parametrize("listed, numbers", [(0, 0), (4, 6), (100, 3), (2, 100)])
+def test_rare_tokens_and_lacking_vectors_are_joined(spark, listed, numbers):
+    """What tasks do not hold reaches the rows by joins, with the same scores."""
+    answers = spark.createDataFrame(ROWS, "row_id string, answer string, reference string")
+    vectors = spark.createDataFrame(VECTORS, "vec_id long, embedding array<float>")
+    got = semantic.greedy_alignment(answers, vectors, answers.select("reference"), ("row_id",), listed, numbers)
+    want = plain(ROWS, [(v, None if e is None else [float(np.float32(x)) for x in e]) for v, e in VECTORS],
+                 [r for _, _, r in ROWS])
+    assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_vectors_of_frequent_tokens_are_not_shuffled(spark):
+    """Rows are scored where they stand: the last step has no exchange, however many rows there are."""
+    answers = spark.createDataFrame(ROWS * 50, "row_id string, answer string, reference string")
+    vectors = spark.createDataFrame(VECTORS, "vec_id long, embedding array<float>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = semantic.greedy_alignment(answers, vectors, answers.select("reference"), keys=("row_id",))
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got.count() == 50 * len(ROWS)
+
+
+def test_vectors_of_different_lengths_are_alike_to_nothing(spark):
+    answers = spark.createDataFrame([("a", "x y z", "x y z")], "row_id string, answer string, reference string")
+    vectors = spark.createDataFrame([(i, [1.0] * (1 + i % 2)) for i in range(50)], "vec_id long, embedding array<float>")
+    assert [tuple(r) for r in semantic.greedy_alignment(answers, vectors, keys=("row_id",)).collect()] == [("a", 1.0, 1.0, 1.0)]
