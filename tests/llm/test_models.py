@@ -98,6 +98,20 @@ def test_lm_vocabulary_is_not_of_fixed_size(spark, monkeypatch):
     assert sizes == [200, 400]
 
 
+def test_lm_changes_weigh_no_more_than_the_texts():
+    """All learners together send as many bytes as there are of text, at most by a small share more."""
+    k = np.arange(1, 3001, dtype=np.uint64)
+    words = lm.Words(k, np.full(3000, 50), (k % 16).astype(np.int8), 20)
+    model = lm.Model(words, *np.zeros((2, words.end + 1, 24)), np.zeros((lm.SYMBOLS, 25)), np.zeros((words.base[-1], 25)))
+    learner = lm.Learner(model, np.full(lm.SYMBOLS, 1 / lm.SYMBOLS), 1)
+    for met in learner.met:
+        met[:] = 1
+    sent = sum(batch.nbytes for batch in learner.changes())
+    assert sent < 1.2 * sum(p.nbytes for p in model.parts)
+    for text_bytes in (0, 10 ** 6, 10 ** 9):
+        assert (lm.learners(model, text_bytes) - 1) * sent <= 1.2 * text_bytes
+
+
 INSULTS = ["grumbler", "blockhead", "nincompoop"]
 
 

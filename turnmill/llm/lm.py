@@ -15,7 +15,9 @@ Words are counted by a shuffle. Symbols are trained first, on at most ``SYMBOLS
 symbol triples, and give all vectors their start; the nodes' biases start at the words' shares.
 Then every training token takes a step: each task goes through the triples of its own texts,
 symbols by noise-contrastive estimation, trees by the logistic loss of their decisions, and
-the changes of a vector are averaged over the tasks that met it, weighted by how often.
+the changes of a vector are averaged over the tasks that met it, weighted by how often. Each
+such task goes through at least as many bytes of text as the model has, so that the changes
+that are shuffled weigh no more than the texts, however many tasks would read them.
 
 Own words and their vectors are sent to all tasks and gathered by the driver, so memory
 grows with the vocabulary; counts of all other words reach their texts by joins.
@@ -48,6 +50,7 @@ LEAST = 20
 BATCH = 8192
 NOISE = 16
 PACE = 0.05
+BLOCK = 4096  # parameter rows whose changes travel together
 _U = np.uint64
 
 
@@ -170,6 +173,9 @@ class Words:
             leaf[inside] = np.arange(1, len(inside) + 1)
             self.depth[f] = len(inside).bit_length()
         self.base = np.concatenate([[0], np.cumsum((1 << self.depth) - 1)])
+        # By symbol: how deep its tree is, and the first node.
+        self.depths = np.concatenate([np.zeros(1 + OWN, np.int64), self.depth])
+        self.roots = np.concatenate([np.zeros(1 + OWN, np.int64), self.base[:-1]])
         order = np.argsort(k)
         self.keys, self.counts = k[order], c[order]
         self.symbol, self.unit, self.leaf = symbol[order], unit[order], leaf[order]
@@ -219,17 +225,21 @@ class Words:
         row = np.repeat(np.arange(rows), np.diff(first) + 1)
         return row, line[at - 2], line[at - 1], what[0, at], what[1, at], count
 
+    def order(self, symbol: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """An order in which the tokens of a symbol and of a node stand together, and those with a
+        decision at a level are the last ones."""
+        return np.lexsort((leaf, symbol, self.depths[symbol]))
+
     def decisions(self, symbol: np.ndarray, leaf: np.ndarray):
-        """By level: the tokens whose class has so deep a tree, their node and way (0, 1)."""
-        form = symbol - 1 - OWN
-        at = np.flatnonzero(form >= 0)
-        for level in range(int(self.depth.max())):
-            at = at[self.depth[form[at]] > level]
-            if not len(at):
-                return
-            below = self.depth[form[at]] - level
-            node = self.base[form[at]] + (1 << level) - 1 + (leaf[at] >> below)
-            yield at, node, (leaf[at] >> (below - 1)) & 1
+        """By level, of tokens in that order: the first whose class has so deep a tree; of it and all
+        after it the nodes met, where each begins, how often it stands, and the ways (0, 1)."""
+        depth, root = self.depths[symbol], self.roots[symbol]
+        for level in range(int(depth[-1]) if len(depth) else 0):
+            begin = int(np.searchsorted(depth, level, "right"))
+            way = leaf[begin:] >> (depth[begin:] - level - 1)
+            node = root[begin:] + ((1 << level) - 1) + (way >> 1)
+            first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+            yield begin, node[first], first, np.diff(np.append(first, len(node))), (way & 1).astype(bool)
 
 
 def _summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -258,16 +268,19 @@ class Model:
         _, _, outputs, nodes = self.parts
         for i in range(0, len(a), BATCH):
             s = slice(i, i + BATCH)
-            context = self.context(a[s], b[s])
+            order = self.words.order(symbol[s], leaf[s])
+            ordered, place = symbol[s][order], leaf[s][order]
+            context = self.context(a[s][order], b[s][order])
             score = context @ outputs[:, :-1].T + outputs[:, -1]
             score -= score.max(1, keepdims=True)
-            got = score[np.arange(len(score)), symbol[s]].astype(np.float64)
+            got = score[np.arange(len(score)), ordered].astype(np.float64)
             got -= np.log(np.exp(score).sum(1, dtype=np.float64))
-            for at, node, way in self.words.decisions(symbol[s], leaf[s]):
-                q = nodes[node]
-                z = np.einsum("ij,ij->i", context[at], q[:, :-1]) + q[:, -1]
-                got[at] -= np.logaddexp(0.0, np.where(way, -z, z).astype(np.float64))
-            out[s] = got
+            context = np.concatenate([context, np.ones((len(context), 1), np.float32)], 1)
+            for begin, node, _, n, way in self.words.decisions(ordered, place):
+                z = np.einsum("ij,ij->i", context[begin:], np.repeat(nodes[node], n, axis=0))
+                z = np.where(way, -z, z)
+                got[begin:] -= np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))
+            out[i + order] = got
         return out / np.log(10)
 
 
@@ -285,10 +298,13 @@ class Learner:
     def _move(self, part: int, index, rows):
         if not len(index):
             return
-        at, n, g = _summed(index, rows)
+        self._change(part, *_summed(index, rows))
+
+    def _change(self, part: int, at, n, g):
         self.met[part][at] += n
-        self.squares[part][at] += g * g
-        self.own.parts[part][at] -= PACE * g / np.sqrt(self.squares[part][at])
+        squares = self.squares[part][at] + g * g
+        self.squares[part][at] = squares
+        self.own.parts[part][at] -= PACE * g / np.sqrt(squares)
 
     def learn(self, a, b, symbol, leaf):
         """A step for each batch of tokens."""
@@ -297,6 +313,8 @@ class Learner:
 
     def _step(self, a, b, symbol, leaf):
         _, _, outputs, nodes = self.own.parts
+        order = self.model.words.order(symbol, leaf)
+        a, b, symbol, leaf = a[order], b[order], symbol[order], leaf[order]
         one = np.ones((len(a), 1), np.float32)
         context = np.concatenate([self.own.context(a, b), one], 1)
         # Symbols against noise; the noise of a batch is drawn once for all its tokens.
@@ -307,32 +325,55 @@ class Learner:
         e_true = sure(np.einsum("ij,ij->i", context, true_out) - log_noise[symbol]) - 1
         e_fake = sure(context @ fake_out.T - log_noise[fake])
         back = e_true[:, None] * true_out + e_fake @ fake_out
-        index, rows = [], []
-        for at, node, way in self.model.words.decisions(symbol, leaf):
-            q, c = nodes[node], context[at]
+        met = []
+        for begin, node, first, n, way in self.model.words.decisions(symbol, leaf):
+            q, c = np.repeat(nodes[node], n, axis=0), context[begin:]
             e = sure(np.einsum("ij,ij->i", c, q)) - way.astype(np.float32)
-            back[at] += e[:, None] * q
-            index.append(node)
-            rows.append(e[:, None] * c)
+            q *= e[:, None]
+            back[begin:] += q
+            met.append((node, n, np.add.reduceat(c * e[:, None], first, axis=0)))
         self._move(2, np.concatenate([symbol, fake]), np.concatenate([e_true[:, None] * context, e_fake.T @ context]))
-        if index:
-            self._move(3, np.concatenate(index), np.concatenate(rows))
+        if met:
+            self._change(3, *map(np.concatenate, zip(*met)))
         self._move(0, a, back[:, :-1])
         self._move(1, b, back[:, :-1])
 
     def changes(self):
-        """Batches of (part, id, n, change times n)."""
+        """Batches of one row (part, block, ids within it, n of each, changes times n)."""
         for part, (own, start, met) in enumerate(zip(self.own.parts, self.model.parts, self.met)):
-            touched = np.flatnonzero(met)
-            for i in range(0, len(touched), 20_000):
-                at = touched[i: i + 20_000]
-                moved = (own[at] - start[at]) * met[at, None].astype(np.float32)
-                if part < 2:
-                    moved = np.concatenate([moved, np.zeros((len(at), 1), np.float32)], 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), part, np.int8)), pa.array(at), pa.array(met[at]),
-                     *[pa.array(moved[:, j].astype(np.float64)) for j in range(moved.shape[1])]],
-                    ["part", "id", "n", *[f"v{j}" for j in range(moved.shape[1])]])
+            for block in range(0, len(met), BLOCK):
+                at = np.flatnonzero(met[block: block + BLOCK])
+                if len(at):
+                    n = met[block + at]
+                    moved = (own[block + at] - start[block + at]) * n[:, None].astype(np.float32)
+                    yield _packed(part, block, at, n, moved)
+
+
+def _packed(part: int, block: int, at: np.ndarray, n: np.ndarray, moved: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int32()), pa.array([block], pa.int64()),
+         *[pa.array([x.tobytes()], pa.binary()) for x in (at.astype(np.int32), n, moved.astype(np.float32))]],
+        ["part", "block", "at", "n", "moved"])
+
+
+def _unpacked(rows: pa.Table):
+    """(part, numbers of the rows in the part, n, their changes) of each block."""
+    for part, block, at, n, moved in zip(*(rows[c].to_pylist() for c in ("part", "block", "at", "n", "moved"))):
+        at = np.frombuffer(at, np.int32)
+        yield part, block + at.astype(np.int64), np.frombuffer(n, np.int64), np.frombuffer(moved, np.float32).reshape(len(at), -1)
+
+
+def _mean(rows: pa.Table) -> pa.Table:
+    """The mean change of each parameter row of a block."""
+    block = rows["block"][0].as_py()
+    total, met = None, np.zeros(BLOCK, np.int64)
+    for part, at, n, moved in _unpacked(rows):
+        if total is None:
+            total = np.zeros((BLOCK, moved.shape[1]))
+        total[at - block] += moved
+        met[at - block] += n
+    at = np.flatnonzero(met)
+    return pa.Table.from_batches([_packed(part, block, at, met[at], total[at] / met[at, None])])
 
 
 def _learn(sent, noise, turn):
@@ -348,23 +389,21 @@ def _learn(sent, noise, turn):
     return run
 
 
-def train_words(learn: DataFrame, model: Model, noise: np.ndarray, rounds: int = 1) -> Model:
+def learners(model: Model, text_bytes: int) -> int:
+    """Tasks that learn: together, their changes weigh no more than the texts."""
+    return max(1, text_bytes // max(sum(p.nbytes for p in model.parts), 1))
+
+
+def train_words(learn: DataFrame, model: Model, noise: np.ndarray, text_bytes: int, rounds: int = 1) -> Model:
     """The model after every training token was seen ``rounds`` times."""
-    dim = model.parts[2].shape[1]
-    names = [f"v{j}" for j in range(dim)]
+    schema = "part int, block long, at binary, n binary, moved binary"
     for turn in range(rounds):
         sent = learn.sparkSession.sparkContext.broadcast(model)
-        mean = learn.mapInArrow(
-            _learn(sent, noise, turn), "part byte, id long, n long, " + ", ".join(f"{v} double" for v in names)
-        ).groupBy("part", "id").agg(*[(F.sum(v) / F.sum("n")).cast("float").alias(v) for v in names]).toArrow()
-        which, at = mean["part"].to_numpy(), mean["id"].to_numpy()
+        mean = learn.coalesce(learners(model, text_bytes)).mapInArrow(
+            _learn(sent, noise, turn), schema).groupBy("part", "block").applyInArrow(_mean, schema).toArrow()
         parts = [p.copy() for p in model.parts]
-        for j, v in enumerate(names):
-            change = mean[v].to_numpy()
-            for part in range(4):
-                mine = which == part
-                if j < parts[part].shape[1]:
-                    parts[part][at[mine], j] += change[mine]
+        for part, at, _, change in _unpacked(mean):
+            parts[part][at] += change
         model = Model(model.words, *parts)
         sent.unpersist()
     return model
@@ -419,7 +458,7 @@ def scored(docs: DataFrame, held_out: Column, listed: int = LISTED, least: int =
     counts = stage(
         learn.mapInArrow(_word_counts, "k long, n long, form byte")
         .groupBy("k").agg(F.sum("n").alias("c"), F.min("form").alias("form")), "word_counts")
-    ends = learn.count()
+    ends, text_bytes = learn.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     most = counts.orderBy(F.desc("c"), "k").limit(max(listed, OWN)).toPandas()
     if len(most) and most["c"].iloc[-1] >= least:
         # More words have vectors of their own than are listed.
@@ -440,8 +479,8 @@ def scored(docs: DataFrame, held_out: Column, listed: int = LISTED, least: int =
     own, number = own_words[order], order.astype(np.int64) + 1
     gathered = (
         learn.mapInArrow(_triple_counts(own, number), "code int, n long")
-        .groupBy("code").agg(F.sum("n").alias("n")).toPandas().sort_values("code"))
-    code, times = gathered["code"].to_numpy(np.int64), gathered["n"].to_numpy(np.float64)
+        .groupBy("code").agg(F.sum("n").alias("n")).toArrow().sort_by("code"))
+    code, times = (gathered[c].to_numpy().astype(t) for c, t in (("code", np.int64), ("n", np.float64)))
     vectors, outputs, places, bias = fit_symbols(code, times, **training)
     # Each unit starts with the vectors of its symbol.
     start = np.zeros(words.end + 1, np.int64)
@@ -452,7 +491,7 @@ def scored(docs: DataFrame, held_out: Column, listed: int = LISTED, least: int =
     model = Model(words, (vectors @ places[0])[start], (vectors @ places[1])[start],
                   np.concatenate([outputs, bias[:, None]], 1), nodes)
     noise = np.bincount(code % SYMBOLS, weights=times, minlength=SYMBOLS) + 1.0
-    model = train_words(learn, model, noise / noise.sum())
+    model = train_words(learn, model, noise / noise.sum(), text_bytes)
     run = _score(spark.sparkContext.broadcast(model), np.log10(rest))
     local = stage(
         rows.select("doc_id", "text", "held_out").mapInArrow(
