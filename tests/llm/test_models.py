@@ -112,6 +112,91 @@ def test_lm_changes_weigh_no_more_than_the_texts():
         assert (lm.learners(model, text_bytes) - 1) * sent <= 1.2 * text_bytes
 
 
+def plain_way(words, symbol, leaf):
+    """(node, way) from the root to a leaf of a symbol's tree."""
+    form = symbol - 1 - lm.OWN
+    depth = words.depth[form] if form >= 0 else 0
+    return [(words.base[form] + (1 << level) - 1 + (leaf >> (depth - level)), leaf >> (depth - level - 1) & 1)
+            for level in range(depth)]
+
+
+def test_lm_steps_and_scores_against_plain_loops():
+    """Nodes of heads, nodes below them, symbols and units move as token by token; so do scores add up."""
+    r = np.random.default_rng(3)
+    k = np.arange(1, 3001, dtype=np.uint64)
+    words = lm.Words(k, np.sort(r.integers(20, 10 ** 5, 3000))[::-1], (k % 16).astype(np.int8), 20)
+    assert all(0 < len(head[0]) < (1 << d) - 1 for head, d in zip(words.heads, words.depth))
+    model = lm.Model(words, *r.normal(0, 0.5, (2, words.end + 1, 24)), r.normal(0, 0.5, (lm.SYMBOLS, 25)),
+                     r.normal(0, 0.5, (words.base[-1], 25)))
+    n = 700
+    at = np.where(r.random(n) < 0.3, 0, r.integers(0, 3000, n))
+    at[:40] = 2999  # one rare word in a long run
+    symbol, leaf = words.symbol[at], words.leaf[at]
+    leaf[40:60] = 0
+    a, b = r.integers(0, words.end + 1, n), r.integers(0, 50, n)
+    noise = np.full(lm.SYMBOLS, 1 / lm.SYMBOLS)
+    learner = lm.Learner(model, noise, 5)
+    learner.learn(a, b, symbol, leaf)
+    fake = np.searchsorted(np.cumsum(noise), np.random.default_rng(5).random(lm.NOISE)).clip(max=lm.SYMBOLS - 1)
+
+    first, second, outputs, nodes = parts = [p.astype(np.float64) for p in model.parts]
+    grads, met = [np.zeros_like(p) for p in parts], [np.zeros(len(p), int) for p in parts]
+    met[2] += np.bincount(fake, minlength=lm.SYMBOLS)
+    sure, shift, wanted = lambda z: 1 / (1 + np.exp(-z)), np.log(lm.NOISE / lm.SYMBOLS), []
+    for x, y, s, l in zip(a, b, symbol, leaf):
+        context, back = np.append(first[x] + second[y], 1), np.zeros(25)
+        every = outputs @ context
+        log = every[s] - np.log(np.exp(every).sum())
+        decisions = [(2, i, every[i] - shift, int(j == 0)) for j, i in enumerate([s, *fake])]
+        decisions += [(3, i, nodes[i] @ context, way) for i, way in plain_way(words, s, l)]
+        for part, i, z, wish in decisions:
+            grads[part][i] += (sure(z) - wish) * context
+            back += (sure(z) - wish) * parts[part][i]
+            if part == 3:
+                log += np.log(sure(z) if wish else 1 - sure(z))
+                met[3][i] += 1
+        met[0][x], met[1][y], met[2][s] = met[0][x] + 1, met[1][y] + 1, met[2][s] + 1
+        grads[0][x] += back[:-1]
+        grads[1][y] += back[:-1]
+        wanted.append(log / np.log(10))
+    assert model.log10(a, b, symbol, leaf) == pytest.approx(np.array(wanted), rel=1e-5, abs=1e-5)
+    for own, p, g, m, learnt in zip(learner.own.parts, parts, grads, met, learner.met):
+        assert np.allclose(own, p - lm.PACE * g / np.sqrt(1 + g * g), atol=2e-5)
+        assert (learnt == m).all()
+
+
+def test_lm_counts_are_summed_in_the_task():
+    """A word, or a triple, of many batches of a task leaves the task once."""
+    import pyarrow as pa
+
+    texts = ["one two Two three", None, "", "three four one"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])] * 5
+    counts = pa.Table.from_batches(lm._word_counts(iter(batches))).to_pylist()
+    assert sorted(c["n"] for c in counts) == [5, 10, 10, 10] and len({c["k"] for c in counts}) == 4
+    none = np.zeros(0, np.uint64)
+    triples = pa.Table.from_batches(lm._triple_counts(none, none.astype(np.int64))(iter(batches))).to_pylist()
+    assert len({c["code"] for c in triples}) == len(triples) and sum(c["n"] for c in triples) == 5 * 11
+    assert list(lm._word_counts(iter([]))) == list(lm._triple_counts(none, none.astype(np.int64))(iter([]))) == []
+
+
+def test_lm_words_are_found_by_their_first_bits():
+    r = np.random.default_rng(4)
+    k = np.unique(r.integers(0, 1 << 63, 5000, dtype=np.uint64) << np.uint64(1))
+    k = np.concatenate([k, np.array([2 ** 64 - 1, 2 ** 64 - 2, 2 ** 64 - 3, 0], np.uint64)])
+    for keys in (k, k[:1], k[-4:]):
+        keys = np.unique(keys)
+        words = lm.Words(keys, np.full(len(keys), 30), np.zeros(len(keys), np.int8), 20)
+        asked = np.concatenate([keys, keys + np.uint64(1), r.integers(0, 1 << 63, 2000, dtype=np.uint64)])
+        at, hit = words.find(asked)
+        assert (hit == np.isin(asked, keys)).all() and (words.keys[at[hit]] == asked[hit]).all()
+
+
+def test_lm_hashes_a_text_once_not_per_word(spark):
+    """What numbers the rows is written with them: after the words are unfolded, it would be hashed for each."""
+    got = lm.scored(cases.documents(spark, [cases.prose(50, i) for i in range(5)]), F.lit(False), listed=1, least=50, steps=5)
+    assert "xxhash64" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 INSULTS = ["grumbler", "blockhead", "nincompoop"]
 
 

@@ -21,6 +21,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_BYTES = 2 << 20  # a longer text is a slice of its own
 
+NEAR = 1 << 15  # bytes whose 64-bit values stay in the processor's cache
+
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -35,10 +37,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-SPACE = np.zeros(256, bool)
-SPACE[[0x20, *range(0x09, 0x0E)]] = True
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[0x41:0x5B] += 32
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(_BASE))
 
 
@@ -84,7 +82,7 @@ class Texts:
     """Some texts and what the operators need to know of them, made when first asked for."""
 
     def __init__(self, data: np.ndarray, at: np.ndarray, lower: bool = False):
-        self.data = LOWER[data] if lower else data
+        self.data = data | ((data - np.uint8(0x41) < 26).view(np.uint8) << np.uint8(5)) if lower else data
         self.at = at
         self.rows = len(at) - 1
 
@@ -96,7 +94,7 @@ class Texts:
 
     @cached_property
     def in_word(self) -> np.ndarray:
-        return ~SPACE[self.data]
+        return (self.data != 0x20) & (self.data - np.uint8(0x09) > 4)
 
     @cached_property
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +121,11 @@ class Texts:
         """Running polynomial sum before each byte."""
         up, _ = powers(len(self.data))
         out = np.zeros(len(self.data) + 1, _U)
-        np.cumsum(_BYTE[self.data] * up, out=out[1:])
+        for i in range(0, len(self.data), NEAR):
+            part = np.take(_BYTE, self.data[i: i + NEAR])
+            part *= up[i: i + NEAR]
+            part[:1] += out[i: i + 1]
+            np.cumsum(part, out=out[i + 1: i + 1 + len(part)])
         return out
 
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

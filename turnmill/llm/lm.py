@@ -19,6 +19,10 @@ the changes of a vector are averaged over the tasks that met it, weighted by how
 such task goes through at least as many bytes of text as the model has, so that the changes
 that are shuffled weigh no more than the texts, however many tasks would read them.
 
+The nodes met most in a class, its head, are multiplied with all its tokens of a batch as one
+matrix; below them each level is gone through for the tokens it concerns. Neither changes a
+step but for the order in which single-precision sums are made.
+
 Own words and their vectors are sent to all tasks and gathered by the driver, so memory
 grows with the vocabulary; counts of all other words reach their texts by joins.
 
@@ -31,6 +35,7 @@ A word stands for its 64-bit hash.
 from __future__ import annotations
 
 import sys
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +55,11 @@ LEAST = 20
 BATCH = 8192
 NOISE = 16
 PACE = 0.05
+WAIT = 1 << 19  # words of which a task sums the counts before it hands them on
 BLOCK = 4096  # parameter rows whose changes travel together
+SHORT = 8  # so many rows of every run are added run by run at once, the rest of the longer ones by run
+NEAR = 2048  # rows that are worked on while they are in the processor's cache
+HEAD = 32  # nodes of a class that all its tokens are multiplied with at once
 _U = np.uint64
 
 
@@ -64,13 +73,36 @@ def forms(t: kernels.Texts) -> np.ndarray:
     return (length * 4 + (last * 3 + before * 5) % 4).astype(np.int8)
 
 
+def _merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Each word once, the sum of its counts, and its form."""
+    k, n, form = map(np.concatenate, zip(*parts))
+    order = np.argsort(k)
+    k = k[order]
+    first = _runs(k)[0]
+    return [k[first], np.add.reduceat(n[order], first) if len(first) else n, form[order[first]]]
+
+
 def _word_counts(batches):
+    """Words and their counts; a task's texts are counted together while their words are few enough to wait."""
+    wait, size = [], 0
     for batch in batches:
         for part in kernels.slices(batch):
             t = kernels.texts(part, lower=True)
-            words, first, n = np.unique(t.word_hash, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kernels.signed(words)), pa.array(n), pa.array(forms(t)[first])], ["k", "n", "form"])
+            wait.append(_merged([[t.word_hash, np.ones(len(t.word_hash), np.int64), forms(t)]]))
+            size += len(wait[-1][0])
+            if size > WAIT:
+                wait = [_merged(wait)]
+                size = len(wait[0][0])
+                if size > WAIT // 2:
+                    yield _counted(wait.pop())
+                    size = 0
+    if wait:
+        yield _counted(_merged(wait))
+
+
+def _counted(words: list[np.ndarray]) -> pa.RecordBatch:
+    k, n, form = words
+    return pa.RecordBatch.from_arrays([pa.array(kernels.signed(k)), pa.array(n), pa.array(form)], ["k", "n", "form"])
 
 
 def lookup(values: np.ndarray, keys: np.ndarray, found: np.ndarray, default: np.ndarray) -> np.ndarray:
@@ -100,12 +132,17 @@ def triples(t: kernels.Texts, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _triple_counts(own, number):
+    """The counts of a task, of all its texts together."""
     def run(batches):
+        total = None
         for batch in batches:
             for part in kernels.slices(batch):
                 t = kernels.texts(part, lower=True)
-                code, n = np.unique(triples(t, _symbols(t, own, number))[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), pa.array(n)], ["code", "n"])
+                code = np.bincount(triples(t, _symbols(t, own, number))[0], minlength=SYMBOLS ** 3)
+                total = code if total is None else np.add(total, code, out=total)
+        if total is not None:
+            code = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), pa.array(total[code])], ["code", "n"])
     return run
 
 
@@ -180,6 +217,41 @@ class Words:
         self.keys, self.counts = k[order], c[order]
         self.symbol, self.unit, self.leaf = symbol[order], unit[order], leaf[order]
 
+        # Places: the symbols without a tree, then the leaves of each class.
+        offsets = 1 + OWN + np.concatenate([[0], np.cumsum(1 << self.depth)])
+        self.places = np.concatenate([np.arange(1 + OWN), offsets[:-1]])
+        self.below, self.exits = np.zeros(offsets[-1], np.int8), np.zeros(offsets[-1], np.int8)
+        self.heads = []
+        for f in range(FORMS):
+            inside = own & (rank >= OWN) & (form == f)
+            mass = np.zeros(1 << self.depth[f])
+            mass[leaf[inside]] = c[inside]
+            part = slice(offsets[f], offsets[f + 1])
+            nodes, self.exits[part], self.below[part], ways = _head(mass, int(self.depth[f]))
+            self.heads.append((self.base[f] + nodes, ways))
+
+    @cached_property
+    def _begin(self) -> np.ndarray:
+        """Of each value of the first bits, the first key not below it."""
+        bits = len(self.keys).bit_length() + 1
+        return np.searchsorted(self.keys, np.arange(1 << bits, dtype=_U) << _U(64 - bits)).astype(np.int32)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_begin"}
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word may stand among the keys, and whether it does."""
+        begin, last = self._begin, len(self.keys) - 1
+        at = np.minimum(begin[words >> _U(65 - len(begin).bit_length())], last)
+        # Keys are spread evenly, so few have the same first bits.
+        ahead = np.flatnonzero(self.keys[at] < words)
+        while len(ahead):
+            at[ahead] += 1
+            ahead = ahead[at[ahead] <= last]
+            ahead = ahead[self.keys[at[ahead]] < words[ahead]]
+        at = np.minimum(at, last)
+        return at, self.keys[at] == words
+
     def trees(self, rest: np.ndarray) -> np.ndarray:
         """Biases of all nodes for which leaves have the words' smoothed shares; ``rest``
         is the weight of each form's first leaf."""
@@ -202,8 +274,7 @@ class Words:
         """Of each token, ends included: its text, the units before, symbol, leaf; of each word: count or -1."""
         form = forms(t).astype(np.int64)
         if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, t.word_hash), len(self.keys) - 1)
-            hit = self.keys[at] == t.word_hash
+            at, hit = self.find(t.word_hash)
             symbol = np.where(hit, self.symbol[at], 1 + OWN + form)
             unit = np.where(hit, self.unit[at], self.units + form)
             leaf = np.where(hit, self.leaf[at], 0)
@@ -214,40 +285,122 @@ class Words:
         first = t.words[2]
         n, rows = len(form), t.rows
         line = np.full(n + 3 * rows, self.end, np.int64)
-        place = np.arange(n) + 3 * t.row_of_word() + 2
-        line[place] = unit
+        text = t.row_of_word()
+        line[np.arange(n) + 3 * text + 2] = unit
         token = np.ones(len(line), bool)
         begin = first[:-1] + 3 * np.arange(rows)
         token[begin] = token[begin + 1] = False
         at = np.flatnonzero(token)
-        what = np.zeros((2, len(line)), np.int64)
-        what[0, place], what[1, place] = symbol, leaf
+        word = np.arange(n) + text
+        what = np.zeros((2, n + rows), np.int64)
+        what[0, word], what[1, word] = symbol, leaf
         row = np.repeat(np.arange(rows), np.diff(first) + 1)
-        return row, line[at - 2], line[at - 1], what[0, at], what[1, at], count
+        return row, line[at - 2], line[at - 1], *what, count
 
     def order(self, symbol: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-        """An order in which the tokens of a symbol and of a node stand together, and those with a
-        decision at a level are the last ones."""
-        return np.lexsort((leaf, symbol, self.depths[symbol]))
-
-    def decisions(self, symbol: np.ndarray, leaf: np.ndarray):
-        """By level, of tokens in that order: the first whose class has so deep a tree; of it and all
-        after it the nodes met, where each begins, how often it stands, and the ways (0, 1)."""
-        depth, root = self.depths[symbol], self.roots[symbol]
-        for level in range(int(depth[-1]) if len(depth) else 0):
-            begin = int(np.searchsorted(depth, level, "right"))
-            way = leaf[begin:] >> (depth[begin:] - level - 1)
-            node = root[begin:] + ((1 << level) - 1) + (way >> 1)
-            first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
-            yield begin, node[first], first, np.diff(np.append(first, len(node))), (way & 1).astype(bool)
-
-
-def _summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct numbers, how often each stands, and the sum of its rows."""
-    order = np.argsort(index.astype(np.int32))
-    ordered = index[order]
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    return ordered[first], np.diff(np.append(first, len(order))), np.add.reduceat(rows[order], first, axis=0)
+        """An order in which the tokens of a symbol and of a node stand together."""
+        return _ordered(self.places[symbol] + leaf)
+
+    def deep_order(self, symbol: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """The same, and those with a decision at a level are the last ones."""
+        return _ordered((self.depths[symbol] << 36) + self.places[symbol] + leaf)
+
+    def met_heads(self, symbol: np.ndarray, leaf: np.ndarray):
+        """Of tokens in that order, by class: where its tokens are, the nodes of its head, and each token's
+        row in a table of the ways it takes at these: 1 to the second child, -1 to the first, 0 if not met."""
+        border = np.searchsorted(symbol, np.arange(1 + OWN, SYMBOLS + 1))
+        for f, (nodes, ways) in enumerate(self.heads):
+            if len(nodes) and border[f] < border[f + 1]:
+                s = slice(border[f], border[f + 1])
+                yield s, nodes, self.exits[self.places[symbol[s]] + leaf[s]], ways
+
+    def below_heads(self, symbol: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens whose way goes on below the head, shorter ways first, else in the same order, and how far."""
+        below = self.below[self.places[symbol] + leaf]
+        order = np.argsort(below, kind="stable")
+        order = order[np.searchsorted(below[order], 1):]
+        return order, below[order]
+
+    def decisions(self, symbol: np.ndarray, leaf: np.ndarray, far: np.ndarray):
+        """By level from the leaves, of tokens in order of how far up they are asked for: the first that is
+        asked for here; of it and all after it the nodes met, where each begins, how often it stands, and
+        the ways: 1 to the second child, -1 to the first."""
+        root, heap = self.roots[symbol] - 1, (1 << self.depths[symbol]) + leaf
+        for level in range(1, int(far[-1]) + 1 if len(far) else 1):
+            begin = int(np.searchsorted(far, level))
+            way = heap[begin:] >> (level - 1)
+            node = root[begin:] + (way >> 1)
+            first, n = _runs(node)
+            yield begin, node[first], first, n, ((way & 1) * 2 - 1).astype(np.float32)
+
+
+def _head(mass: np.ndarray, depth: int):
+    """Of a tree of so many levels over leaves with these counts: the nodes met most, at most ``HEAD``; of each
+    leaf a number for its way through them, and how many levels are below; by that number, the way
+    at each of the nodes: 1 to the second child, -1 to the first, 0 if not met.
+
+    The way to the first leaf, which has all rare words, is always among them. A node is met
+    at least as often as those below it, so they are the top of the tree.
+    """
+    if not depth:
+        return np.zeros(0, np.int64), np.zeros(1, np.int8), np.zeros(1, np.int8), np.zeros((1, 0), np.float32)
+    mass[0] = np.inf
+    levels = [mass[::2] + mass[1::2]]
+    while len(levels[-1]) > 1:
+        levels.append(levels[-1][::2] + levels[-1][1::2])
+    nodes = np.argsort(-np.concatenate(levels[::-1]), kind="stable")[:HEAD]
+    column = np.full((1 << depth) - 1, -1)
+    column[nodes] = np.arange(len(nodes))
+    heap = (1 << depth) + np.arange(1 << depth)
+    leave, below = heap.copy(), np.zeros(len(heap), np.int8)
+    for level in range(1, depth + 1):
+        outside = column[(heap >> level) - 1] < 0
+        leave[outside] = heap[outside] >> level
+        below[outside] = level
+    leave, leaf, way = np.unique(leave, return_index=True, return_inverse=True)
+    ways = np.zeros((len(leave), len(nodes)), np.float32)
+    for i, x in enumerate(leaf):
+        for level in range(int(below[x]) + 1, depth + 1):
+            ways[i, column[(heap[x] >> level) - 1]] = 2 * (heap[x] >> (level - 1) & 1) - 1
+    return nodes, way.astype(np.int8), below, ways
+
+
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """The order of values, few enough to stand in 64 bits with their number; equal ones stay as they were."""
+    width = len(values).bit_length()
+    return np.sort(values << width | np.arange(len(values))) & ((1 << width) - 1)
+
+
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values begins, and how long it is."""
+    begins = np.ones(len(ordered) + 1, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=begins[1:-1])
+    border = np.flatnonzero(begins)
+    return border[:-1], np.diff(border)
+
+
+def _run_sums(rows: np.ndarray, at: np.ndarray, first: np.ndarray, n: np.ndarray, weight: np.ndarray | None = None):
+    """Where the sum of each run is, and the sums of the rows at the runs' places, times the weights; sums
+    stand in order of the length of their runs."""
+    def picked(places):
+        got = np.take(rows, at[places], axis=0)
+        return got if weight is None else np.multiply(got, weight[places][:, None], out=got)
+
+    order = np.argsort(np.minimum(n, SHORT + 1).astype(np.int8), kind="stable")
+    first, n = first[order], n[order]
+    out, longer = picked(first), 0
+    for k in range(1, SHORT):
+        longer += int(np.count_nonzero(n[longer:] == k))
+        out[longer:] += picked(first[longer:] + k)
+    longer += int(np.count_nonzero(n[longer:] == SHORT))
+    if longer < len(n):
+        more = n[longer:] - SHORT
+        begin = np.cumsum(more) - more
+        places = np.repeat(first[longer:] + SHORT - begin, more) + np.arange(more.sum())
+        out[longer:] += np.add.reduceat(picked(places), begin, axis=0)
+    where = np.empty(len(order), np.int64)
+    where[order] = np.arange(len(order))
+    return where, out
 
 
 class Model:
@@ -260,92 +413,177 @@ class Model:
         self.parts = [np.ascontiguousarray(p, np.float32) for p in (first, second, outputs, nodes)]
 
     def context(self, a, b):
-        return self.parts[0][a] + self.parts[1][b]
+        return np.take(self.parts[0], a, axis=0) + np.take(self.parts[1], b, axis=0)
 
     def log10(self, a, b, symbol, leaf) -> np.ndarray:
         """Log10 probability of each token: of its symbol, and of its leaf in the class."""
         out = np.empty(len(a))
         _, _, outputs, nodes = self.parts
+        biggest = np.linalg.norm(outputs, axis=1).max()
+        every = self.words.deep_order(symbol, leaf)
         for i in range(0, len(a), BATCH):
-            s = slice(i, i + BATCH)
-            order = self.words.order(symbol[s], leaf[s])
-            ordered, place = symbol[s][order], leaf[s][order]
-            context = self.context(a[s][order], b[s][order])
-            score = context @ outputs[:, :-1].T + outputs[:, -1]
-            score -= score.max(1, keepdims=True)
-            got = score[np.arange(len(score)), ordered].astype(np.float64)
-            got -= np.log(np.exp(score).sum(1, dtype=np.float64))
+            order = every[i: i + BATCH]
+            ordered, place = symbol[order], leaf[order]
+            context = self.context(a[order], b[order])
             context = np.concatenate([context, np.ones((len(context), 1), np.float32)], 1)
-            for begin, node, _, n, way in self.words.decisions(ordered, place):
-                z = np.einsum("ij,ij->i", context[begin:], np.repeat(nodes[node], n, axis=0))
-                z = np.where(way, -z, z)
-                got[begin:] -= np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))
-            out[i + order] = got
+            got = np.empty(len(context))
+            # Exponents within 80 need no shift.
+            shift = np.sqrt(np.einsum("ij,ij->i", context, context).max()) * biggest > 80
+            for near in range(0, len(context), NEAR // 2):
+                t = slice(near, near + NEAR // 2)
+                score = outputs @ context[t].T
+                if shift:
+                    score -= score.max(0)
+                got[t] = np.take(score, ordered[t] * score.shape[1] + np.arange(score.shape[1]))
+                got[t] -= np.log(np.ones(SYMBOLS, np.float32) @ np.exp(score, out=score))
+            # The logarithms of a way are taken at once, of a product of at most 2 to the number of its nodes.
+            product, loss = np.ones(len(context)), np.zeros(len(context))
+            for begin, node, first, n, way in self.words.decisions(ordered, place, self.words.depths[ordered]):
+                c, rows = context[begin:], np.take(nodes, node, axis=0)
+                if len(c) > 128 * len(rows):
+                    z = np.concatenate([c[i: i + k] @ q for i, k, q in zip(first, n, rows)])
+                else:
+                    z = np.einsum("ij,ij->i", c, np.repeat(rows, n, axis=0))
+                z *= -way
+                loss[begin:] += np.maximum(z, 0)
+                np.exp(np.negative(np.abs(z, out=z), out=z), out=z)
+                z += 1
+                product[begin:] *= z
+            out[order] = got - loss - np.log(product)
         return out / np.log(10)
 
 
+def _errors(z: np.ndarray, ways: np.ndarray) -> np.ndarray:
+    """What the logistic function of z lacks, in place: to 1 where the way is 1, above 0 (negative) where it is -1."""
+    z *= ways
+    with np.errstate(over="ignore"):
+        np.exp(z, out=z)
+    z += 1
+    return np.divide(ways, z, out=z)
+
+
 class Learner:
     """One task's own copy of the parameters, and what it has changed."""
 
     def __init__(self, model: Model, noise: np.ndarray, seed: int):
         self.model = model
-        self.own = Model(model.words, *[p.copy() for p in model.parts])
-        self.squares = [np.ones_like(p) for p in model.parts]
+        # In a row, the parameters and then the sums of squares of their gradients.
+        self.state = [np.concatenate([p, np.ones_like(p)], 1) for p in model.parts]
         self.met = [np.zeros(len(p), np.int64) for p in model.parts]
         self.noise, self.reach = noise, np.cumsum(noise)
         self.rng = np.random.default_rng(seed)
 
-    def _move(self, part: int, index, rows):
-        if not len(index):
-            return
-        self._change(part, *_summed(index, rows))
+    @property
+    def own(self) -> Model:
+        return Model(self.model.words, *[s[:, : s.shape[1] // 2] for s in self.state])
 
-    def _change(self, part: int, at, n, g):
+    def _change(self, part: int, at, n, rows, where, g):
+        """A step of Adagrad up the gradients of these rows, which are all different; ``where`` each has its own."""
         self.met[part][at] += n
-        squares = self.squares[part][at] + g * g
-        self.squares[part][at] = squares
-        self.own.parts[part][at] -= PACE * g / np.sqrt(squares)
+        width = g.shape[1]
+        for i in range(0, len(at), NEAR):
+            near, step = rows[i: i + NEAR], np.take(g, where[i: i + NEAR], axis=0)
+            squares = step * step
+            squares += near[:, width:]
+            near[:, width:] = squares
+            step /= np.sqrt(squares, out=squares)
+            step *= PACE
+            near[:, :width] += step
+            whole = f"V{near.itemsize * near.shape[1]}"  # a row is copied as one value
+            self.state[part].view(whole)[:, 0][at[i: i + NEAR]] = near.view(whole)[:, 0]
 
     def learn(self, a, b, symbol, leaf):
         """A step for each batch of tokens."""
         for i in range(0, len(a), BATCH):
             self._step(*(x[i: i + BATCH] for x in (a, b, symbol, leaf)))
 
+    def _units(self, part: int, index):
+        """The vector of each unit, and the distinct ones: order, where each begins in it, how often it
+        stands, its number and its row."""
+        order = _ordered(index)
+        ordered = index[order]
+        first, n = _runs(ordered)
+        rows = np.take(self.state[part], ordered[first], axis=0)
+        number = np.empty(len(index), np.int64)
+        number[order] = np.repeat(np.arange(len(first)), n)
+        return np.take(rows[:, : rows.shape[1] // 2], number, axis=0), (order, first, n, ordered[first], rows)
+
     def _step(self, a, b, symbol, leaf):
-        _, _, outputs, nodes = self.own.parts
-        order = self.model.words.order(symbol, leaf)
+        words = self.model.words
+        order = words.order(symbol, leaf)
         a, b, symbol, leaf = a[order], b[order], symbol[order], leaf[order]
-        one = np.ones((len(a), 1), np.float32)
-        context = np.concatenate([self.own.context(a, b), one], 1)
+        context, *units = zip(*(self._units(part, index) for part, index in ((0, a), (1, b))))
+        context = np.concatenate([context[0] + context[1], np.ones((len(a), 1), np.float32)], 1)
+        wide = context.shape[1]
         # Symbols against noise; the noise of a batch is drawn once for all its tokens.
+        outputs = self.state[2][:, :wide]
         fake = np.minimum(np.searchsorted(self.reach, self.rng.random(NOISE)), SYMBOLS - 1)
         log_noise = np.log(NOISE * self.noise).astype(np.float32)
-        true_out, fake_out = outputs[symbol], outputs[fake]
-        sure = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        e_true = sure(np.einsum("ij,ij->i", context, true_out) - log_noise[symbol]) - 1
-        e_fake = sure(context @ fake_out.T - log_noise[fake])
-        back = e_true[:, None] * true_out + e_fake @ fake_out
-        met = []
-        for begin, node, first, n, way in self.model.words.decisions(symbol, leaf):
-            q, c = np.repeat(nodes[node], n, axis=0), context[begin:]
-            e = sure(np.einsum("ij,ij->i", c, q)) - way.astype(np.float32)
+        first, n = _runs(symbol)
+        met, fake_out = symbol[first], outputs[fake]
+        true_out = np.repeat(outputs[met], n, axis=0)
+        e_true = _errors(np.einsum("ij,ij->i", context, true_out) - log_noise[symbol], np.float32(1))
+        e_fake = _errors(context @ fake_out.T - log_noise[fake], np.float32(-1))
+        true_out *= e_true[:, None]
+        back = true_out
+        back += e_fake @ fake_out
+        g = np.zeros((SYMBOLS, wide), np.float32)
+        for s, i, k in zip(met, first, n):
+            g[s] = e_true[i: i + k] @ context[i: i + k]
+        g += (np.arange(SYMBOLS)[:, None] == fake).astype(np.float32) @ (e_fake.T @ context)
+        times = np.bincount(fake, minlength=SYMBOLS)
+        times[met] += n
+        at = np.flatnonzero(times)
+        self._change(2, at, times[at], self.state[2][at], at, g)
+        # Nodes of heads are multiplied with all tokens of their class, met or not; an error of 0 changes nothing.
+        changes = []
+        for t, head, exits, ways in words.met_heads(symbol, leaf):
+            c, q = context[t], np.take(self.state[3], head, axis=0)[:, :wide]
+            e = _errors(c @ q.T, np.take(ways, exits, axis=0))
+            back[t] += e @ q
+            changes.append((head, np.bincount(exits, minlength=len(ways)) @ (ways != 0), e.T @ c))
+        if changes:
+            head, n, g = map(np.concatenate, zip(*changes))
+            self._change(3, head, n, np.take(self.state[3], head, axis=0), np.arange(len(head)), g)
+        # Classes share no nodes, so a few are worked on at a time.
+        border = np.searchsorted(symbol, np.arange(1 + OWN, SYMBOLS + 1))
+        border = border[np.unique(np.searchsorted(border, np.arange(border[0], len(symbol) + NEAR, NEAR).clip(max=len(symbol))))]
+        for t in map(slice, border[:-1], border[1:]):
+            self._learn_below(context[t], back[t], symbol[t], leaf[t])
+        back = np.ascontiguousarray(back[:, :-1])
+        for part, (order, first, n, at, rows) in enumerate(*units):
+            self._change(part, at, n, rows, *_run_sums(back, order, first, n))
+
+    def _learn_below(self, context, back, symbol, leaf):
+        """A step for the nodes below the heads; what the errors say of the contexts is added to ``back``."""
+        words, wide = self.model.words, context.shape[1]
+        rest, far = words.below_heads(symbol, leaf)
+        if not len(rest):
+            return
+        levels = list(words.decisions(symbol[rest], leaf[rest], far))
+        node = np.concatenate([x[1] for x in levels])
+        n = np.concatenate([x[3] for x in levels])
+        rows = np.take(self.state[3], node, axis=0)
+        c_rest, back_rest, errors, done = np.take(context, rest, axis=0), np.take(back, rest, axis=0), [], 0
+        for begin, nodes, _, times, way in levels:
+            q = np.repeat(rows[done: done + len(nodes), :wide], times, axis=0)
+            e = _errors(np.einsum("ij,ij->i", c_rest[begin:], q), way)
             q *= e[:, None]
-            back[begin:] += q
-            met.append((node, n, np.add.reduceat(c * e[:, None], first, axis=0)))
-        self._move(2, np.concatenate([symbol, fake]), np.concatenate([e_true[:, None] * context, e_fake.T @ context]))
-        if met:
-            self._change(3, *map(np.concatenate, zip(*met)))
-        self._move(0, a, back[:, :-1])
-        self._move(1, b, back[:, :-1])
+            back_rest[begin:] += q
+            errors.append(e)
+            done += len(nodes)
+        back[rest] = back_rest
+        tokens = np.concatenate([np.arange(x[0], len(rest)) for x in levels])
+        self._change(3, node, n, rows, *_run_sums(c_rest, tokens, np.cumsum(n) - n, n, np.concatenate(errors)))
 
     def changes(self):
         """Batches of one row (part, block, ids within it, n of each, changes times n)."""
-        for part, (own, start, met) in enumerate(zip(self.own.parts, self.model.parts, self.met)):
+        for part, (own, start, met) in enumerate(zip(self.state, self.model.parts, self.met)):
             for block in range(0, len(met), BLOCK):
                 at = np.flatnonzero(met[block: block + BLOCK])
                 if len(at):
                     n = met[block + at]
-                    moved = (own[block + at] - start[block + at]) * n[:, None].astype(np.float32)
+                    moved = (own[block + at, : start.shape[1]] - start[block + at]) * n[:, None].astype(np.float32)
                     yield _packed(part, block, at, n, moved)
 
 
@@ -496,12 +734,12 @@ def scored(docs: DataFrame, held_out: Column, listed: int = LISTED, least: int =
     local = stage(
         rows.select("doc_id", "text", "held_out").mapInArrow(
             run, "doc_id long, held_out boolean, n_tokens long, known long, base double, model double,"
-                 " words array<long>, times array<int>"), "scores")
-    # Rows are numbered by what tells them apart; equal rows share a number and a result.
-    key = [F.coalesce("doc_id", F.lit(-1)).alias("key"), F.xxhash64("words", "times", "base").alias("sub")]
-    other = local.select(*key, F.explode(F.arrays_zip("words", "times")).alias("w")).select(
+                 " words array<long>, times array<int>")
+        # Rows are numbered by what tells them apart; equal rows share a number and a result.
+        .withColumns({"key": F.coalesce("doc_id", F.lit(-1)), "sub": F.xxhash64("words", "times", "base")}), "scores")
+    other = local.select("key", "sub", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
         "key", "sub", F.col("w.words").alias("k"), F.col("w.times").alias("times"))
-    copies = local.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
+    copies = local.groupBy("key", "sub").agg(F.count(F.lit(1)).alias("copies"))
     added = (
         other.join(counts.select("k", "c"), "k")
         .groupBy("key", "sub").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("gain"),
@@ -509,7 +747,7 @@ def scored(docs: DataFrame, held_out: Column, listed: int = LISTED, least: int =
     )
     end_gain = float(np.log10(ends + 1.0))
     each = float(np.log10(train_tokens + distinct + 1.0))
-    result = local.select("*", *key).join(added, ["key", "sub"], "left").join(copies, ["key", "sub"])
+    result = local.drop("words", "times").join(added, ["key", "sub"], "left").join(copies, ["key", "sub"])
     gain = F.coalesce(F.col("gain") / F.col("copies"), F.lit(0.0))
     more = F.coalesce((F.col("more") / F.col("copies")).cast("long"), F.lit(0))
     return result.select(
