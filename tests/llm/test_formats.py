@@ -269,6 +269,23 @@ def test_recall_against_brute_force(spark):
     assert set(got) == set(want) and hits >= 0.95 * sum(map(len, want.values()))
 
 
+def test_queries_are_not_shuffled_once_per_shard(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(neighbours, "RUN_BLOCKS", 2)
+    r = np.random.default_rng(3)
+    rows = [(i, r.normal(size=8).astype(np.float32).tolist()) for i in range(400)]
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        near = neighbours.nearest(df, F.col("vec_id") % 5 == 0, shard_points=40)
+        plan = near._jdf.queryExecution().executedPlan().toString()
+        assert "explode" not in plan and "SortMergeJoin" not in plan
+        assert ("vectors:array<float>" in plan) == (kind == "float")
+        got = {}
+        for x in sorted(near.collect(), key=lambda x: (x.query_id, x.rank)):
+            got.setdefault(x.query_id, []).append(x.vec_id)
+        assert got == brute_nearest(rows, {i for i in range(0, 400, 5)}, 5)
+
+
 def test_revisits_of_a_repeated_page_id(spark):
     x, y = "<p>" + "x" * 200 + "</p>", "<p>" + "y" * 300 + "</p>"
     pages = spark.createDataFrame([(5, "u", x), (5, "u", y), (9, "u", x), (7, "u", y), (3, "u", "small"), (4, "u", "small")],

@@ -9,8 +9,11 @@ the factor ``relax``. Edges are added in the other direction too, and lists that
 long are pruned alike. Relaxed pruning leaves long edges, so that searches need few steps.
 
 Queries are cut into blocks; every block searches every shard by a beam search from the
-shard's medoid, and the best of all shards are merged. The beam works on unit vectors in
+shard's medoid, and the best of all shards are merged. Blocks and shards meet in a cross
+join of two small tables, so that no shuffle holds a copy of the queries for every shard and
+a task holds a bounded run of blocks, whatever their number. The beam works on unit vectors in
 single precision; what it returns is measured again on the original vectors in double.
+Vectors of floats are kept as floats up to there.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components take no
 part, nor do those of another length than most; null ids take no part; repeated rows of
@@ -26,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from turnmill.llm import kernels
 from turnmill.scratch import stage
@@ -35,6 +39,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 K = 5
 SHARD_POINTS = 4096
 QUERY_BLOCK = 512
+RUN_BLOCKS = 64  # blocks of queries a task holds
 DEGREE = 32
 BEAM = 64
 RELAX = 1.2
@@ -165,7 +170,7 @@ def _index(table: pa.Table) -> pa.Table:
     graph, start = build(_unit(vectors))
     return pa.table({
         "shard": table.column("shard")[:1], "start": pa.array([start]),
-        "vectors": pa.array([vectors.ravel()], pa.list_(pa.float64())),
+        "vectors": pa.array([vectors.ravel()], pa.list_(table.schema.field("vector").type.value_type)),
         "graph": pa.array([graph.astype(np.int32).ravel()], pa.list_(pa.int32())),
         "ids": pa.array([table.column("ids").to_pylist()], pa.list_(pa.list_(pa.int64()))),
     })
@@ -215,11 +220,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, shard_points: int
 
     ``vectors`` holds (vec_id, embedding); ``is_query`` marks the queries by ``vec_id``.
     """
+    given = vectors.select("embedding").schema[0].dataType
+    single = isinstance(given, ArrayType) and isinstance(given.elementType, FloatType)
+    held = "array<float>" if single else "array<double>"
+    wide = F.col("vector").cast("array<double>")
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(held).alias("vector"))
     most = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
     rows = rows.where(F.size("vector") == (most["d"] if most else 0))
-    keyed = rows.withColumn("key", F.xxhash64("vector"))
+    keyed = rows.withColumn("key", F.xxhash64(wide))
     # The k + 1 smallest ids of each distinct vector: one of them may be the query's own.
     ids = Window.partitionBy("key", "vector").orderBy("vec_id")
     points = stage(
@@ -230,16 +239,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, shard_points: int
     shard = F.pmod(F.xxhash64("id", "key"), F.lit(shards)).cast("int")
     index = stage(
         points.withColumn("shard", shard).groupBy("shard").applyInArrow(
-            _index, "shard int, start long, vectors array<double>, graph array<int>, ids array<array<long>>"),
+            _index, f"shard int, start long, vectors {held}, graph array<int>, ids array<array<long>>"),
         "index")
-    asked = rows.where(is_query).dropDuplicates()
+    asked = stage(rows.where(is_query).dropDuplicates(), "asked")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     asked = (
-        asked.groupBy(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).alias("block"))
+        asked.groupBy(F.pmod(F.xxhash64("vec_id", wide), F.lit(blocks)).alias("block"))
         .agg(F.collect_list("vec_id").alias("asked"), F.collect_list("vector").alias("wanted"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+        .repartition(-(-blocks // RUN_BLOCKS))
     )
-    found = index.join(asked, "shard").select("start", "vectors", "graph", "ids", "asked", "wanted").mapInArrow(
+    found = index.crossJoin(asked).select("start", "vectors", "graph", "ids", "asked", "wanted").mapInArrow(
         _search_shards(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select(
